@@ -109,3 +109,38 @@ def camera_frames(ev: DataFrame) -> DataFrame:
     """Every frame of every camera, with or without a detection."""
     numbers = ev.selectExpr(f"{CAMERA_FRAME} as frame").distinct()
     return numbers.select(F.explode(F.expr("sequence(0L, 4L)")).alias("camera_id"), "frame")
+
+
+def camera_hands(ev: DataFrame) -> DataFrame:
+    return ev.selectExpr(
+        "user_id % 5 as camera_id",
+        f"{CAMERA_FRAME} as frame",
+        "cast(event_id % 8 as int) as hand_ord",
+        "cast(event_id % 6 as int) as n_fingers",
+        "cast((event_id * 37) % 640 as int) as x",
+        "cast((event_id * 91) % 480 as int) as y",
+    )
+
+
+def person_tracks(ev: DataFrame) -> DataFrame:
+    """Each person as a track that is there in the person's frames."""
+    return people(ev).selectExpr("id % 5 as camera_id", "id as track_id", "frame").distinct()
+
+
+def label_results(ev: DataFrame) -> DataFrame:
+    """Results for about one frame in seven, some failed, a few ``not_face``."""
+    return ev.selectExpr("*", "cast(get_json_object(props, '$.k') as int) as k").where("k % 7 = 0").selectExpr(
+        "cast(user_id as int) % 5 as camera_id",
+        "cast(user_id as int) as track_id",
+        "event_id div 4 as frame",
+        "case when k = 98 and event_type = 'error' then 'not_face' when k > 0 then event_type end as label",
+    )
+
+
+def analysis_states(ev: DataFrame) -> DataFrame:
+    return ev.selectExpr("*", "cast(get_json_object(props, '$.k') as bigint) as k").selectExpr(
+        "event_id",
+        "event_id div 4 as frame",
+        "k % 2 = 0 as busy",
+        "case when k >= 5 then event_id div 4 - k end as last_analyzed",
+    )

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from framewise.settings import rocksdb_state, run_dir
@@ -24,3 +28,23 @@ def drain(df: DataFrame, name: str) -> DataFrame:
     writer = writer.option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/checkpoint")
     start(writer, df).awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
+
+
+def drain_updates(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
+    """The same for a result whose rows are replaced over time: the latest row per ``keys``.
+
+    Each micro-batch writes its changed rows to a folder of its own.
+    """
+    folder = run_dir(df.sparkSession, name)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        changed = batch.withColumn("batch_id", F.lit(batch_id))
+        changed.write.mode("overwrite").parquet(f"{folder}/rows/part={batch_id}")
+
+    writer = df.writeStream.foreachBatch(write).outputMode("update").trigger(availableNow=True)
+    start(writer.option("checkpointLocation", f"{folder}/checkpoint"), df).awaitTermination()
+    schema = T.StructType([*df.schema.fields, T.StructField("batch_id", T.IntegerType())])
+    written = df.sparkSession.read.schema(schema).parquet(f"{folder}/rows")
+    others = [c for c in df.columns if c not in keys]
+    latest = [F.max_by(c, "batch_id").alias(c) for c in others]
+    return written.groupBy(*keys).agg(*latest).select(*df.columns)
