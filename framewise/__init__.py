@@ -1 +1,9 @@
 """Analytics over streams of per-frame observations of people, on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with their code, so executors need not
+# have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
