@@ -1,0 +1,190 @@
+"""Topics and whole pipelines."""
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from framewise.operators import emotion_counts, smooth_fingers, tracker_input
+from framewise.operators.tracking import INPUT
+from framewise.plans import jobs
+from framewise.schemas import RECORDED_TOPIC, UNIQUE_TOPIC, WAVES_TOPIC
+from framewise.sources import FileTopics, KafkaTopics, decode, tail_lines
+from framewise.streaming import drain, drain_updates
+from tests import brute
+
+NOW = {"availableNow": True}
+
+
+def _messages(seed, frames=150):
+    """Person 0 is in every frame and waves most of the time."""
+    rng = random.Random(seed)
+    out = []
+    for frame in range(frames):
+        people = [{"id": 0, "emotion": "HAPPY" if rng.random() < 0.96 else "SAD", "fingers": [rng.randrange(3), 5]}]
+        for person in range(1, 5):
+            if rng.random() < 0.5:
+                emotion = rng.choice(["HAPPY", "SAD", "NEUTRAL", "FEAR"])
+                people.append({"id": person, "emotion": emotion, "fingers": [rng.randrange(6)]})
+        rng.shuffle(people)
+        out.append((str(frame), json.dumps(people)))
+    return out
+
+
+def _people(messages):
+    return [(int(key), pos, p["id"], p["emotion"], p["fingers"]) for key, value in messages for pos, p in enumerate(json.loads(value))]
+
+
+def _tenth(messages):
+    return sorted(r[:2] for r in brute.nth([p[:4] for p in _people(messages)], 10))
+
+
+def _waves(messages):
+    flags = [(f, pos, i, e == "HAPPY", max(n, default=0) == 5) for f, pos, i, e, n in _people(messages)]
+    return sorted(r[:1] for r in brute.lengths(flags) if r[3] > 10 and r[4] > 10)
+
+
+def _values(rows, topics, spark, topic):
+    return sorted(tuple(json.loads(value).values()) for (value,) in rows(topics.read(spark, topic), "value"))
+
+
+def test_jobs_on_tables(spark, rows):
+    messages = _messages(1)
+    df = spark.createDataFrame(messages, "key string, value string")
+    assert rows(jobs.unique_emotions(df)) == _tenth(messages)
+    assert rows(jobs.waves(df)) == _waves(messages)
+    assert len(_waves(messages)) > 20
+
+
+def test_jobs_between_topics(spark, rows, tmp_path):
+    topics = FileTopics(str(tmp_path / "topics"), max_files=1)
+    messages = _messages(2)
+    for part in (messages[:40], messages[40:90], messages[90:]):
+        topics.write(spark.createDataFrame(part, "key string, value string").coalesce(1), RECORDED_TOPIC)
+    jobs.start_unique_emotions(spark, topics, str(tmp_path / "c1"), trigger=NOW).awaitTermination()
+    jobs.start_waves(spark, topics, str(tmp_path / "c2"), trigger=NOW, over=10).awaitTermination()
+    assert _values(rows, topics, spark, UNIQUE_TOPIC) == _tenth(messages)
+    assert _values(rows, topics, spark, WAVES_TOPIC) == _waves(messages)
+
+    counts = jobs.count_unique_emotions(topics.stream(spark, UNIQUE_TOPIC))
+    expected = {}
+    for _, emotion in _tenth(messages):
+        expected[emotion] = expected.get(emotion, 0) + 1
+    assert dict(rows(drain_updates(counts, "counts", ["emotion"]))) == expected
+
+
+def test_counts_and_tail_print(spark, tmp_path):
+    topics = FileTopics(str(tmp_path / "topics"))
+    topics.write(spark.createDataFrame([('{"id":1,"emotion":"FEAR"}',)], "value string"), UNIQUE_TOPIC)
+    counts = jobs.start_emotion_counts(spark, topics, str(tmp_path / "c1"), trigger=NOW)
+    tail = jobs.start_tail(spark, topics, str(tmp_path / "c2"), UNIQUE_TOPIC, trigger=NOW)
+    for query in (counts, tail):
+        query.awaitTermination()
+        assert query.lastProgress.numInputRows == 1
+        assert "Console" in query.lastProgress.sink.description
+
+
+def test_stream_sql_view(spark, rows, feed):
+    source = feed("id int, emotion string")
+    source.add([(1, "SAD"), (2, "SAD")])
+    source.add([(3, "SAD"), (4, "FEAR")])
+    source.stream().createOrReplaceTempView("emotions")
+    counts = spark.sql("SELECT emotion, COUNT(*) AS cnt FROM emotions GROUP BY emotion")
+    assert rows(drain_updates(counts, "sql", ["emotion"])) == [("FEAR", 1), ("SAD", 3)]
+    assert rows(drain_updates(emotion_counts(source.stream()), "api", ["emotion"])) == [("FEAR", 1), ("SAD", 3)]
+
+
+def test_stream_stops_at_a_broken_message(spark, feed):
+    source = feed("key string, value string")
+    source.add([("1", "[]"), ("2", '[{"id":1,"emotion":"JOY","fingers":[]}]')])
+    with pytest.raises(Exception, match="malformed person"):
+        drain(jobs.unique_emotions(source.stream()), "broken")
+    assert drain(jobs.unique_emotions(source.stream(), on_error="drop"), "dropped").count() == 0
+
+
+def test_tail_lines(spark, rows):
+    df = spark.createDataFrame([("abc",), ("a" * 20,), ("b" * 12,), (None,), ("",)], "value string")
+    assert rows(tail_lines(df)) == sorted([("abc         ",), ("a" * 20,), ("b" * 12,), (" " * 12,)])
+
+
+def test_kafka_options():
+    topics = KafkaTopics({"kafka.bootstrap.servers": "broker:9092"}, max_offsets=500)
+    assert topics.read_options("t", "latest") == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "t",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": "500",
+    }
+    assert topics.write_options("t", "/c") == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "kafka.acks": "all",
+        "topic": "t",
+        "checkpointLocation": "/c",
+    }
+    own = KafkaTopics({"kafka.acks": "1"}, source_options={"failOnDataLoss": "true"})
+    assert own.write_options("t")["kafka.acks"] == "1"
+    assert own.read_options("t", "earliest")["failOnDataLoss"] == "true"
+
+
+def _scene():
+    """Two faces, one of which leaves; a hand near each; nobody in the first frames."""
+    detections, hands = [], []
+    for frame in range(4, 30):
+        detections.append((1, frame, 0, 100 + frame, 100, 80, 80))
+        hands += [(1, frame, 0, 5, 150, 150), (1, frame, 1, 3, 155, 150)]
+        if frame < 20:
+            detections.append((1, frame, 1, 400, 100, 80, 80))
+            hands.append((1, frame, 2, 2, 430, 140))
+    frames = [(1, f) for f in range(1, 110)]
+    return frames, detections, hands
+
+
+def _expected_message(frame):
+    people = []
+    if 4 <= frame <= 89:
+        people.append({"id": 0, "emotion": "NEUTRAL", "fingers": []})
+        if frame < 30:
+            people[0]["fingers"] = [5, 3] if abs(140 + frame - 150) <= abs(140 + frame - 155) else [3, 5]
+    if 4 <= frame <= 79:
+        people.append({"id": 1, "emotion": "NEUTRAL", "fingers": [2] if frame < 20 else []})
+    return people
+
+
+def _tables(spark):
+    frames, detections, hands = _scene()
+    smooth = smooth_fingers(
+        spark.createDataFrame(hands, "camera_id long, frame long, hand_ord int, n_fingers int, x int, y int"),
+        ["camera_id", "frame"],
+    )
+    # The smoothing mixes the two hands of one cell: keep the raw counts here.
+    return (
+        spark.createDataFrame(frames, "camera_id long, frame long"),
+        spark.createDataFrame(detections, "camera_id long, frame long, det_ord int, x int, y int, w int, h int"),
+        smooth.drop("smoothed", "cell_x", "cell_y"),
+    )
+
+
+def test_record_messages(spark, rows):
+    messages = jobs.record_messages(*_tables(spark))
+    assert messages.columns == ["camera_id", "key", "value"]
+    got = {int(r.key): json.loads(r.value) for r in messages.collect()}
+    assert got == {f: _expected_message(f) for f in range(1, 110)}
+
+
+def test_recording_to_counts_as_streams(spark, rows, feed, tmp_path):
+    frames, detections, hands = _tables(spark)
+    source = feed(INPUT)
+    steps = [tuple(r) for r in tracker_input(frames, detections).collect()]
+    for low, high in ((0, 25), (25, 60), (60, 200)):
+        source.add([s for s in steps if low <= s[1] < high])
+    topics = FileTopics(str(tmp_path / "topics"))
+    jobs.start_recording(source.stream(), hands, topics, str(tmp_path / "c1"), **NOW).awaitTermination()
+    recorded = topics.read(spark, RECORDED_TOPIC)
+    assert {int(r.key): json.loads(r.value) for r in recorded.collect()} == {f: _expected_message(f) for f in range(1, 110)}
+    assert decode(recorded).where(F.col("id") == 1).count() == 76
+
+    jobs.start_unique_emotions(spark, topics, str(tmp_path / "c2"), trigger=NOW).awaitTermination()
+    counts = jobs.count_unique_emotions(topics.stream(spark, UNIQUE_TOPIC))
+    assert rows(drain_updates(counts, "counts", ["emotion"])) == [("NEUTRAL", 2)]
