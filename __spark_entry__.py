@@ -460,6 +460,33 @@ _VIEWS = {
         SELECT user_id % 5 AS camera_id, event_id // 8 + event_id // 500 * 100 AS frame, CAST(event_id % 8 AS INT) AS hand_ord,
           CAST(event_id % 6 AS INT) AS n_fingers, CAST((event_id * 37) % 640 AS INT) AS x, CAST((event_id * 91) % 480 AS INT) AS y
         FROM events""",
+    "camera_pairs": """
+        SELECT t.camera_id, t.frame, hand_ord, n_fingers, track_id,
+          row_number() OVER (PARTITION BY t.camera_id, t.frame
+            ORDER BY (h.x - cx) * (h.x - cx) + (h.y - cy) * (h.y - cy), hand_ord, track_id) AS place
+        FROM tracks t JOIN camera_hands h ON h.camera_id = t.camera_id AND h.frame = t.frame""",
+    "camera_choices": """
+        SELECT DISTINCT camera_id, frame, CAST(0 AS BIGINT) AS place, false AS chosen,
+          CAST([] AS INT[]) AS hs, CAST([] AS BIGINT[]) AS fs
+        FROM camera_pairs
+        UNION ALL
+        SELECT camera_id, frame, place, chosen,
+          CASE WHEN chosen THEN list_append(hs, hand_ord) ELSE hs END,
+          CASE WHEN chosen THEN list_append(fs, track_id) ELSE fs END
+        FROM (
+          SELECT p.*, c.hs, c.fs,
+            NOT list_contains(c.hs, p.hand_ord) AND len(list_filter(c.fs, lambda f: f = p.track_id)) < 2 AS chosen
+          FROM camera_choices c JOIN camera_pairs p
+            ON p.camera_id = c.camera_id AND p.frame = c.frame AND p.place = c.place + 1)""",
+    "camera_fingers": """
+        SELECT camera_id, frame, track_id, string_agg(CAST(n_fingers AS VARCHAR), ',' ORDER BY place) AS fingers
+        FROM camera_choices JOIN camera_pairs USING (camera_id, frame, place) WHERE chosen
+        GROUP BY camera_id, frame, track_id""",
+    "camera_messages": """
+        SELECT camera_id, frame,
+          string_agg('{"id":' || track_id || ',"emotion":"' || upper(label) || '","fingers":['
+                     || coalesce(fingers, '') || ']}', ',' ORDER BY track_id) AS people
+        FROM tracks LEFT JOIN camera_fingers USING (camera_id, frame, track_id) GROUP BY camera_id, frame""",
 }
 
 
@@ -591,6 +618,16 @@ def oracle_sql() -> dict[str, str]:
                FROM numbered WHERE opening""",
             *_TRACKS[:-2],
         ),
+        "recorded_messages": _sql(
+            """SELECT camera_id, CAST(frame AS VARCHAR) AS key, '[' || coalesce(people, '') || ']' AS value
+               FROM camera_frames LEFT JOIN camera_messages USING (camera_id, frame)""",
+            *_TRACKS,
+            "camera_hands",
+            "camera_pairs",
+            "camera_choices",
+            "camera_fingers",
+            "camera_messages",
+        ),
         "stream_nth": nth,
         "stream_streak": wave,
         "stream_counts": _sql("SELECT emotion, count(*) AS cnt FROM people GROUP BY emotion", "people"),
