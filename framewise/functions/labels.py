@@ -13,17 +13,12 @@ DEFAULT_LABEL = "neutral"
 
 def dominant_label(scores: Column, failed: Column | None = None) -> Column:
     """Label with the highest score, the first one in map order on ties."""
-    start = F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("double").alias("value"))
-    entries = F.transform(
+    ranked = F.transform(
         F.map_entries(scores),
-        lambda e: F.struct(e["key"].alias("key"), e["value"].cast("double").alias("value")),
+        lambda e, at: F.struct(e["value"].alias("score"), (-at).alias("place"), e["key"].alias("label")),
     )
-    best = F.reduce(
-        entries,
-        start,
-        lambda acc, e: F.when(acc["value"].isNull() | (e["value"] > acc["value"]), e).otherwise(acc),
-    )
-    label = F.coalesce(best["key"], F.lit(NO_SCORES))
+    best = F.array_max(ranked)
+    label = F.coalesce(best["label"], F.lit(NO_SCORES))
     return label if failed is None else F.when(failed, F.lit(NOT_A_FACE)).otherwise(label)
 
 

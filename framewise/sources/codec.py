@@ -38,22 +38,28 @@ def _bad_person(p: Column) -> Column:
 
 
 def _parse(messages: DataFrame) -> DataFrame:
-    """Adds ``raw`` (the parsed array) and ``error`` (null for a sound message)."""
-    parsed = messages.where(F.col("value").isNotNull()).withColumn(
-        "raw", F.from_json("value", RAW_PEOPLE)
-    )
+    """Adds ``raw`` (the parsed array) and ``error`` (null for a sound message).
+
+    Both come out of a generator of one row each: a condition on a plain column would be
+    pushed below the parser call together with a copy of it, so texts would be parsed
+    several times.
+    """
+    present = messages.where(F.col("value").isNotNull())
+    parsed = present.withColumn("_raw", F.from_json("value", RAW_PEOPLE))
     # A lone object would be wrapped into an array by the parser, so look at the text.
     array = F.col("value").rlike(r"^\s*\[")
-    return parsed.withColumn(
-        "error",
+    error = (
         F.when(~array, "not a JSON array")
-        .when(F.col("raw").isNull(), "malformed JSON")
-        .when(F.exists("raw", _bad_person), "malformed person"),
+        .when(F.col("_raw").isNull(), "malformed JSON")
+        .when(F.exists("_raw", _bad_person), "malformed person")
     )
+    checked = F.array(F.struct(F.col("_raw").alias("raw"), error.alias("error")))
+    return parsed.select(*messages.columns, F.inline_outer(checked))
 
 
 def _people(parsed: DataFrame, keep: Sequence[str]) -> DataFrame:
-    flat = parsed.select(*keep, F.col("key").try_cast("long").alias("frame"), F.posexplode("raw").alias("pos", "p"))
+    frame = F.col("key").try_cast("long").alias("frame")
+    flat = parsed.select(*keep, frame, F.posexplode_outer("raw").alias("pos", "p")).where(F.col("pos").isNotNull())
     return flat.select(
         *keep,
         "frame",
