@@ -20,7 +20,7 @@ from framewise.operators.counts import emotion_counts
 from framewise.operators.matching import fingers_by_face, greedy_match
 from framewise.operators.occurrence import nth_occurrence
 from framewise.operators.streak import joint_streak
-from framewise.operators.tracking import number_tracks, track_faces
+from framewise.operators.tracking import HAND, number_tracks, track_faces
 from framewise.schemas import (
     COUNTS_TOPIC,
     NTH_OCCURRENCE,
@@ -96,34 +96,38 @@ def record_messages(
 
 def start_recording(
     rows: DataFrame,
-    hands: DataFrame,
     topics: Topics,
     checkpoint: str,
     topic: str = RECORDED_TOPIC,
     width: int = 640,
     height: int = 480,
-    **trigger,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write a message per frame of ``rows``, a stream of ``tracker_input`` rows.
+    """Write a message per frame of ``rows``, a stream of ``tracker_input`` rows with hands.
 
-    ``hands`` is a table that already holds the hands of the frames that arrive. A
-    micro-batch that is repeated after a failure is written again.
+    A frame's rows must be in one micro-batch. A micro-batch that is repeated after a
+    failure is written again.
     """
     tracks = stream_track_faces(rows, width, height, empty_frames=True)
+    # Hands pass by the tracker: they share the source, hence the micro-batch.
+    hands = rows.where(F.col("kind") == HAND).select(
+        *CAMERA_FRAME, "x", "y", F.col("ord").alias("hand_ord"), F.col("w").alias("n_fingers")
+    )
+    together = tracks.unionByName(hands, allowMissingColumns=True)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # The batch is used three times below; its tracks came out of state only once.
+        # Used several times below, but tracks should come out of state only once.
         batch.persist()
         try:
-            listed = batch.select(*CAMERA_FRAME).distinct()
-            seen = hands.join(listed, list(CAMERA_FRAME), "left_semi")
-            people = _people(batch.where("n >= 0"), seen)
-            topics.write(frame_messages(people, listed, by=["camera_id"]), topic, batch_id)
+            of_tracks = batch.where("n is not null")
+            of_hands = batch.where("hand_ord is not null").select(*CAMERA_FRAME, "hand_ord", "n_fingers", "x", "y")
+            people = _people(of_tracks.where("n >= 0"), of_hands)
+            topics.write(frame_messages(people, of_tracks, by=["camera_id"]), topic, batch_id)
         finally:
             batch.unpersist()
 
-    writer = tracks.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
-    return start(writer.trigger(**trigger) if trigger else writer, tracks)
+    writer = together.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
+    return start(writer.trigger(**trigger) if trigger else writer, together)
 
 
 def _between(make, encode, source: str, target: str):

@@ -64,6 +64,9 @@ def stream_nth_occurrence(
 
     Before the shuffle each task keeps at most ``n`` rows of a key per Arrow batch and the
     number of the others, so a key that fills the stream stays cheap.
+
+    ``ttl_ms`` forgets a key that long after its last change. Time to live needs a clock, so
+    such a query goes on with empty micro-batches: give it a trigger interval.
     """
     rows = df.select(*keys, *order)
     reduced = T.StructType([*rows.schema.fields, T.StructField(_MORE, T.LongType())])

@@ -236,3 +236,18 @@ def test_late_rows_count_when_they_arrive(spark, rows, feed):
     source.add([(100 + i, 0, 1, "SAD") for i in range(9)])
     source.add([(5, 0, 1, "SAD")])
     assert rows(drain(nth_occurrence(source.stream()), "nth")) == [(1, "SAD", 5, 0)]
+
+
+def test_state_may_expire(spark, rows, feed):
+    from framewise.streaming import stream_nth_occurrence
+
+    source = feed(ORDERED)
+    people = _people(13)
+    source.add(people)
+    stream = stream_nth_occurrence(source.stream(), ["id", "emotion"], ["frame", "pos"], 10, ttl_ms=3_600_000)
+    # Otherwise the clock alone would cause new micro-batches without end.
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        _same(rows, drain(stream, "ttl"), brute.nth(people, 10))
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")

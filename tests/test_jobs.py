@@ -176,11 +176,11 @@ def test_record_messages(spark, rows):
 def test_recording_to_counts_as_streams(spark, rows, feed, tmp_path):
     frames, detections, hands = _tables(spark)
     source = feed(INPUT)
-    steps = [tuple(r) for r in tracker_input(frames, detections).collect()]
+    steps = [tuple(r) for r in tracker_input(frames, detections, hands=hands).collect()]
     for low, high in ((0, 25), (25, 60), (60, 200)):
         source.add([s for s in steps if low <= s[1] < high])
     topics = FileTopics(str(tmp_path / "topics"))
-    jobs.start_recording(source.stream(), hands, topics, str(tmp_path / "c1"), **NOW).awaitTermination()
+    jobs.start_recording(source.stream(), topics, str(tmp_path / "c1"), trigger=NOW).awaitTermination()
     recorded = topics.read(spark, RECORDED_TOPIC)
     assert {int(r.key): json.loads(r.value) for r in recorded.collect()} == {f: _expected_message(f) for f in range(1, 110)}
     assert decode(recorded).where(F.col("id") == 1).count() == 76
