@@ -450,8 +450,8 @@ _VIEWS = {
     "person_tracks": "SELECT DISTINCT id % 5 AS camera_id, id AS track_id, frame FROM people",
     "label_results": """
         SELECT CAST(user_id AS INT) % 5 AS camera_id, CAST(user_id AS INT) AS track_id, event_id // 4 AS frame,
-          CASE WHEN k = 98 AND event_type = 'error' THEN 'not_face' WHEN k > 0 THEN event_type END AS label
-        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events) WHERE k % 7 = 0""",
+          CASE WHEN k = 98 AND event_type = 'error' THEN 'not_face' WHEN k % 7 = 0 THEN event_type END AS label
+        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)""",
     "analysis_states": """
         SELECT event_id, event_id // 4 AS frame, k % 2 = 0 AS busy,
           CASE WHEN k >= 5 THEN event_id // 4 - k END AS last_analyzed

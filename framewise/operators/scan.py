@@ -9,9 +9,10 @@ partitioned by (key, block):
 3. the start values join the rows as one extra row at the head of the block, so that
    one window over (key, block) gives the running values. The rows are shuffled once.
 
-With ``span = S`` and R distinct order values in a key, no task sorts more than about
-S rows of it, and the window of step 2 has R / S rows. The result never depends on S.
-``span=None`` skips the cutting, for data known to have no large key.
+A block holds at most ``span`` order values of a key, and the window of step 2 has one
+row per block that the key has rows in. A million frames is a good measure: few enough
+rows for one task, and so many that keys with few rows are hardly cut at all. The result
+never depends on ``span``; ``None`` skips the cutting, for data known to have no large key.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPAN = 1 << 16
+SPAN = 1 << 20
 
 _BLOCK = "_block"
 _BODY = "_body"

@@ -15,6 +15,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framewise.functions.predicates import full_hand, happy
 from framewise.operators.scan import SPAN, block_of
@@ -32,16 +33,37 @@ def _flags(conditions: Mapping[str, Column]) -> list[Column]:
     return [F.coalesce(c, F.lit(False)).alias(f"_ok_{name}") for name, c in conditions.items()]
 
 
+def _never_null(df: DataFrame, key: str) -> list[Column]:
+    """Columns that tell the values of ``key`` apart, also null, without being null."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, T.NumericType | T.StringType):
+        zero = F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
+        return [F.coalesce(key, zero).alias(f"_key_{key}"), F.col(key).isNull().alias(f"_null_{key}")]
+    return [F.struct(key).alias(f"_key_{key}")]
+
+
+def _key_columns(df: DataFrame, keys) -> tuple[list[Column], list[str]]:
+    solid = [c for k in keys for c in _never_null(df, k)]
+    return solid, df.select(*solid).columns
+
+
+def _restored(columns: Sequence[str], key: str) -> Column:
+    value = F.col(f"_key_{key}")
+    if f"_null_{key}" in columns:
+        return F.when(~F.col(f"_null_{key}"), value).alias(key)
+    return value[key].alias(key)
+
+
 def _in_blocks(df, keys, order, conditions, span) -> DataFrame:
     """Rows with place ``_rn`` in the block and place ``_bad_*`` of the latest failure."""
     block = F.lit(0).cast("long") if span is None else block_of(order[0], span)
-    # One struct for all key columns: its equality also holds between nulls.
-    rows = df.select(F.struct(*keys).alias("_key"), *order, block.alias("_block"), *_flags(conditions))
-    window = Window.partitionBy("_key", "_block").orderBy(*order)
+    solid, keys = _key_columns(df, keys)
+    rows = df.select(*solid, *order, block.alias("_block"), *_flags(conditions))
+    window = Window.partitionBy(*keys, "_block").orderBy(*order)
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = rows.withColumn("_rn", F.row_number().over(window))
     return placed.select(
-        "_key",
+        *keys,
         "_block",
         *order,
         "_rn",
@@ -49,31 +71,37 @@ def _in_blocks(df, keys, order, conditions, span) -> DataFrame:
     )
 
 
-def _starts(placed: DataFrame, conditions) -> DataFrame:
-    """Per block, the counters at its beginning; blocks that start at zero are left out."""
-    ends = placed.groupBy("_key", "_block").agg(
+def _starts(placed: DataFrame, keys, conditions) -> DataFrame:
+    """Per block, the counters at its beginning; blocks that start at zero are left out.
+
+    As no key column can be null, nothing is filtered here that ``placed`` itself keeps, so
+    Spark finds that both need the same shuffle and does it once.
+    """
+    ends = placed.groupBy(*keys, "_block").agg(
         F.max("_rn").cast("long").alias("_n"), *[F.max(f"_bad_{c}").alias(f"_bad_{c}") for c in conditions]
     )
-    before = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offset = ends.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     carried = {
         c: F.col("_offset") - F.coalesce(F.max(F.col("_offset") + F.col(f"_bad_{c}")).over(before), F.lit(0))
         for c in conditions
     }
-    starts = offset.select("_key", "_block", *[v.alias(f"_start_{c}") for c, v in carried.items()])
+    starts = offset.select(*keys, "_block", *[v.alias(f"_start_{c}") for c, v in carried.items()])
     return starts.where(F.greatest(F.lit(0), *[F.col(f"_start_{c}") for c in conditions]) > 0)
 
 
+def _with_starts(rows: DataFrame, placed: DataFrame, keys, conditions, span) -> DataFrame:
+    if span is None:
+        return rows.select("*", *[F.lit(0).alias(f"_start_{c}") for c in conditions])
+    return rows.join(_starts(placed, keys, conditions), [*keys, "_block"], "left")
+
+
 def _length(name: str) -> Column:
     bad = F.col(f"_bad_{name}")
     start = F.coalesce(f"_start_{name}", F.lit(0))
     return F.when(bad.isNull(), start + F.col("_rn")).otherwise(F.col("_rn") - bad).cast("long")
 
 
-def _keyed(df: DataFrame, keys, columns) -> DataFrame:
-    return df.select(*[F.col(f"_key.{k}").alias(k) for k in keys], *columns)
-
-
 def streak_lengths(
     df: DataFrame,
     keys: Sequence[str] = KEYS,
@@ -84,12 +112,10 @@ def streak_lengths(
     """``keys``, ``order`` and one counter column per condition, for every row."""
     conditions = wave_conditions() if conditions is None else conditions
     placed = _in_blocks(df, keys, order, conditions, span)
-    rows = placed
-    if span is not None:
-        rows = placed.join(_starts(placed, conditions), ["_key", "_block"], "left")
-    else:
-        rows = placed.select("*", *[F.lit(0).alias(f"_start_{c}") for c in conditions])
-    return _keyed(rows, keys, [*order, *[_length(c).alias(c) for c in conditions]])
+    solid = _key_columns(df, keys)[1]
+    rows = _with_starts(placed, placed, solid, conditions, span)
+    restored = [_restored(solid, k) for k in keys]
+    return rows.select(*restored, *order, *[_length(c).alias(c) for c in conditions])
 
 
 def joint_streak(
@@ -110,15 +136,11 @@ def joint_streak(
 
         return stream_joint_streak(df, keys, order, conditions, over)
     placed = _in_blocks(df, keys, order, conditions, span)
-    starts = None if span is None else _starts(placed, conditions)
     # Rows that no start value could lift above the threshold need not be joined.
     possible = reduce(
         and_, [F.col(f"_bad_{c}").isNull() | (F.col("_rn") - F.col(f"_bad_{c}") > over) for c in conditions]
     )
-    rows = placed.where(possible)
-    if starts is not None:
-        rows = rows.join(starts, ["_key", "_block"], "left")
-    else:
-        rows = rows.select("*", *[F.lit(0).alias(f"_start_{c}") for c in conditions])
+    solid = _key_columns(df, keys)[1]
+    rows = _with_starts(placed.where(possible), placed, solid, conditions, span)
     held = reduce(and_, [_length(c) > over for c in conditions])
-    return _keyed(rows.where(held), keys, order)
+    return rows.where(held).select(*[_restored(solid, k) for k in keys], *order)

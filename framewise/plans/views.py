@@ -128,12 +128,13 @@ def person_tracks(ev: DataFrame) -> DataFrame:
 
 
 def label_results(ev: DataFrame) -> DataFrame:
-    """Results for about one frame in seven, some failed, a few ``not_face``."""
-    return ev.selectExpr("*", "cast(get_json_object(props, '$.k') as int) as k").where("k % 7 = 0").selectExpr(
+    """A result per event: most failed, about one in seven with a label, a few ``not_face``."""
+    return ev.selectExpr("*", "cast(get_json_object(props, '$.k') as int) as k").selectExpr(
         "cast(user_id as int) % 5 as camera_id",
         "cast(user_id as int) as track_id",
         "event_id div 4 as frame",
-        "case when k = 98 and event_type = 'error' then 'not_face' when k > 0 then event_type end as label",
+        """case when k = 98 and event_type = 'error' then 'not_face'
+                when k % 7 = 0 then event_type end as label""",
     )
 
 
