@@ -127,7 +127,8 @@ def frame_messages(people: DataFrame, frames: DataFrame | None = None, by: Seque
     grouped = people.groupBy(*keys).agg(F.sort_array(F.collect_list(person)).alias("people"))
     if frames is not None:
         grouped = frames.select(*keys).distinct().join(grouped, keys, "left")
-    listed = F.transform("people", lambda p: F.struct(p["id"].alias("id"), p["emotion"].alias("emotion"), p["fingers"].alias("fingers")))
+    names = ("id", "emotion", "fingers")
+    listed = F.transform("people", lambda p: F.struct(*[p[c].alias(c) for c in names]))
     value = F.to_json(listed, {"ignoreNullFields": "false"})
     return grouped.select(
         *by, F.col("frame").cast("string").alias("key"), F.coalesce(value, F.lit("[]")).alias("value")

@@ -21,7 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from framewise.operators.scan import SPAN, block_of
+from framewise.operators.scan import block_of
+
+# Smaller than for tables: a micro-batch holds few frames, and a large key should still
+# be spread over several tasks.
+STREAM_SPAN = 1 << 14
 
 _SUMMARY = -1
 
@@ -98,7 +102,7 @@ def stream_joint_streak(
     order: Sequence[str],
     conditions: Mapping[str, Column],
     over: int,
-    span: int = SPAN,
+    span: int = STREAM_SPAN,
     ttl_ms: int | None = None,
 ) -> DataFrame:
     """See ``joint_streak``. The rows of a micro-batch count in ``order``, micro-batches as they arrive."""
