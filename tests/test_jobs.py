@@ -128,6 +128,17 @@ def test_kafka_options():
     assert own.read_options("t", "earliest")["failOnDataLoss"] == "true"
 
 
+def test_kafka_records_count_in_order_of_arrival(spark, rows):
+    # The producer has restarted: its frame numbers begin again.
+    values = ['[{"id":1,"emotion":"SAD","fingers":[]}]'] * 12
+    data = [(str(i % 6 + 1).encode(), v.encode(), 100 + i) for i, v in enumerate(values)]
+    records = spark.createDataFrame(data, "key binary, value binary, offset long")
+    messages = KafkaTopics({}).messages(records)
+    assert rows(decode(messages), "frame") == [(100 + i,) for i in range(12)]
+    assert jobs.unique_emotions(messages).count() == 1
+    assert rows(KafkaTopics({}, by_offset=False).messages(records), "key")[0] == ("1",)
+
+
 def _scene():
     """Two faces, one of which leaves; a hand near each; nobody in the first frames."""
     detections, hands = [], []
