@@ -6,8 +6,9 @@ Two steps, so that a key that fills the stream is not handled by one task:
    parallel also within a key. In a block all rows are decided except the leading
    ones where no condition has failed yet, and of those only the first ``over``. The
    block passes on its decided rows, these few open rows and one summary row.
-2. Per key, the summaries are taken in order and meet the counters in state. Decided
-   rows travel in lanes of their own, so they do not gather at their key.
+2. Per key, the summaries are taken in order and meet the counters in state. Where a
+   block has many decided rows, they travel in a lane of their own, so that they do not
+   gather at their key.
 """
 
 from __future__ import annotations
@@ -25,9 +26,13 @@ from framewise.operators.scan import block_of
 
 # Smaller than for tables: a micro-batch holds few frames, and a large key should still
 # be spread over several tasks.
-STREAM_SPAN = 1 << 14
+STREAM_SPAN = 1 << 16
 
+# Lane of summaries and open rows; of decided rows as well, as long as a block has few.
 _SUMMARY = -1
+_FEW = 1000
+# Place of decided rows, in front of the block's summary (0) and open rows (1, 2, ...).
+_DECIDED = -1
 
 
 class JointStreak(StatefulProcessor):
@@ -56,7 +61,9 @@ class JointStreak(StatefulProcessor):
         stored = self.counters.get()
         counters = start = [0] * len(self.names) if stored is None else list(stored)
         for _, seq, n, *rest in pieces:
-            if seq == 0:
+            if seq == _DECIDED:
+                yield event(*key[:-1], *rest[width:])
+            elif seq == 0:
                 start = counters
                 ends = zip(start, rest[0:width:2], rest[1:width:2], strict=True)
                 counters = [s + n if head == n else tail for s, head, tail in ends]
@@ -70,28 +77,29 @@ class JointStreak(StatefulProcessor):
 
 def _block_summary(keys: Sequence[str], order: Sequence[str], names: Sequence[str], over: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(order), ignore_index=True)
-        n = len(pdf)
+        in_order = np.lexsort([pdf[c].to_numpy() for c in reversed(order)])
+        n = len(in_order)
         place = np.arange(1, n + 1)
         lengths, heads = [], []
         for name in names:
-            held = pdf[f"_ok_{name}"].to_numpy(dtype=bool)
+            held = pdf[f"_ok_{name}"].to_numpy(dtype=bool)[in_order]
             lengths.append(place - np.maximum.accumulate(np.where(held, 0, place)))
             heads.append(n if held.all() else int(np.argmin(held)))
-        decided = np.logical_and.reduce([length > over for length in lengths])
+        decided = np.flatnonzero(np.logical_and.reduce([length > over for length in lengths]))
         n_open = min(*heads, over, n)
         # The summary row itself, then the open rows, then the decided ones.
-        chosen = np.concatenate([[0], np.arange(n_open), np.flatnonzero(decided)])
+        chosen = in_order[np.concatenate([[0], np.arange(n_open), decided])]
         block = int(pdf["_block"].iloc[0])
-        out = pdf.loc[chosen, [*keys, *order]].reset_index(drop=True)
-        out["_lane"] = np.where(np.arange(len(chosen)) <= n_open, _SUMMARY, abs(block))
-        out["_block"] = block
-        out["_seq"] = np.concatenate([np.arange(n_open + 1), np.zeros(len(chosen) - n_open - 1, dtype=int)])
-        out["_n"] = n
+        lane = abs(block) if len(decided) > _FEW else _SUMMARY
+        out = {c: pdf[c].to_numpy()[chosen] for c in [*keys, *order]}
+        out["_lane"] = np.repeat([_SUMMARY, lane], [n_open + 1, len(decided)])
+        out["_block"] = np.repeat(block, len(chosen))
+        out["_seq"] = np.concatenate([np.arange(n_open + 1), np.repeat(_DECIDED, len(decided))])
+        out["_n"] = np.repeat(n, len(chosen))
         for name, length, head in zip(names, lengths, heads, strict=True):
-            out[f"_head_{name}"] = head
-            out[f"_tail_{name}"] = int(length[-1])
-        return out
+            out[f"_head_{name}"] = np.repeat(head, len(chosen))
+            out[f"_tail_{name}"] = np.repeat(int(length[-1]), len(chosen))
+        return pd.DataFrame(out)
 
     return run
 

@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from framewise.operators.tracking import DETECTION, FRAME, CameraTracks
+from framewise.streaming import streak
 from framewise.streaming.occurrence import NthOccurrence, _first_rows
 from framewise.streaming.streak import JointStreak, _block_summary
 from tests import brute
@@ -61,8 +62,10 @@ def test_occurrence_pieces(batches, n, chunk):
     st.lists(st.lists(st.tuples(st.booleans(), st.booleans()), max_size=30), min_size=1, max_size=4),
     st.integers(0, 6),
     st.integers(1, 9),
+    st.sampled_from([0, 2, 1000]),
 )
-def test_streak_pieces(batches, over, span):
+def test_streak_pieces(batches, over, span, few):
+    streak._FEW = few
     keys, order, names = ["id"], ["frame", "pos"], ["a", "b"]
     state = JointStreak(keys, order, names, over, None)
     state.counters = Value()
