@@ -28,6 +28,15 @@ from framewise.sources import (
 )
 from framewise.streaming import drain, drain_updates, start, stream_track_faces
 
+# The corpus operators and their pipeline are added where they are installed.
+try:
+    from framewise.llm import registry as _corpus
+    import corpus_pipeline as _pipeline
+except ImportError as missing:
+    if missing.name not in ("framewise.llm", "corpus_pipeline"):
+        raise
+    _corpus = _pipeline = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _SMOKE_DIR = "/root/testdata/sf0.001"
@@ -318,7 +327,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in _QUERIES}
+    found = {q.__name__: q for q in _QUERIES}
+    if _corpus:
+        found |= {**_corpus.queries(), "pipeline": _pipeline.run}
+    return found
 
 
 # The derived tables in SQL, named as in framewise.plans.views.
@@ -504,6 +516,13 @@ _PEOPLE_TEXT = "frame, pos, id, emotion, array_to_string(fingers, ',') AS finger
 
 
 def oracle_sql() -> dict[str, str]:
+    corpus = _corpus.oracle_sql() if _corpus else {}
+    if _pipeline and _pipeline.ORACLE_SQL:
+        corpus["pipeline"] = _pipeline.ORACLE_SQL
+    return _observation_sql() | corpus
+
+
+def _observation_sql() -> dict[str, str]:
     nth = _sql("SELECT * FROM tenth", *_TENTH)
     wave = _sql("SELECT * FROM wave_events", *_WAVES)
     flawed = """(SELECT frame FROM people WHERE emotion = 'ANGRY')"""
