@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewise.llm.chat import link_tools
 from framewise.llm.exact_dedup import exact_duplicates
+from framewise.llm.fingerprints import compare_edits
+from framewise.llm.licenses import RULES, SENTENCES, normal, scan_licenses
 from framewise.llm.line_dedup import drop_shared_lines
+from framewise.llm.mixing import mix_sources
+from framewise.llm.near_dedup import near_duplicates
 from framewise.llm.packing import pack
 from framewise.llm.token_counts import count_tokens
+from framewise.llm.toxicity import score_toxicity, train
 
 END_ID = 1
 
@@ -27,33 +33,221 @@ def op1_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), byte_vocabulary(), END_ID)
 
 
+def op2_near_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=2)
+
+
 def op3_line_dedup(spark, sf_dir):
     kept = drop_shared_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def held_out(key: str = "doc_id"):
+    """Rows that no label may be learnt from."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
+
+
+def toxicity_model(spark, sf_dir):
+    return train(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), ~held_out())
+
+
+def op4_toxicity(spark, sf_dir):
+    scored = score_toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op5_exact_dedup(spark, sf_dir):
     found = exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_fingerprints(spark, sf_dir):
+    return compare_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: The flattest weights still wanted, and how often a source may be gone through.
+MIX_ENTROPY, MIX_REPEATS = 0.98, 4.0
+
+
+def op7_mixing(spark, sf_dir):
+    mixed = mix_sources(table(spark, sf_dir, "documents"), entropy=MIX_ENTROPY, repeats=MIX_REPEATS)
+    return mixed.select("doc_id", "source", "epoch", "block")
+
+
+def op8_licenses(spark, sf_dir):
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.size("license_sentences").alias("n_sentences"),
+        F.array_join(F.transform("license_sentences", lambda x: F.concat(x["place"].cast("string"), F.lit(":"), x["sentence"])), " ").alias("sentences"),
+        F.array_join("license_rules", " ").alias("rules"),
+        F.array_join("licenses", " ").alias("licenses"),
+    )
+
+
 def op9_token_counts(spark, sf_dir):
     counted = count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), byte_vocabulary())
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+TOOLS = {
+    "search": {"query": ("string", True), "limit": ("integer", False)},
+    "lookup": {"key": ("integer", True), "exact": ("boolean", False)},
+    "compute": {"values": ("array", True), "op": ("string", True)},
+}
+
+
+def tool_traffic(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls and results that follow from ``conversations``, as the table itself has none.
+
+    What a user says becomes a call that uses the result of the call before, and what the assistant
+    says becomes its result. By the length of the text, some have broken or unfitting arguments,
+    unknown tools, lost or circular references, and some results name other calls or come early.
+    """
+    turns = turns.withColumn("n", F.coalesce(F.length("text"), F.lit(0)))
+    n = F.col("n")
+    search = F.struct(
+        F.when(n % 7 != 0, F.col("text")).alias("query"),
+        F.when(n % 5 != 0, n % 9).alias("limit"),
+        F.when(n % 10 == 0, F.lit(True)).alias("deep"),
+    )
+    lookup = F.struct(F.when(n % 4 == 0, n.cast("string")).alias("exact"), n.alias("key"))
+    compute = F.struct(F.array(n, n % 10).alias("values"), F.when(n % 5 != 0, "sum").alias("op"))
+    arguments = F.when(n % 13 == 0, '{"query": ').when(n % 3 == 0, F.to_json(search)).when(n % 3 == 1, F.to_json(lookup)).otherwise(F.to_json(compute))
+    tool = F.when(n % 11 == 0, "paint").when(n % 3 == 0, "search").when(n % 3 == 1, "lookup").otherwise("compute")
+    named = lambda turn: F.concat(F.lit("c"), turn.cast("string"))
+    after = (
+        F.when(n % 17 == 0, "c-1").when(n % 19 == 0, named(F.col("turn"))).when(F.col("turn") >= 2, named(F.col("turn") - 2))
+    )
+    calls = turns.where("role = 'user'").select(
+        "conv_id", named(F.col("turn")).alias("call_id"), "turn", tool.alias("tool"), arguments.alias("arguments"), after.alias("after")
+    )
+    results = turns.where("role = 'assistant'").select(
+        "conv_id",
+        F.when(n % 23 == 0, named(F.col("turn") + 1000)).otherwise(named(F.col("turn") - 1)).alias("call_id"),
+        F.when(n % 29 == 0, F.col("turn") - 2).otherwise(F.col("turn")).alias("turn"),
+        F.col("text").alias("content"),
+    )
+    return calls, results
+
+
+def op10_tool_calls(spark, sf_dir):
+    calls, results = tool_traffic(table(spark, sf_dir, "conversations"))
+    return link_tools(calls, results, TOOLS)
+
+
 def queries() -> dict:
     return {
         "op1_packing": op1_packing,
+        "op2_near_dedup": op2_near_dedup,
         "op3_line_dedup": op3_line_dedup,
+        "op4_toxicity": op4_toxicity,
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_fingerprints": op6_fingerprints,
+        "op7_mixing": op7_mixing,
+        "op8_licenses": op8_licenses,
         "op9_token_counts": op9_token_counts,
+        "op10_tool_calls": op10_tool_calls,
     }
 
 
 _KEY = r"translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def _license_sql() -> str:
+    known = ", ".join(f"('{normal(text)}', '{name}')" for name, text in sorted(SENTENCES.items()))
+    rules = ", ".join(f"('{name}', '{licence}', ' {' '.join(ids)} ')" for name, (licence, ids) in sorted(RULES.items()))
+    wrap = r"regexp_replace({}, '(^|[^.!?:;])\r?\n[ \t]*([a-z])', '\1 \2', 'g')"
+    return rf"""
+        WITH known AS (SELECT * FROM (VALUES {known}) AS t(sentence, name)),
+        rules AS (SELECT * FROM (VALUES {rules}) AS t(rule, licence, ids)),
+        cut AS (SELECT doc_id, string_split(regexp_replace(regexp_replace({wrap.format(wrap.format("coalesce(text, '')"))},
+                  '([.!?:;])[ \t\r\n]+', '\1' || chr(1), 'g'), '\r?\n', chr(1), 'g'), chr(1)) AS parts FROM documents),
+        parts AS (SELECT doc_id, unnest(range(0, len(parts))) AS place, unnest(parts) AS part FROM cut),
+        found AS (SELECT doc_id, place, name FROM parts
+                  JOIN known ON trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) = sentence),
+        listed AS (SELECT doc_id, count(*) AS n, string_agg(place || ':' || name, ' ' ORDER BY place) AS sentences,
+                     ' ' || string_agg(name, ' ' ORDER BY place) || ' ' AS ids FROM found GROUP BY doc_id),
+        matched AS (SELECT doc_id, rule, licence, r.ids FROM listed l JOIN rules r ON contains(l.ids, r.ids)),
+        longest AS (SELECT DISTINCT doc_id, rule, licence FROM matched m WHERE NOT EXISTS (
+                      SELECT 1 FROM matched o WHERE o.doc_id = m.doc_id AND o.rule <> m.rule AND contains(o.ids, m.ids))),
+        named AS (SELECT doc_id, string_agg(rule, ' ' ORDER BY rule) AS rules FROM longest GROUP BY doc_id),
+        licences AS (SELECT doc_id, string_agg(licence, ' ' ORDER BY licence) AS licenses
+                     FROM (SELECT DISTINCT doc_id, licence FROM longest) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(coalesce(n, 0) AS INT) AS n_sentences, coalesce(sentences, '') AS sentences,
+          coalesce(rules, '') AS rules, coalesce(licenses, '') AS licenses
+        FROM documents d LEFT JOIN listed USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN licences USING (doc_id)"""
+
+
+_MIX = """
+    WITH docs AS (SELECT doc_id, source, greatest(1, CAST(ceil(strlen(coalesce(text, '')) / 4) AS BIGINT)) AS t,
+                    CAST('0x' || substr(md5('0-' || doc_id), 1, 3) AS INT) AS block FROM documents),
+    sources AS (SELECT source, CAST(sum(t) AS BIGINT) AS tokens FROM docs GROUP BY source),
+    shares AS (SELECT *, tokens / (SELECT sum(tokens) FROM sources) AS p FROM sources),
+    grid AS (SELECT part, sum(exp(part / 10000.0::DOUBLE * ln(p))) AS z, sum(exp(part / 10000.0::DOUBLE * ln(p)) * ln(p)) AS s,
+               max(p) AS most, min(p) AS least, count(*) AS n
+             FROM shares CROSS JOIN range(0, 10001) AS r(part) GROUP BY part),
+    judged AS (SELECT part, CASE WHEN n > 1 THEN (ln(z) - part / 10000.0::DOUBLE * s / z) / ln(n) ELSE 1 END AS level,
+                 exp((1 - part / 10000.0::DOUBLE) * ln(most / least)) AS times FROM grid),
+    chosen AS (SELECT greatest((SELECT max(part) FROM judged WHERE level >= {entropy} - 1e-12),
+                               (SELECT min(part) FROM judged WHERE times <= {repeats} + 1e-12)) / 10000.0::DOUBLE AS a),
+    weights AS (SELECT source, tokens, exp(a * ln(p)) / (SELECT sum(exp(a * ln(p))) FROM shares, chosen) AS w FROM shares, chosen),
+    budgets AS (SELECT source, tokens, greatest(tokens, CAST(round((SELECT max(tokens / w) FROM weights) * w) AS BIGINT)) AS budget FROM weights),
+    blocks AS (SELECT source, block, CAST(sum(t) AS BIGINT) AS filled FROM docs GROUP BY source, block),
+    turns AS (SELECT b.source, block, filled, tokens, budget, unnest(range(0, (budget - 1) // tokens + 1)) AS epoch
+              FROM blocks b JOIN budgets g ON b.source IS NOT DISTINCT FROM g.source),
+    begun AS (SELECT *, epoch * tokens + coalesce(sum(filled) OVER (PARTITION BY source, epoch
+                ORDER BY md5('0-' || coalesce(source, '~') || '-' || epoch || '-' || block)
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS began FROM turns),
+    drawn AS (SELECT doc_id, d.source, epoch, d.block, t, budget - began AS room, filled,
+                sum(t) OVER (PARTITION BY d.source, d.block, epoch ORDER BY md5('0-' || doc_id || '-' || epoch), doc_id, t) AS upto
+              FROM docs d JOIN begun b ON d.source IS NOT DISTINCT FROM b.source AND d.block = b.block WHERE began < budget)
+    SELECT doc_id, source, CAST(epoch AS INT) AS epoch, block FROM drawn WHERE room >= filled OR upto <= room"""
+
+_TOOL_CALLS = """
+    WITH RECURSIVE turns AS (SELECT *, coalesce(length(text), 0) AS n FROM conversations),
+    calls AS (
+      SELECT conv_id, 'c' || turn AS call_id, turn, text, n,
+        CASE WHEN n % 11 = 0 THEN 'paint' WHEN n % 3 = 0 THEN 'search' WHEN n % 3 = 1 THEN 'lookup' ELSE 'compute' END AS tool,
+        CASE WHEN n % 17 = 0 THEN 'c-1' WHEN n % 19 = 0 THEN 'c' || turn WHEN turn >= 2 THEN 'c' || (turn - 2) END AS after
+      FROM turns WHERE role = 'user'),
+    results AS (
+      SELECT conv_id, CASE WHEN n % 23 = 0 THEN 'c' || (turn + 1000) ELSE 'c' || (turn - 1) END AS call_id,
+        CASE WHEN n % 29 = 0 THEN turn - 2 ELSE turn END AS turn, text
+      FROM turns WHERE role = 'assistant'),
+    depths AS (
+      SELECT conv_id, call_id, CAST(0 AS BIGINT) AS depth FROM calls c
+      WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.call_id = c.after)
+      UNION ALL
+      SELECT c.conv_id, c.call_id, depth + 1 FROM depths d JOIN calls c ON c.conv_id = d.conv_id AND c.after = d.call_id),
+    checked AS (
+      SELECT c.*, depth, after IS NOT NULL AND NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.call_id = c.after) AS lost,
+        EXISTS (SELECT 1 FROM results r WHERE r.conv_id = c.conv_id AND r.call_id = c.call_id) AS answered,
+        CASE WHEN n % 13 = 0 THEN 'not an object'
+             WHEN n % 11 = 0 THEN 'unknown tool'
+             WHEN n % 3 = 0 THEN concat_ws('; ', CASE WHEN n % 7 = 0 OR text IS NULL THEN 'missing query' END,
+                                                 CASE WHEN n % 10 = 0 THEN 'unknown deep' END)
+             WHEN n % 3 = 1 THEN CASE WHEN n % 4 = 0 THEN 'exact is no boolean' ELSE '' END
+             ELSE CASE WHEN n % 5 = 0 THEN 'missing op' ELSE '' END END AS errors,
+        CASE WHEN n % 13 = 0 THEN '{"text":"{\"query\": "}'
+             WHEN n % 3 = 0 THEN '{' || concat_ws(',', CASE WHEN n % 10 = 0 THEN '"deep":true' END,
+               CASE WHEN n % 5 <> 0 THEN '"limit":' || n % 9 END, CASE WHEN n % 7 <> 0 THEN '"query":' || CAST(to_json(text) AS VARCHAR) END) || '}'
+             WHEN n % 3 = 1 THEN '{' || concat_ws(',', CASE WHEN n % 4 = 0 THEN '"exact":"' || n || '"' END, '"key":' || n) || '}'
+             ELSE '{' || concat_ws(',', CASE WHEN n % 5 <> 0 THEN '"op":"sum"' END, '"values":[' || n || ',' || n % 10 || ']') || '}' END AS arguments
+      FROM calls c LEFT JOIN depths USING (conv_id, call_id))
+    SELECT conv_id, call_id, 'call' AS kind, turn, depth,
+      CASE WHEN depth IS NULL THEN 'cycle' WHEN NOT answered THEN 'unanswered' WHEN lost THEN 'lost' ELSE 'linked' END AS status,
+      errors = '' AS valid, errors,
+      '{"role":"assistant","tool_calls":[{"function":{"arguments":' || arguments || ',"name":"' || tool || '"},"id":"' || call_id || '","type":"function"}]}' AS message
+    FROM checked
+    UNION ALL
+    SELECT r.conv_id, r.call_id, 'result', r.turn, c.depth,
+      CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN c.depth IS NULL THEN 'cycle' WHEN r.turn < c.turn THEN 'early' ELSE 'linked' END,
+      c.errors = '', c.errors,
+      '{"content":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || ',"role":"tool","tool_call_id":"' || r.call_id || '"}'
+    FROM results r LEFT JOIN checked c USING (conv_id, call_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_dedup": rf"""
@@ -72,4 +266,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+        "op7_mixing": _MIX.format(entropy=MIX_ENTROPY, repeats=MIX_REPEATS),
+        "op8_licenses": _license_sql(),
+        "op10_tool_calls": _TOOL_CALLS,
     }

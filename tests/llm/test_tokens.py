@@ -1,0 +1,156 @@
+"""Encoding, token counts and packing."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from framewise.llm.bestfit import CapacityTree, plan
+from framewise.llm.encoding import Encoder
+from framewise.llm.packing import pack, sequences
+from framewise.llm.token_counts import count_tokens
+
+PIECES = ["a", "B", "1", " ", "  ", "\n", "\n\n", "\t", "'s", "é", "日本", "<|endoftext|>", "\x1c", "\x0b", "!!", "'", "🙂", "\r\n", "\x85", " "]
+
+
+@pytest.fixture(scope="module")
+def encoder(vocabulary):
+    return Encoder(vocabulary)
+
+
+def test_chunks_are_spliced_where_both_agree(encoder):
+    rnd = random.Random(1)
+    for _ in range(3000):
+        text = "".join(rnd.choice(PIECES) for _ in range(rnd.randint(0, 40)))
+        encoder.chunk, encoder.overlap = rnd.randint(1, 9), rnd.randint(1, 4)
+        assert encoder.ids(text).tolist() == encoder.library_ids(text).tolist(), repr(text)
+
+
+def test_overlap_is_widened_where_there_is_no_blank(encoder):
+    encoder.chunk, encoder.overlap = 64, 8
+    for text in ("ab" * 2000, "word " * 10 + "x" * 1000 + " word" * 10, "日本語" * 300, "é" * 500 + " ." * 9):
+        assert encoder.ids(text).tolist() == encoder.library_ids(text).tolist()
+
+
+def test_settled_characters_encode_as_by_the_library(encoder):
+    encoder.chunk, encoder.overlap = 1 << 16, 256
+    rnd = random.Random(2)
+    characters = [chr(i) for i in range(0x250)] + list(" \n\taB1'") * 20
+    for _ in range(4000):
+        text = "".join(rnd.choice(characters) for _ in range(rnd.randint(0, 12)))
+        assert encoder.ids(text).tolist() == encoder.library_ids(text).tolist(), repr(text)
+
+
+def test_counts(odd_docs, vocabulary):
+    plain = Encoder(vocabulary)
+    rows = count_tokens(odd_docs, vocabulary, limit=6).collect()
+    assert len(rows) == odd_docs.count() and {"lang", "source", "text"} <= set(rows[0].asDict())
+    for r in rows:
+        text = r["text"] or ""
+        assert (r["n_bytes"], r["n_tokens"]) == (len(text.encode()), len(plain.library_ids(text)))
+        assert r["over_limit"] == (r["n_tokens"] > 6)
+
+
+def test_counts_replace_clashing_columns_and_take_empty_tables(odd_docs, vocabulary):
+    from pyspark.sql import functions as F
+
+    clash = odd_docs.withColumns({"N_Tokens": F.lit("x"), "over_limit": F.lit("y")})
+    assert count_tokens(clash, vocabulary).schema["n_tokens"].dataType.simpleString() == "bigint"
+    assert count_tokens(clash.limit(0), vocabulary).collect() == []
+
+
+def one_at_a_time(lengths, capacity):
+    """Best-fit decreasing by its definition."""
+    left = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [x for x in left if x >= length]
+        if fitting:
+            left[left.index(min(fitting))] -= length
+        else:
+            left.append(capacity - length)
+    return sorted(left)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 23), max_size=60))
+def test_plan_is_best_fit_decreasing(lengths):
+    capacity = 23
+    counts = {x: lengths.count(x) for x in set(lengths)}
+    rules, windows = plan(counts, capacity)
+    room, numbered = [[] for _ in range(windows)], {}
+    for r in rules:
+        for i in range(r.pieces):
+            numbered.setdefault(r.length, []).append(r.first + i)
+            room[r.window + i // r.each].append((r.offset + i % r.each * r.length, r.length))
+    assert {k: sorted(v) for k, v in numbered.items()} == {k: list(range(n)) for k, n in counts.items()}
+    for content in room:
+        at = 0
+        for offset, length in sorted(content):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    assert sorted(capacity - sum(x for _, x in c) for c in room) == one_at_a_time(lengths, capacity)
+
+
+def test_tree_finds_the_tightest_window():
+    tree, rnd, have = CapacityTree(50), random.Random(3), {}
+    for _ in range(2000):
+        left = rnd.randint(1, 50)
+        if rnd.random() < 0.5:
+            tree.add(left, 0, 1)
+            have[left] = have.get(left, 0) + 1
+        else:
+            found = tree.tightest(left)
+            assert found == min((x for x, n in have.items() if n and x >= left), default=None)
+            if found is not None:
+                tree.take(found)
+                have[found] -= 1
+
+
+def check_packing(docs, vocabulary, capacity):
+    packed = pack(docs, vocabulary, 1, capacity, with_ids=True).cache()
+    rows, encoder = packed.collect(), Encoder(vocabulary)
+    want = sorted([*encoder.library_ids(r["text"] or "").tolist(), 1] for r in docs.collect())
+    have, sequence = {}, {}
+    for r in rows:
+        assert r["length"] == len(r["ids"]) <= capacity
+        assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+        have.setdefault((r["doc_id"], r["doc_tokens"]), []).append((r["start"], r["ids"]))
+        sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    found = []
+    for parts in have.values():
+        # Repeated rows have each piece as often as there are rows.
+        times = sum(1 for s, _ in parts if s == 0)
+        for i in range(times):
+            whole = [x for _, ids in sorted(parts)[i::times] for x in ids]
+            found.append(whole)
+    assert sorted(found) == want
+    for content in sequence.values():
+        at = 0
+        for offset, length in sorted(content):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    assert sorted(capacity - sum(x for _, x in c) for c in sequence.values()) == one_at_a_time([r["length"] for r in rows], capacity)
+    return packed
+
+
+def test_packing(odd_docs, vocabulary):
+    packed = check_packing(odd_docs, vocabulary, 64)
+    made = sequences(packed, 64, pad_id=7).collect()
+    assert sum(r["n_tokens"] for r in made) == sum(r["length"] for r in packed.collect())
+    for r in made:
+        count = r["n_tokens"]
+        assert r["padded_to"] == (count if count & (count - 1) == 0 else 64) == len(r["ids"])
+        assert set(r["ids"][count:]) <= {7}
+
+
+def test_packing_of_many_equal_documents(docs_of, vocabulary):
+    check_packing(docs_of(["the same words again and again"] * 300 + [f"number {i} " * (i % 40) for i in range(200)]), vocabulary, 100)
+
+
+def test_packing_of_nothing(docs_of, vocabulary):
+    assert pack(docs_of(["x"]).limit(0), vocabulary, 1).collect() == []
