@@ -133,7 +133,9 @@ def tool_traffic(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def op10_tool_calls(spark, sf_dir):
     calls, results = tool_traffic(table(spark, sf_dir, "conversations"))
-    return link_tools(calls, results, TOOLS)
+    linked = link_tools(calls, results, TOOLS)
+    # Where there is no call: -1, not valid, no error.
+    return linked.withColumns({"depth": F.coalesce("depth", F.lit(-1)), "valid": F.coalesce("valid", F.lit(False)), "errors": F.coalesce("errors", F.lit(""))})
 
 
 def queries() -> dict:
@@ -229,21 +231,21 @@ _TOOL_CALLS = """
                                                  CASE WHEN n % 10 = 0 THEN 'unknown deep' END)
              WHEN n % 3 = 1 THEN CASE WHEN n % 4 = 0 THEN 'exact is no boolean' ELSE '' END
              ELSE CASE WHEN n % 5 = 0 THEN 'missing op' ELSE '' END END AS errors,
-        CASE WHEN n % 13 = 0 THEN '{"text":"{\"query\": "}'
+        CASE WHEN n % 13 = 0 THEN '{"text":"{\\"query\\": "}'
              WHEN n % 3 = 0 THEN '{' || concat_ws(',', CASE WHEN n % 10 = 0 THEN '"deep":true' END,
                CASE WHEN n % 5 <> 0 THEN '"limit":' || n % 9 END, CASE WHEN n % 7 <> 0 THEN '"query":' || CAST(to_json(text) AS VARCHAR) END) || '}'
              WHEN n % 3 = 1 THEN '{' || concat_ws(',', CASE WHEN n % 4 = 0 THEN '"exact":"' || n || '"' END, '"key":' || n) || '}'
              ELSE '{' || concat_ws(',', CASE WHEN n % 5 <> 0 THEN '"op":"sum"' END, '"values":[' || n || ',' || n % 10 || ']') || '}' END AS arguments
       FROM calls c LEFT JOIN depths USING (conv_id, call_id))
-    SELECT conv_id, call_id, 'call' AS kind, turn, depth,
+    SELECT conv_id, call_id, 'call' AS kind, turn, coalesce(depth, -1) AS depth,
       CASE WHEN depth IS NULL THEN 'cycle' WHEN NOT answered THEN 'unanswered' WHEN lost THEN 'lost' ELSE 'linked' END AS status,
       errors = '' AS valid, errors,
       '{"role":"assistant","tool_calls":[{"function":{"arguments":' || arguments || ',"name":"' || tool || '"},"id":"' || call_id || '","type":"function"}]}' AS message
     FROM checked
     UNION ALL
-    SELECT r.conv_id, r.call_id, 'result', r.turn, c.depth,
+    SELECT r.conv_id, r.call_id, 'result', r.turn, coalesce(c.depth, -1),
       CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN c.depth IS NULL THEN 'cycle' WHEN r.turn < c.turn THEN 'early' ELSE 'linked' END,
-      c.errors = '', c.errors,
+      coalesce(c.errors = '', false), coalesce(c.errors, ''),
       '{"content":' || coalesce(CAST(to_json(r.text) AS VARCHAR), 'null') || ',"role":"tool","tool_call_id":"' || r.call_id || '"}'
     FROM results r LEFT JOIN checked c USING (conv_id, call_id)"""
 

@@ -1,0 +1,72 @@
+"""The registered queries against their SQL, and the pipeline, on the smallest tables."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from framewise.llm import registry
+
+SF = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for name in ("documents", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_sql(spark, duck, name):
+    frame = registry.queries()[name](spark, SF)
+    columns = sorted(frame.columns)
+    want = duck.execute(f"SELECT {', '.join(columns)} FROM ({registry.oracle_sql()[name]})").fetchall()
+    have = [tuple(r) for r in frame.select(*columns).collect()]
+    assert len(have) > 0 and sorted(map(str, have)) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("name", ["op1_packing", "op2_near_dedup", "op4_toxicity", "op6_fingerprints", "op9_token_counts"])
+def test_one_row_per_document(spark, name):
+    frame = registry.queries()[name](spark, SF)
+    assert frame.columns[0] == "doc_id"
+    ids = sorted(r[0] for r in frame.select("doc_id").distinct().collect())
+    assert ids == sorted(r[0] for r in registry.table(spark, SF, "documents").select("doc_id").collect())
+
+
+def test_held_out_rows(spark):
+    import zlib
+
+    rows = registry.table(spark, SF, "documents").select("doc_id", registry.held_out().alias("h")).collect()
+    assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+
+
+def test_pipeline_stages(spark, tmp_path):
+    documents = registry.table(spark, SF, "documents")
+    docs, counts = documents, []
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF)
+        if number < len(corpus_pipeline.STAGES) - 1:
+            assert out.columns == documents.columns
+        out.write.parquet(str(tmp_path / str(number)))
+        docs = spark.read.parquet(str(tmp_path / str(number)))
+        counts.append((docs.count(), docs.select("doc_id").distinct().count()))
+    total = documents.count()
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "near dedup", "mixing", "packing"]
+    assert counts[0][0] <= total and counts[1] == counts[0] and counts[2][0] < counts[1][0]
+    assert counts[3][1] == counts[2][1] and counts[3][0] >= counts[2][0] and counts[4][1] == counts[3][1]
+
+
+def test_pipeline_takes_odd_and_empty_tables(spark, odd_docs):
+    more = odd_docs.withColumn("n_chars", F.length("text").cast("long")).withColumn("kept", F.lit(True))
+    for docs in (more, more.limit(0)):
+        for _, stage in corpus_pipeline.STAGES:
+            before = docs
+            docs = stage(spark, docs, SF)
+        rows = docs.collect()
+        assert bool(rows) == bool(before.take(1))
