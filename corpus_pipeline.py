@@ -1,31 +1,62 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
+
+Toxic documents go, lines that many documents share go except in the last of them, one document of
+each group of near duplicates stays, sources are brought to their target weights, and what is left is
+packed into sequences. All stages but the last return the columns that they were given.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from framewise.llm.line_dedup import drop_shared_lines
+from framewise.llm.mixing import mix_sources
+from framewise.llm.near_dedup import near_duplicates
 from framewise.llm.packing import pack
-from framewise.llm.registry import END_ID, byte_vocabulary
+from framewise.llm.registry import END_ID, MIX_ENTROPY, MIX_REPEATS, byte_vocabulary, held_out, table
+from framewise.llm.toxicity import score_toxicity, train
 from framewise.settings import run_dir
 
-#: The near-duplicate and toxicity stages cannot be expressed in SQL.
+#: The toxicity and near-duplicate stages cannot be expressed in SQL.
 ORACLE_SQL = None
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents predicted to be toxic. The model is learnt from labelled ones among ``docs``."""
+    model = train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), ~held_out())
+    return score_toxicity(docs, model).where(F.col("predicted") == 0).select(*docs.columns)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the lines that at least three documents share, but for their last holder."""
     return drop_shared_lines(docs).select(*docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group linked by five-word shingles at 0.8."""
+    found = near_duplicates(docs.select("doc_id", "text"))
+    dropped = found.where(~F.col("kept")).select("doc_id").distinct()
+    # Rows without an id are in no group and stay.
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources in their target weights: every document at least once, those of small sources more often."""
+    return mix_sources(docs, entropy=MIX_ENTROPY, repeats=MIX_REPEATS).select(*docs.columns)
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2,048 tokens: one row per piece of a document."""
     return pack(docs, byte_vocabulary(), END_ID)
 
 
-STAGES = [("line dedup", line_dedup), ("packing", packing)]
+STAGES = [("toxicity", toxicity), ("line dedup", line_dedup), ("near dedup", near_dedup), ("mixing", mixing), ("packing", packing)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), run_dir(spark, "pipeline")
+    """All stages over ``documents``."""
+    docs, folder = table(spark, sf_dir, "documents"), run_dir(spark, "pipeline")
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
         docs = spark.read.parquet(f"{folder}/{number}")
