@@ -146,13 +146,15 @@ def compare_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 
     @F.pandas_udf("array<int>")
     def places(keys: pd.Series) -> pd.Series:
-        values = keys.astype("Int64")
-        own = np.searchsorted(borders, values.fillna(0).to_numpy(np.int64), side="right")
-        head = np.isin(values.fillna(0).to_numpy(np.int64), firsts) & values.notna().to_numpy()
-        return pd.Series([[int(r), before[int(k)]] if h else [int(r)] for r, h, k in zip(own, head, values.fillna(0))])
+        values = keys.to_numpy(np.int64)
+        own = np.searchsorted(borders, values, side="right")
+        head = np.isin(values, firsts)
+        return pd.Series([[int(r), before[int(k)]] if h else [int(r)] for r, h, k in zip(own, head, values)])
 
     rows = docs.select(F.col(key).alias("key"), F.col(key).cast("long").alias("k"), whole_text(text).alias("text"))
-    rows = rows.select("key", "k", "text", F.posexplode(places("k")).alias("extra", "range"))
+    # pandas has no nulls among integers; rows without a key go to the first range.
+    where = F.when(F.col("k").isNull(), F.array(F.lit(0))).otherwise(places(F.coalesce("k", F.lit(0))))
+    rows = rows.select("key", "k", "text", F.posexplode(where).alias("extra", "range"))
     dealt = rows.repartitionById(count, F.col("range")).sortWithinPartitions("range", "extra", "k", "text")
     doubles = [T.StructField(c, T.DoubleType()) for c in ("near_edited", "near_next")]
     strings = [T.StructField(c, T.StringType()) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")]
