@@ -36,9 +36,9 @@ from framewise.settings import write_through
 PERMUTATIONS = 64
 ROWS = 4
 
-#: Classes outside a bucket's main component, and members of the bucket, that meet in one block.
-OUTSIDE = 64
-INSIDE = 256
+#: A block of an exhaustive comparison: bytes of the sets on each side, and pairs, on average at most.
+BLOCK_BYTES = 4 << 20
+BLOCK_PAIRS = 200_000
 
 _MULTIPLY = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = mix(np.arange(1001, PERMUTATIONS + 1001, dtype=np.uint64))
@@ -143,24 +143,34 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _remaining(members: DataFrame, known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between components that meet in a bucket and whose pairs have not all been compared.
 
-    ``members``: band, node, centre, filled. In a bucket of two, the one pair has been compared.
+    ``members``: band, node, n_shingles, centre, filled. In a bucket of two, the one pair has been compared.
     """
     placed = (
         members.where(F.col("filled") > 2)
         .join(known.withColumnRenamed("component", "_component"), "node", "left")
-        .select("band", "node", F.coalesce("_component", "node").alias("component"))
+        .select("band", "node", "n_shingles", F.coalesce("_component", "node").alias("component"))
     )
-    parts = placed.groupBy("band", "component").agg(F.count("*").alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"))
+    parts = placed.groupBy("band", "component").agg(
+        F.count("*").alias("n"), (8 * F.sum("n_shingles")).alias("bytes"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h")
+    )
+    largest = F.struct("n", "component")
     mixed = (
         parts.groupBy("band")
-        .agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"), F.sum("h").alias("h"), F.count("*").alias("k"))
+        .agg(
+            F.max_by(F.struct("component", "n", "bytes"), largest).alias("main"),
+            F.sum("n").alias("n"),
+            F.sum("bytes").alias("bytes"),
+            F.sum("h").alias("h"),
+            F.count("*").alias("k"),
+        )
         .where(F.col("k") > 1)
     )
     # Buckets with the same members need to be looked at once.
-    mixed = mixed.groupBy("all", "most", "h").agg(F.min_by(F.struct("band", "main"), "band").alias("first")).select("first.*", "all", "most")
-    mixed = mixed.select(
-        "band", "main", F.ceil((F.col("all") - F.col("most")) / OUTSIDE).cast("int").alias("outer"), F.ceil(F.col("all") / INSIDE).cast("int").alias("inner")
-    )
+    mixed = mixed.groupBy("n", "bytes", "h").agg(F.min_by(F.struct("band", "main"), "band").alias("first")).select("first.*", "n", "bytes")
+    outer = F.ceil((F.col("bytes") - F.col("main.bytes")) / BLOCK_BYTES)
+    pairs = F.ceil((F.col("n") - F.col("main.n")) / outer) * F.col("n")
+    inner = F.greatest(F.ceil(F.col("bytes") / BLOCK_BYTES), F.ceil(pairs / BLOCK_PAIRS))
+    mixed = mixed.select("band", F.col("main.component").alias("main"), outer.cast("int").alias("outer"), inner.cast("int").alias("inner"))
     at = placed.join(mixed, "band")
     own = lambda count: F.pmod(F.xxhash64("node", F.lit(7)), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
@@ -207,8 +217,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     sketches = write_through(_sketches(docs, key, text, size), "sketches")
     known = sketches.where(F.col("same").isNotNull() & F.col("key").isNotNull())
     # Equal sets have equal bands, so any will do.
-    classes = write_through(known.groupBy("same").agg(F.min("key").alias("node"), F.any_value("bands").alias("bands")), "classes")
-    entries = classes.select("node", F.explode("bands").alias("band"))
+    classes = write_through(known.groupBy("same").agg(F.min("key").alias("node"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("bands").alias("bands")), "classes")
+    entries = classes.select("node", "n_shingles", F.explode("bands").alias("band"))
     buckets = entries.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("filled")).where(F.col("filled") > 1)
     members = write_through(entries.join(buckets, "band"), "bucket-members")
     sets = write_through(_sets(docs, members.select("node").distinct(), key, text, size), "sets")

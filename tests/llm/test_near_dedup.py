@@ -63,8 +63,8 @@ def test_against_brute_force(docs_of, size):
 
 def test_large_group_of_near_copies_with_chains(docs_of, monkeypatch):
     """Small blocks, so that buckets are split; edits add up, so that many pairs aren't linked directly."""
-    monkeypatch.setattr(near_dedup, "OUTSIDE", 3)
-    monkeypatch.setattr(near_dedup, "INSIDE", 7)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(near_dedup, "BLOCK_PAIRS", 50)
     rnd, texts = random.Random(9), []
     words = [f"v{i}" for i in range(60)]
     for _ in range(120):
