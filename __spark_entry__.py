@@ -15,7 +15,7 @@ from framewise import functions as fn
 from framewise import operators as op
 from framewise.plans import jobs
 from framewise.plans import views as v
-from framewise.schemas import UNIQUE_TOPIC
+from framewise.schemas import RECORDED_TOPIC, UNIQUE_TOPIC
 from framewise.settings import run_dir
 from framewise.sources import (
     FileTopics,
@@ -39,6 +39,9 @@ except ImportError as missing:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# A span with which even the smallest table has many blocks per key.
+_FEW_FRAMES = 64
+
 _SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -54,6 +57,15 @@ def _wave_messages(ev: DataFrame) -> DataFrame:
     return frame_messages(v.wave_people(ev))
 
 
+def _with_bad_fingers(ev: DataFrame) -> DataFrame:
+    """Finger lists of people with id 3, 13, 23 and so on replaced by what is no list."""
+    pick = F.regexp_extract("value", r'"id":\d*3,', 0) != ""
+    bad = [F.regexp_replace("value", r'("id":\d*3,"emotion":"[A-Z]+","fingers":)\[[^\]]*\]', f"$1{x}") for x in ("5", '"abc"', '{"a":1}', '"[1]"')]
+    kind = F.col("key").cast("long") % 4
+    value = F.when(kind == 0, bad[0]).when(kind == 1, bad[1]).when(kind == 2, bad[2]).otherwise(bad[3])
+    return _messages(ev).withColumn("value", F.when(pick, value).otherwise(F.col("value")))
+
+
 def _flawed_messages(ev: DataFrame) -> DataFrame:
     """The labels of ANGRY people replaced by one that is not in the known set."""
     label = F.when(F.col("emotion") == "ANGRY", "UNKNOWN").otherwise(F.col("emotion"))
@@ -77,6 +89,12 @@ def rejected_messages(spark, sf_dir):
     return rejected.select("key", "value", "error")
 
 
+def rejected_fingers(spark, sf_dir):
+    """Keys of the messages in which somebody's fingers are no array."""
+    _, rejected = split_messages(_with_bad_fingers(v.events(spark, sf_dir)))
+    return rejected.select("key", "error")
+
+
 def assemble_messages(spark, sf_dir):
     return _messages(v.events(spark, sf_dir))
 
@@ -100,6 +118,10 @@ def occurrence_number(spark, sf_dir):
     return op.occurrence_number(v.people(v.events(spark, sf_dir)).drop("fingers"))
 
 
+def occurrence_number_in_blocks(spark, sf_dir):
+    return op.occurrence_number(v.people(v.events(spark, sf_dir)).drop("fingers"), span=_FEW_FRAMES)
+
+
 def nth_occurrence(spark, sf_dir):
     return op.nth_occurrence(v.people(v.events(spark, sf_dir)))
 
@@ -120,6 +142,10 @@ def streak_lengths(spark, sf_dir):
     return op.streak_lengths(v.wave_people(v.events(spark, sf_dir)))
 
 
+def streak_lengths_in_blocks(spark, sf_dir):
+    return op.streak_lengths(v.wave_people(v.events(spark, sf_dir)), span=_FEW_FRAMES)
+
+
 def joint_streak(spark, sf_dir):
     return op.joint_streak(v.wave_people(v.events(spark, sf_dir)))
 
@@ -143,11 +169,12 @@ def hand_anchor(spark, sf_dir):
 
 def grid_cell(spark, sf_dir):
     cells = [fn.grid_cell(F.col(c)).alias(f"cell_{c}") for c in ("x", "y")]
-    return v.hands(v.events(spark, sf_dir)).select("frame_id", "hand_ord", *cells)
+    return v.camera_hands(v.events(spark, sf_dir)).select("camera_id", "frame", "hand_ord", *cells)
 
 
 def smooth_fingers(spark, sf_dir):
-    return op.smooth_fingers(v.hands(v.events(spark, sf_dir))).select("frame_id", "hand_ord", "smoothed")
+    smoothed = op.smooth_fingers(v.camera_hands(v.events(spark, sf_dir)), jobs.CAMERA_FRAME)
+    return smoothed.select(*jobs.CAMERA_FRAME, "hand_ord", "smoothed")
 
 
 def box_geometry(spark, sf_dir):
@@ -218,14 +245,19 @@ def label_asof(spark, sf_dir):
     return op.label_asof(v.person_tracks(ev), v.label_results(ev))
 
 
+def label_asof_in_blocks(spark, sf_dir):
+    ev = v.events(spark, sf_dir)
+    return op.label_asof(v.person_tracks(ev), v.label_results(ev), span=_FEW_FRAMES)
+
+
 def reanalysis_due(spark, sf_dir):
     due = fn.reanalysis_due(F.col("busy"), F.col("frame"), F.col("last_analyzed"))
     return v.analysis_states(v.events(spark, sf_dir)).withColumn("due", due)
 
 
-def _tracked(spark, sf_dir):
+def _tracked(spark, sf_dir, **options):
     ev = v.events(spark, sf_dir)
-    return op.track_faces(v.camera_frames(ev), v.detections(ev).where("verified"), width=v.WIDTH, height=v.HEIGHT)
+    return op.track_faces(v.camera_frames(ev), v.detections(ev).where("verified"), width=v.WIDTH, height=v.HEIGHT, **options)
 
 
 _TRACK_COLUMNS = "camera_id frame session n track_id x y w h cx cy label last_seen_frame ask".split()
@@ -235,16 +267,46 @@ def track_faces(spark, sf_dir):
     return op.number_tracks(_tracked(spark, sf_dir)).select(*_TRACK_COLUMNS)
 
 
+def track_faces_in_blocks(spark, sf_dir):
+    return op.number_tracks(_tracked(spark, sf_dir, span=_FEW_FRAMES)).select(*_TRACK_COLUMNS)
+
+
 def analysis_requests(spark, sf_dir):
     return op.analysis_requests(_tracked(spark, sf_dir))
 
 
+def _told_tracks(spark, sf_dir):
+    """Tracks whose analysis requests are answered."""
+    return _tracked(spark, sf_dir, results=v.request_results(op.analysis_requests(_tracked(spark, sf_dir))))
+
+
+def track_labels(spark, sf_dir):
+    return op.number_tracks(_told_tracks(spark, sf_dir)).select(*_TRACK_COLUMNS)
+
+
+def repeated_requests(spark, sf_dir):
+    """Requests with the repeated ones: failed analyses at once, others after thirty frames."""
+    return op.analysis_requests(_told_tracks(spark, sf_dir))
+
+
 def recorded_messages(spark, sf_dir):
     ev = v.events(spark, sf_dir)
     detected = v.detections(ev).where("verified")
     return jobs.record_messages(v.camera_frames(ev), detected, v.camera_hands(ev), width=v.WIDTH, height=v.HEIGHT)
 
 
+def landmarks_to_messages(spark, sf_dir):
+    """The whole way from hand landmarks and boxes to messages."""
+    ev = v.events(spark, sf_dir)
+    hands = jobs.hands_from_landmarks(v.camera_landmarks(ev), v.WIDTH, v.HEIGHT)
+    return jobs.record_messages(v.camera_frames(ev), v.detections(ev).where("verified"), hands, width=v.WIDTH, height=v.HEIGHT)
+
+
+def recorded_unique_emotions(spark, sf_dir):
+    """From detections of five cameras, over their messages, to the tenth frames."""
+    return jobs.unique_emotions(jobs.keyed(recorded_messages(spark, sf_dir)), by=["camera_id"])
+
+
 # Streams: run over all input, then read back
 
 
@@ -270,29 +332,82 @@ def stream_chain(spark, sf_dir):
     return drain_updates(jobs.count_unique_emotions(topics.stream(spark, UNIQUE_TOPIC)), "chain", ["emotion"])
 
 
+def stream_waves_without_keys(spark, sf_dir):
+    """A topic that only holds values: nobody's frames have a number. All show a wave all the time."""
+    waving = v.people(v.events(spark, sf_dir)).withColumns({"emotion": F.lit("HAPPY"), "fingers": F.array(F.lit(5))})
+    messages = frame_messages(waving)
+    topics = FileTopics(run_dir(spark, "topics"), max_files=1)
+    for i in range(3):
+        topics.write(messages.where(F.col("key").cast("long") % 3 == i).select("value").coalesce(1), RECORDED_TOPIC)
+    return drain(jobs.waves(topics.stream(spark, RECORDED_TOPIC)), "waves")
+
+
+def _camera_steps(ev: DataFrame, hands: bool = False) -> DataFrame:
+    """What a camera's stream brings: its boxes and hands, and a frame row with each box."""
+    found = v.detections(ev)
+    ticks = found.select("camera_id", "frame")
+    return op.tracker_input(ticks, found.where("verified"), hands=v.camera_hands(ev) if hands else None)
+
+
 def stream_tracks(spark, sf_dir):
-    ev = v.events_stream(spark, sf_dir)
-    # Without frame rows of its own: a stream cannot tell distinct frames without state.
-    ticks = v.detections(ev).select("camera_id", "frame")
-    rows = op.tracker_input(ticks, v.detections(ev).where("verified"))
-    tracks = drain(stream_track_faces(rows, v.WIDTH, v.HEIGHT), "tracks")
-    return tracks.groupBy("camera_id", "frame", "track_id").agg(F.max("last_seen_frame").alias("last_seen_frame"))
+    """Frames are cut by micro-batches; the last one of each camera stays open."""
+    rows = _camera_steps(v.events_stream(spark, sf_dir))
+    return drain(stream_track_faces(rows, v.WIDTH, v.HEIGHT, whole_frames=True), "tracks").select(*_TRACK_COLUMNS)
+
+
+def stream_track_labels(spark, sf_dir):
+    """The same with results, everything in four micro-batches."""
+    ev = v.events(spark, sf_dir)
+    results = v.request_results(op.analysis_requests(_tracked(spark, sf_dir)))
+    steps = op.tracker_input(v.camera_frames(ev), v.detections(ev).where("verified"), results)
+    stream = stream_track_faces(v.in_files(steps, "frame"), v.WIDTH, v.HEIGHT, whole_frames=True)
+    # The last frame is open or not, according to whether a result names a later one.
+    last = v.camera_frames(ev).agg(F.max("frame").alias("last"))
+    return drain(stream, "tracks").join(F.broadcast(last), F.col("frame") < F.col("last")).select(*_TRACK_COLUMNS)
+
+
+def stream_landmarks_to_messages(spark, sf_dir):
+    topics, ev = FileTopics(run_dir(spark, "topics")), v.events(spark, sf_dir)
+    hands = op.measure_hands(v.camera_landmarks(ev), v.WIDTH, v.HEIGHT)
+    steps = v.in_files(op.tracker_input(v.camera_frames(ev), v.detections(ev).where("verified"), hands=hands), "frame")
+    size = {"width": v.WIDTH, "height": v.HEIGHT}
+    query = jobs.start_recording(steps, topics, run_dir(spark, "checkpoint"), smooth=True, trigger={"availableNow": True}, **size)
+    query.awaitTermination()
+    return topics.read(spark, RECORDED_TOPIC)
+
+
+def stream_recording(spark, sf_dir):
+    """Two recordings, of three and of two cameras, into one topic; its messages."""
+    topics, ev = FileTopics(run_dir(spark, "topics")), v.events_stream(spark, sf_dir)
+    for cameras in ("camera_id < 3", "camera_id >= 3"):
+        jobs.start_recording(
+            _camera_steps(ev, hands=True).where(cameras),
+            topics,
+            run_dir(spark, "checkpoint"),
+            width=v.WIDTH,
+            height=v.HEIGHT,
+            trigger={"availableNow": True},
+        ).awaitTermination()
+    return topics.read(spark, RECORDED_TOPIC)
 
 
 _QUERIES: tuple[Query, ...] = (
     decode_people,
     accepted_people,
     rejected_messages,
+    rejected_fingers,
     assemble_messages,
     encode_events,
     encode_waves,
     padded_lines,
     occurrence_number,
+    occurrence_number_in_blocks,
     nth_occurrence,
     unique_emotion_counts,
     unique_emotions_job,
     waves_job,
     streak_lengths,
+    streak_lengths_in_blocks,
     joint_streak,
     people_per_frame,
     finger_count,
@@ -308,15 +423,25 @@ _QUERIES: tuple[Query, ...] = (
     greedy_match,
     fingers_by_face,
     label_asof,
+    label_asof_in_blocks,
     reanalysis_due,
     track_faces,
+    track_faces_in_blocks,
     analysis_requests,
+    track_labels,
+    repeated_requests,
     recorded_messages,
+    landmarks_to_messages,
+    recorded_unique_emotions,
     stream_nth,
     stream_streak,
     stream_counts,
     stream_chain,
+    stream_waves_without_keys,
     stream_tracks,
+    stream_track_labels,
+    stream_recording,
+    stream_landmarks_to_messages,
 )
 
 
@@ -333,6 +458,17 @@ def queries() -> dict[str, Query]:
     return found
 
 
+_FINGERS = """CAST(lm[9].y < lm[7].y AS INT) + CAST(lm[13].y < lm[11].y AS INT)
+    + CAST(lm[17].y < lm[15].y AS INT) + CAST(lm[21].y < lm[19].y AS INT)
+    + CAST(CASE WHEN hand_label = 'Right' THEN lm[5].x < lm[4].x ELSE lm[5].x > lm[4].x END AS INT)"""
+_ANCHOR_X = "CAST(trunc(lm[1].x * 640) AS INT)"
+_ANCHOR_Y = """CASE WHEN CAST(trunc(lm[1].y * 480) AS INT) - 30 < 20 THEN CAST(trunc(lm[1].y * 480) AS INT) + 30
+    ELSE CAST(trunc(lm[1].y * 480) AS INT) - 30 END"""
+
+# A label for a result, by a number.
+_TOLD = """CASE ({}) % 6 WHEN 0 THEN 'not_face' WHEN 2 THEN 'happy' WHEN 3 THEN 'sad'
+                         WHEN 4 THEN 'unknown' WHEN 5 THEN 'fear' END AS label"""
+
 # The derived tables in SQL, named as in framewise.plans.views.
 _VIEWS = {
     "people": """
@@ -494,6 +630,80 @@ _VIEWS = {
         SELECT camera_id, frame, track_id, string_agg(CAST(n_fingers AS VARCHAR), ',' ORDER BY place) AS fingers
         FROM camera_choices JOIN camera_pairs USING (camera_id, frame, place) WHERE chosen
         GROUP BY camera_id, frame, track_id""",
+    # Results of the requests of tracks without results, and a second one for each.
+    "told": f"""
+        SELECT camera_id, session, n, frame + 3 + (frame + n) % 40 AS frame, {_TOLD.format('session + n')} FROM numbered WHERE opening
+        UNION ALL
+        SELECT camera_id, session, n, frame + 50 + (frame + n) % 20, {_TOLD.format('session + n + 3')} FROM numbered WHERE opening""",
+    "actions": """
+        SELECT *, row_number() OVER (PARTITION BY camera_id ORDER BY frame, kind, ord, session, n, label NULLS FIRST) AS step
+        FROM (
+          SELECT camera_id, frame, 0 AS kind, 0 AS ord, session, n, label, 0 AS x, 0 AS y, 0 AS w, 0 AS h, 0 AS cx, 0 AS cy, 0 AS pad FROM told
+          UNION ALL
+          SELECT camera_id, frame, 1, det_ord, session, 0, NULL, x, y, w, h, cx, cy, pad FROM assigned)""",
+    # Results and detections of a camera one by one, with the tracks that live after each.
+    "labelled": """
+        SELECT DISTINCT camera_id, CAST(0 AS BIGINT) AS step, CAST(-1 AS BIGINT) AS frame, CAST(-1 AS BIGINT) AS session,
+          CAST(0 AS BIGINT) AS opened,
+          CAST([] AS STRUCT(session BIGINT, n BIGINT, x INT, y INT, w INT, h INT, cx INT, cy INT, pad INT, seen BIGINT,
+                            label VARCHAR, busy BOOLEAN, asked BIGINT, analyzed BIGINT)[]) AS live
+        FROM actions
+        UNION ALL
+        SELECT camera_id, step, frame, CASE WHEN kind = 1 THEN a_session ELSE session END,
+          CASE WHEN kind = 1 AND near IS NULL THEN next_n + 1 WHEN kind = 1 THEN next_n ELSE opened END,
+          CASE WHEN kind = 0 THEN list_transform(
+                 list_filter(left_over, lambda t: NOT (t.session = a_session AND t.n = a_n AND coalesce(a_label, '') = 'not_face')),
+                 lambda t: {'session': t.session, 'n': t.n, 'x': t.x, 'y': t.y, 'w': t.w, 'h': t.h, 'cx': t.cx, 'cy': t.cy, 'pad': t.pad,
+                   'seen': t.seen,
+                   'label': CASE WHEN t.session = a_session AND t.n = a_n THEN coalesce(a_label, t.label) ELSE t.label END,
+                   'busy': t.busy AND NOT (t.session = a_session AND t.n = a_n), 'asked': t.asked,
+                   'analyzed': CASE WHEN t.session = a_session AND t.n = a_n AND a_label IS NOT NULL THEN t.asked ELSE t.analyzed END})
+               WHEN near IS NULL THEN list_append(left_over,
+                 {'session': a_session, 'n': next_n, 'x': x, 'y': y, 'w': w, 'h': h, 'cx': cx, 'cy': cy, 'pad': pad, 'seen': frame,
+                  'label': 'neutral', 'busy': true, 'asked': frame, 'analyzed': CAST(NULL AS BIGINT)})
+               ELSE list_transform(left_over, lambda t: CASE WHEN t.n <> near.n THEN t ELSE
+                 {'session': t.session, 'n': t.n, 'x': x, 'y': y, 'w': w, 'h': h, 'cx': cx, 'cy': cy, 'pad': pad, 'seen': frame,
+                  'label': t.label, 'busy': t.busy OR t.analyzed IS NULL OR frame - t.analyzed >= 30,
+                  'asked': CASE WHEN NOT t.busy AND (t.analyzed IS NULL OR frame - t.analyzed >= 30) THEN frame ELSE t.asked END,
+                  'analyzed': t.analyzed} END) END
+        FROM (
+          SELECT *, CASE WHEN a_session = session THEN opened ELSE 0 END AS next_n,
+            CASE WHEN kind = 1 THEN list_sort(list_filter(
+                   list_transform(left_over, lambda t: {'d2': (t.cx - cx) * (t.cx - cx) + (t.cy - cy) * (t.cy - cy), 'n': t.n}),
+                   lambda c: c.d2 < 10000))[1] END AS near
+          FROM (
+            SELECT a.camera_id, a.step, a.frame, a.kind, a.session AS a_session, a.n AS a_n, a.label AS a_label,
+              a.x, a.y, a.w, a.h, a.cx, a.cy, a.pad, s.session, s.opened,
+              list_filter(s.live, lambda t: a.frame - 1 - t.seen <= 60) AS left_over
+            FROM labelled s JOIN actions a ON a.camera_id = s.camera_id AND a.step = s.step + 1))""",
+    "after_frames": """
+        SELECT camera_id, frame, live, coalesce(lead(frame) OVER (PARTITION BY camera_id ORDER BY frame) - 1, frame + 60) AS until
+        FROM (SELECT * FROM labelled WHERE step > 0
+              QUALIFY row_number() OVER (PARTITION BY camera_id, frame ORDER BY step DESC) = 1)""",
+    "told_rows": """
+        SELECT f.camera_id, f.frame, unnest(a.live) AS t
+        FROM camera_frames f JOIN after_frames a ON a.camera_id = f.camera_id AND f.frame BETWEEN a.frame AND a.until""",
+    "told_tracks": """
+        SELECT r.camera_id, r.frame, t.session, t.n, before.opened + t.n AS track_id, t.x, t.y, t.w, t.h, t.cx, t.cy, t.label,
+          t.seen AS last_seen_frame, t.asked = r.frame AS ask, t.pad
+        FROM told_rows r JOIN (
+          SELECT camera_id, session, CAST(coalesce(sum(opened) OVER (
+            PARTITION BY camera_id ORDER BY session ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS opened
+          FROM (SELECT camera_id, t.session AS session, max(t.n) + 1 AS opened FROM told_rows GROUP BY camera_id, t.session)
+        ) before ON before.camera_id = r.camera_id AND before.session = t.session
+        WHERE r.frame - t.seen <= 60""",
+    "measured_hands": f"""
+        SELECT user_id % 5 AS camera_id, event_id // 8 + event_id // 500 * 100 AS frame, CAST(event_id % 8 AS INT) AS hand_ord,
+          {_FINGERS} AS n_fingers, {_ANCHOR_X} AS x, {_ANCHOR_Y} AS y
+        FROM landmarks JOIN events ON hand_key = event_id""",
+    "smoothed_hands": """
+        SELECT camera_id, frame, hand_ord, x, y, CAST(round_even(avg(n_fingers) OVER (
+          PARTITION BY camera_id, frame, round_even(x / 40, 0), round_even(y / 40, 0)
+          ORDER BY hand_ord ROWS 4 PRECEDING), 0) AS INT) AS n_fingers FROM measured_hands""",
+    # Frames that a camera's stream lists, except the last one, which stays open.
+    "closed_frames": """
+        SELECT DISTINCT camera_id, frame FROM detections
+        QUALIFY frame < max(frame) OVER (PARTITION BY camera_id)""",
     "camera_messages": """
         SELECT camera_id, frame,
           string_agg('{"id":' || track_id || ',"emotion":"' || upper(label) || '","fingers":['
@@ -502,8 +712,9 @@ _VIEWS = {
 }
 
 
-def _sql(select: str, *names: str) -> str:
-    views = ", ".join(f"{name} AS ({_VIEWS[name].strip()})" for name in names)
+def _sql(select: str, *names: str, **other: str) -> str:
+    """``select`` over the named views; ``other`` gives the text of a view instead."""
+    views = ", ".join(f"{name} AS ({other.get(name, _VIEWS.get(name, '')).strip()})" for name in names)
     return f"WITH RECURSIVE {views} {select}" if names else select
 
 
@@ -512,6 +723,10 @@ _TENTH = ("people", "occurrences", "tenth")
 _MATCH = ("hands", "faces", "pairs", "ranked_pairs", "choices", "matches")
 _TRACKS = ("detections", "camera_frames", "boxes", "steps", "starts", "assigned", "numbered", "shown", "tracks")
 
+_TOLD_TRACKS = (*_TRACKS[:-2], "told", "actions", "labelled", "after_frames", "told_rows", "told_tracks")
+_MESSAGES = ("camera_pairs", "camera_choices", "camera_fingers", "camera_messages")
+_LANDMARKS = {"camera_hands": "SELECT * FROM smoothed_hands"}
+
 _PEOPLE_TEXT = "frame, pos, id, emotion, array_to_string(fingers, ',') AS fingers"
 
 
@@ -526,7 +741,7 @@ def _observation_sql() -> dict[str, str]:
     nth = _sql("SELECT * FROM tenth", *_TENTH)
     wave = _sql("SELECT * FROM wave_events", *_WAVES)
     flawed = """(SELECT frame FROM people WHERE emotion = 'ANGRY')"""
-    return {
+    found = {
         "decode_people": _sql(f"SELECT {_PEOPLE_TEXT} FROM people", "people"),
         "accepted_people": _sql(f"SELECT {_PEOPLE_TEXT} FROM people WHERE frame NOT IN {flawed}", "people"),
         "rejected_messages": _sql(
@@ -535,6 +750,9 @@ def _observation_sql() -> dict[str, str]:
             "people",
             "messages",
         ),
+        "rejected_fingers": _sql(
+            "SELECT DISTINCT CAST(frame AS VARCHAR) AS key, 'malformed person' AS error FROM people WHERE id % 10 = 3", "people"
+        ),
         "assemble_messages": _sql("SELECT * FROM messages", "people", "messages"),
         "encode_events": _sql("""SELECT '{"id":' || id || ',"emotion":"' || emotion || '"}' AS value FROM tenth""", *_TENTH),
         "encode_waves": _sql("""SELECT '{"id":' || id || '}' AS value FROM wave_events""", *_WAVES),
@@ -548,31 +766,23 @@ def _observation_sql() -> dict[str, str]:
         "joint_streak": wave,
         "people_per_frame": _sql("SELECT frame, count(*) AS n_people FROM people GROUP BY frame", "people"),
         "finger_count": _sql(
-            """SELECT hand_key,
-                 CAST(lm[9].y < lm[7].y AS INT) + CAST(lm[13].y < lm[11].y AS INT)
-                 + CAST(lm[17].y < lm[15].y AS INT) + CAST(lm[21].y < lm[19].y AS INT)
-                 + CAST(CASE WHEN hand_label = 'Right' THEN lm[5].x < lm[4].x ELSE lm[5].x > lm[4].x END AS INT)
-                 AS n_fingers
-               FROM landmarks""",
+            f"SELECT hand_key, {_FINGERS} AS n_fingers FROM landmarks",
             "landmarks",
         ),
         "hand_anchor": _sql(
-            """SELECT hand_key, CAST(trunc(lm[1].x * 640) AS INT) AS x,
-                 CASE WHEN CAST(trunc(lm[1].y * 480) AS INT) - 30 < 20 THEN CAST(trunc(lm[1].y * 480) AS INT) + 30
-                      ELSE CAST(trunc(lm[1].y * 480) AS INT) - 30 END AS y
-               FROM landmarks""",
+            f"SELECT hand_key, {_ANCHOR_X} AS x, {_ANCHOR_Y} AS y FROM landmarks",
             "landmarks",
         ),
         "grid_cell": _sql(
-            """SELECT frame_id, hand_ord, CAST(round_even(x / 40, 0) AS INT) AS cell_x,
-                 CAST(round_even(y / 40, 0) AS INT) AS cell_y FROM hands""",
-            "hands",
+            """SELECT camera_id, frame, hand_ord, CAST(round_even(x / 40, 0) AS INT) AS cell_x,
+                 CAST(round_even(y / 40, 0) AS INT) AS cell_y FROM camera_hands""",
+            "camera_hands",
         ),
         "smooth_fingers": _sql(
-            """SELECT frame_id, hand_ord, CAST(round_even(avg(n_fingers) OVER (
-                 PARTITION BY frame_id, round_even(x / 40, 0), round_even(y / 40, 0)
-                 ORDER BY hand_ord ROWS 4 PRECEDING), 0) AS INT) AS smoothed FROM hands""",
-            "hands",
+            """SELECT camera_id, frame, hand_ord, CAST(round_even(avg(n_fingers) OVER (
+                 PARTITION BY camera_id, frame, round_even(x / 40, 0), round_even(y / 40, 0)
+                 ORDER BY hand_ord ROWS 4 PRECEDING), 0) AS INT) AS smoothed FROM camera_hands""",
+            "camera_hands",
         ),
         "box_geometry": _sql(
             """SELECT camera_id, frame, det_ord, cx, cy, x0, y0, x1, y1,
@@ -637,6 +847,44 @@ def _observation_sql() -> dict[str, str]:
                FROM numbered WHERE opening""",
             *_TRACKS[:-2],
         ),
+        "track_labels": _sql(f"SELECT {', '.join(_TRACK_COLUMNS)} FROM told_tracks", *_TOLD_TRACKS),
+        "repeated_requests": _sql(
+            """SELECT camera_id, frame, t.session, t.n, greatest(t.x - t.pad, 0) AS x0, greatest(t.y - t.pad, 0) AS y0,
+                 least(t.x + t.w + t.pad, 640) AS x1, least(t.y + t.h + t.pad, 480) AS y1
+               FROM (SELECT camera_id, step, frame, unnest(live) AS t FROM labelled WHERE step > 0) WHERE t.asked = frame
+               QUALIFY row_number() OVER (PARTITION BY camera_id, frame, t.session, t.n ORDER BY step) = 1""",
+            *_TOLD_TRACKS[:-3],
+        ),
+        "stream_track_labels": _sql(
+            f"SELECT {', '.join(_TRACK_COLUMNS)} FROM told_tracks WHERE frame < (SELECT max(frame) FROM camera_frames)", *_TOLD_TRACKS
+        ),
+        "landmarks_to_messages": _sql(
+            """SELECT camera_id, CAST(frame AS VARCHAR) AS key, '[' || coalesce(people, '') || ']' AS value
+               FROM camera_frames LEFT JOIN camera_messages USING (camera_id, frame)""",
+            *_TRACKS, "landmarks", "measured_hands", "smoothed_hands", "camera_hands", *_MESSAGES, **_LANDMARKS,
+        ),
+        "stream_landmarks_to_messages": _sql(
+            """SELECT camera_id || ':' || frame AS key, '[' || coalesce(people, '') || ']' AS value
+               FROM camera_frames LEFT JOIN camera_messages USING (camera_id, frame)
+               WHERE frame < (SELECT max(frame) FROM camera_frames)""",
+            *_TRACKS, "landmarks", "measured_hands", "smoothed_hands", "camera_hands", *_MESSAGES, **_LANDMARKS,
+        ),
+        "recorded_unique_emotions": _sql(
+            """SELECT camera_id, CAST(track_id AS INT) AS id, upper(label) AS emotion FROM tracks
+               GROUP BY camera_id, track_id, label HAVING count(*) >= 10""",
+            *_TRACKS,
+        ),
+        "stream_recording": _sql(
+            """SELECT camera_id || ':' || frame AS key, '[' || coalesce(people, '') || ']' AS value
+               FROM closed_frames LEFT JOIN camera_messages USING (camera_id, frame)""",
+            *_TRACKS,
+            "camera_hands",
+            "camera_pairs",
+            "camera_choices",
+            "camera_fingers",
+            "camera_messages",
+            "closed_frames",
+        ),
         "recorded_messages": _sql(
             """SELECT camera_id, CAST(frame AS VARCHAR) AS key, '[' || coalesce(people, '') || ']' AS value
                FROM camera_frames LEFT JOIN camera_messages USING (camera_id, frame)""",
@@ -651,9 +899,13 @@ def _observation_sql() -> dict[str, str]:
         "stream_streak": wave,
         "stream_counts": _sql("SELECT emotion, count(*) AS cnt FROM people GROUP BY emotion", "people"),
         "stream_chain": _sql("SELECT emotion, count(*) AS cnt FROM tenth GROUP BY emotion", *_TENTH),
+        "stream_waves_without_keys": _sql(
+            "SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY id ORDER BY frame, pos) AS n FROM people) WHERE n > 10", "people"
+        ),
         "stream_tracks": _sql(
-            """SELECT DISTINCT camera_id, t.frame, track_id, last_seen_frame
-               FROM tracks t JOIN detections d USING (camera_id, frame)""",
+            f"""SELECT {', '.join(_TRACK_COLUMNS)} FROM tracks JOIN closed_frames USING (camera_id, frame)""",
             *_TRACKS,
+            "closed_frames",
         ),
     }
+    return found | {f"{name}_in_blocks": found[name] for name in ("occurrence_number", "streak_lengths", "label_asof", "track_faces")}

@@ -29,16 +29,18 @@ def nth_occurrence(
     order: Sequence[str] = FRAME_ORDER,
     n: int = NTH_OCCURRENCE,
     span: int | None = SPAN,
+    ttl_ms: int | None = None,
 ) -> DataFrame:
     """The row at which a key occurs for the n-th time: ``keys`` and ``order`` columns.
 
     A key that occurs less often gives nothing, one that occurs more often gives one
-    row. On a stream, counts live in keyed state.
+    row. On a stream, counts live in keyed state, which forgets a key ``ttl_ms`` after its last
+    change, if that is given.
 
     For a batch and a usual ``n`` the filter on ``row_number`` becomes a group limit
     ahead of the shuffle: a task passes on at most ``n`` rows of a key, so a key that
     fills the table costs ``n`` rows per task. Beyond the optimizer's limit for that,
-    rows are counted in blocks.
+    rows are counted in blocks. Both ways give the same rows.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -46,7 +48,7 @@ def nth_occurrence(
     if df.isStreaming:
         from framewise.streaming.occurrence import stream_nth_occurrence
 
-        return stream_nth_occurrence(rows, keys, order, n)
+        return stream_nth_occurrence(rows, keys, order, n, ttl_ms)
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n <= limit:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

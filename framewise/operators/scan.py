@@ -56,6 +56,26 @@ def block_of(column: str, span: int) -> Column:
     return F.expr(f"{column} div {int(span)}")
 
 
+# A block for rows without a place, ahead of all others.
+_NO_PLACE = -(1 << 60)
+
+
+def without_nulls(df: DataFrame, order: Sequence[str], span: int) -> tuple[DataFrame, list[str], list[Column]]:
+    """``df`` with integer columns to order by that are never null, and its ``_block``.
+
+    Code outside of Spark has no one way to sort nulls. Gives the rows, the names of the new
+    columns, in which nulls come first as in Spark, and the columns that restore ``order``.
+    """
+    solid, restored = [], []
+    for c in order:
+        there, value = f"_there_{c}", f"_value_{c}"
+        solid += [F.col(c).isNotNull().cast("int").alias(there), F.coalesce(c, F.lit(0).cast(df.schema[c].dataType)).alias(value)]
+        restored.append(F.when(F.col(there) == 1, F.col(value)).alias(c))
+    block = F.coalesce(block_of(order[0], span), F.lit(_NO_PLACE)).alias("_block")
+    names = [f"_{part}_{c}" for c in order for part in ("there", "value")]
+    return df.select("*", *solid, block).drop(*order), names, restored
+
+
 def scan(
     df: DataFrame,
     keys: Sequence[str],

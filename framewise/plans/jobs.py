@@ -11,16 +11,19 @@ tables; ``start_recording`` is its form for streams.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from framewise.functions.labels import emotion_name
 from framewise.operators.counts import emotion_counts
-from framewise.operators.matching import fingers_by_face, greedy_match
+from framewise.operators.hands import measure_hands, smooth_fingers
+from framewise.operators.matching import people_by_frame
 from framewise.operators.occurrence import nth_occurrence
 from framewise.operators.streak import joint_streak
-from framewise.operators.tracking import HAND, number_tracks, track_faces
+from framewise.operators.tracking import HAND_ROW, NOBODY, number_tracks, track_faces
 from framewise.schemas import (
     COUNTS_TOPIC,
     NTH_OCCURRENCE,
@@ -35,8 +38,10 @@ from framewise.sources.codec import (
     encode_counts,
     encode_emotion_event,
     encode_wave_event,
-    frame_messages,
+    list_messages,
     read_emotion_events,
+    source_key,
+    with_source,
 )
 from framewise.sources.topics import FileTopics, KafkaTopics, tail_lines, write_console
 from framewise.streaming.runner import start
@@ -46,35 +51,50 @@ Topics = FileTopics | KafkaTopics
 CAMERA_FRAME = ("camera_id", "frame")
 
 
-def unique_emotions(messages: DataFrame, n: int = NTH_OCCURRENCE, on_error: str = "fail") -> DataFrame:
-    """An event (id, emotion) when a person shows an emotion for the n-th time."""
-    return nth_occurrence(decode(messages, on_error), n=n).select("id", "emotion")
+def unique_emotions(
+    messages: DataFrame, n: int = NTH_OCCURRENCE, on_error: str = "fail", by: Sequence[str] = (), ttl_ms: int | None = None
+) -> DataFrame:
+    """An event (id, emotion) when a person shows an emotion for the n-th time.
+
+    Ids are those of one source. Where messages of several share a topic, ``by`` names the columns
+    that tell sources apart; they are read from the message keys and stand ahead of the id. ``ttl_ms``
+    forgets a person on a stream that long after the last change.
+    """
+    people = decode(with_source(messages, by), on_error, by)
+    return nth_occurrence(people, (*by, "id", "emotion"), n=n, ttl_ms=ttl_ms).select(*by, "id", "emotion")
 
 
-def waves(messages: DataFrame, over: int = STREAK_OVER, on_error: str = "fail") -> DataFrame:
-    """An event (id) for each frame that prolongs a wave of more than ``over`` frames."""
-    return joint_streak(decode(messages, on_error), over=over).select("id")
+def waves(
+    messages: DataFrame, over: int = STREAK_OVER, on_error: str = "fail", by: Sequence[str] = (), ttl_ms: int | None = None
+) -> DataFrame:
+    """An event (id) for each frame that prolongs a wave of more than ``over`` frames. See ``unique_emotions``."""
+    people = decode(with_source(messages, by), on_error, by)
+    return joint_streak(people, (*by, "id"), over=over, ttl_ms=ttl_ms).select(*by, "id")
 
 
-def count_unique_emotions(messages: DataFrame) -> DataFrame:
+def count_unique_emotions(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """(emotion, cnt) over the events that ``unique_emotions`` wrote."""
-    return emotion_counts(read_emotion_events(messages))
+    return emotion_counts(read_emotion_events(messages, by))
 
 
-def _people(tracks: DataFrame, hands: DataFrame) -> DataFrame:
-    """``tracks`` with ``track_id``, as people with the fingers of their hands."""
+def _messages(tracks: DataFrame, hands: DataFrame, frames: DataFrame) -> DataFrame:
+    """A message per frame of ``tracks`` with ``track_id``, and the fingers of their hands."""
+    number = F.col("track_id")
     faces = tracks.select(
-        *CAMERA_FRAME,
-        F.col("track_id").alias("face_ord"),
-        F.col("track_id").alias("face_id"),
-        "cx",
-        "cy",
-        emotion_name(F.col("label")).alias("emotion"),
-    )
-    matches = greedy_match(hands, faces.drop("emotion"), CAMERA_FRAME)
-    return fingers_by_face(faces, matches, CAMERA_FRAME).select(
-        *CAMERA_FRAME, F.col("face_ord").alias("pos"), F.col("face_id").cast("int").alias("id"), "emotion", "fingers"
+        *CAMERA_FRAME, number.alias("face_ord"), number.alias("face_id"), "cx", "cy", emotion_name(F.col("label")).alias("emotion")
     )
+    return list_messages(people_by_frame(faces, hands, CAMERA_FRAME), frames, by=["camera_id"])
+
+
+def keyed(messages: DataFrame) -> DataFrame:
+    """What ``record_messages`` gives, for a topic: the camera goes into the key."""
+    return messages.withColumn("key", source_key(("camera_id",), "key"))
+
+
+def hands_from_landmarks(landmarks: DataFrame, width: int = 640, height: int = 480) -> DataFrame:
+    """Hands for ``record_messages``: camera_id, frame, hand_ord, hand_label, lm to smoothed counts and anchors."""
+    smoothed = smooth_fingers(measure_hands(landmarks, width, height), CAMERA_FRAME)
+    return smoothed.select(*CAMERA_FRAME, "hand_ord", F.col("smoothed").alias("n_fingers"), "x", "y")
 
 
 def record_messages(
@@ -91,7 +111,7 @@ def record_messages(
     should be visible and verified ones. For ``results`` see ``tracker_input``.
     """
     tracks = number_tracks(track_faces(frames, detections, results, width, height))
-    return frame_messages(_people(tracks, hands), frames, by=["camera_id"])
+    return _messages(tracks, hands, frames)
 
 
 def start_recording(
@@ -102,27 +122,29 @@ def start_recording(
     width: int = 640,
     height: int = 480,
     trigger: dict | None = None,
+    smooth: bool = False,
 ) -> StreamingQuery:
     """Write a message per frame of ``rows``, a stream of ``tracker_input`` rows with hands.
 
-    A frame's rows must be in one micro-batch. A micro-batch that is repeated after a
-    failure is written again.
+    A frame is written when a row of a later frame of its camera has come, so its rows may come in
+    several micro-batches. With ``smooth``, counts of hands are smoothed within their frame; raw ones
+    come from ``measure_hands``, which takes streams. Keys are ``camera:frame``. A micro-batch that is repeated after a failure
+    adds nothing to a file topic and is sent again to a Kafka one.
     """
-    tracks = stream_track_faces(rows, width, height, empty_frames=True)
-    # Hands pass by the tracker: they share the source, hence the micro-batch.
-    hands = rows.where(F.col("kind") == HAND).select(
-        *CAMERA_FRAME, "x", "y", F.col("ord").alias("hand_ord"), F.col("w").alias("n_fingers")
-    )
-    together = tracks.unionByName(hands, allowMissingColumns=True)
+    together = stream_track_faces(rows, width, height, empty_frames=True, whole_frames=True)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Used several times below, but tracks should come out of state only once.
         batch.persist()
         try:
-            of_tracks = batch.where("n is not null")
-            of_hands = batch.where("hand_ord is not null").select(*CAMERA_FRAME, "hand_ord", "n_fingers", "x", "y")
-            people = _people(of_tracks.where("n >= 0"), of_hands)
-            topics.write(frame_messages(people, of_tracks, by=["camera_id"]), topic, batch_id)
+            of_tracks = batch.where(F.col("n") != HAND_ROW)
+            of_hands = batch.where(F.col("n") == HAND_ROW).select(
+                *CAMERA_FRAME, F.col("session").alias("hand_ord"), F.col("w").alias("n_fingers"), "x", "y"
+            )
+            if smooth:
+                of_hands = smooth_fingers(of_hands, CAMERA_FRAME).withColumn("n_fingers", F.col("smoothed"))
+            written = _messages(of_tracks.where(F.col("n") != NOBODY), of_hands, of_tracks)
+            topics.write(keyed(written), topic, batch_id, checkpoint)
         finally:
             batch.unpersist()
 
@@ -139,10 +161,11 @@ def _between(make, encode, source: str, target: str):
         source: str = source,
         target: str = target,
         trigger: dict | None = None,
+        by: Sequence[str] = (),
         **options,
     ) -> StreamingQuery:
-        events = make(topics.stream(spark, source, starting), **options)
-        writer = topics.write_stream(encode(events), target, checkpoint)
+        events = make(topics.stream(spark, source, starting), by=by, **options)
+        writer = topics.write_stream(encode(events, by), target, checkpoint)
         return start(writer.trigger(**trigger) if trigger else writer, events)
 
     return run
@@ -159,9 +182,10 @@ def start_emotion_counts(
     starting: str = "earliest",
     to_topic: bool = False,
     trigger: dict | None = None,
+    by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Print each changed count, or send it to the counts topic of a Kafka installation."""
-    counts = count_unique_emotions(topics.stream(spark, UNIQUE_TOPIC, starting))
+    """Print each changed count, or send it to the counts topic."""
+    counts = count_unique_emotions(topics.stream(spark, UNIQUE_TOPIC, starting), by)
     if to_topic:
         writer = topics.write_stream(encode_counts(counts), COUNTS_TOPIC, checkpoint, "update")
     else:
@@ -177,7 +201,7 @@ def start_tail(
     starting: str = "latest",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Print the values of a topic as they arrive."""
-    lines = tail_lines(topics.stream(spark, topic, starting))
+    """Print the values of a topic as they arrive; records that are lost are passed over."""
+    lines = tail_lines(topics.stream(spark, topic, starting, skip_lost=True))
     writer = lines.writeStream.format("console").option("truncate", "false").option("checkpointLocation", checkpoint)
     return start(writer.trigger(**trigger) if trigger else writer, lines)

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewise.settings import run_dir
+
 WIDTH, HEIGHT = 640, 480
 
 CAMERA_FRAME = "event_id div 8 + event_id div 500 * 100"
@@ -17,9 +19,23 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def in_files(df: DataFrame, order: str, files: int = 4) -> DataFrame:
+    """``df`` as a stream of several micro-batches, cut somewhere in the range of the integer ``order``.
+
+    One file for each, written one after the other to a new folder. For test data only: a
+    file is written by one task.
+    """
+    folder, spark = run_dir(df.sparkSession, "feed"), df.sparkSession
+    last = df.agg(F.max(order)).first()[0] or 0
+    for i in range(files):
+        begin, end = (last * i // files + 3 if i else 0), (last * (i + 1) // files + 3)
+        df.where((F.col(order) >= begin) & (F.col(order) < end)).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    """The events in several micro-batches, which cut frames."""
+    return in_files(events(spark, sf_dir), "event_id")
 
 
 def people(ev: DataFrame) -> DataFrame:
@@ -122,6 +138,21 @@ def camera_hands(ev: DataFrame) -> DataFrame:
     )
 
 
+def camera_landmarks(ev: DataFrame) -> DataFrame:
+    """The points of each of ``camera_hands``' hands, in place of its count and anchor."""
+    own = ev.selectExpr("event_id as hand_key", "user_id % 5 as camera_id", f"{CAMERA_FRAME} as frame", "cast(event_id % 8 as int) as hand_ord")
+    return landmarks(ev).join(own, "hand_key").drop("hand_key")
+
+
+def request_results(requests: DataFrame) -> DataFrame:
+    """Two results for each request: some failed, some ``not_face``, some with a label."""
+    label = """case ({0}) % 6 when 0 then 'not_face' when 2 then 'happy' when 3 then 'sad'
+                               when 4 then 'unknown' when 5 then 'fear' end as label"""
+    named = ["camera_id", "session", "n"]
+    first = requests.selectExpr(*named, "frame + 3 + (frame + n) % 40 as frame", label.format("session + n"))
+    return first.unionByName(requests.selectExpr(*named, "frame + 50 + (frame + n) % 20 as frame", label.format("session + n + 3")))
+
+
 def person_tracks(ev: DataFrame) -> DataFrame:
     """Each person as a track that is there in the person's frames."""
     return people(ev).selectExpr("id % 5 as camera_id", "id as track_id", "frame").distinct()

@@ -26,7 +26,8 @@ BOX_PADDING = 0.15
 TAIL_WIDTH = 12
 
 # Everything is parsed as text first, so that a bad number can be told from a missing one.
-RAW_PEOPLE = "array<struct<id:string,emotion:string,fingers:array<string>>>"
+RAW_PEOPLE = "array<struct<id:string,emotion:string,fingers:string>>"
+RAW_FINGERS = "array<string>"
 
 MESSAGE = "key string, value string"
 PEOPLE = "frame long, pos int, id int, emotion string, fingers array<int>"

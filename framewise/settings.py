@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Folders made by ``run_dir`` that have not been cleared.
+_made: list[str] = []
+
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -31,21 +33,29 @@ def rocksdb_state(spark: SparkSession):
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="framewise-")
+    """The folder that all executors can reach: ``spark.checkpoint.dir`` of the session.
+
+    Where that is not set, a folder below the warehouse, which has to be shared as well.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_framewise"
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new, not yet existing folder below the shared one."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_run_dirs(spark: SparkSession) -> None:
+    """Delete the folders that this process has made below the shared one.
+
+    For the end of a job: DataFrames that read them cannot be used any more.
+    """
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_through(df: DataFrame, name: str) -> DataFrame:

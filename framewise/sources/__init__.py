@@ -4,8 +4,11 @@ from framewise.sources.codec import (
     encode_emotion_event,
     encode_wave_event,
     frame_messages,
+    list_messages,
     read_emotion_events,
+    source_key,
     split_messages,
+    with_source,
 )
 from framewise.sources.topics import FileTopics, KafkaTopics, tail_lines, write_console
 
@@ -17,8 +20,11 @@ __all__ = [
     "encode_emotion_event",
     "encode_wave_event",
     "frame_messages",
+    "list_messages",
     "read_emotion_events",
+    "source_key",
     "split_messages",
     "tail_lines",
+    "with_source",
     "write_console",
 ]

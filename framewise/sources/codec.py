@@ -2,9 +2,13 @@
 
 A message's value is a JSON array of people. What counts as broken: text that is not
 a JSON array, an entry that is not an object, an id or finger that is present but not
-an integer, and a label outside the known set. A missing id or finger is 0, a missing
+an integer, fingers that are no array, and a label outside the known set. A missing id or finger is 0, a missing
 label or finger list stays null. Unknown fields are ignored, and ``1.0`` is not
 accepted as an id. A message without a value holds nobody.
+
+Keys are frame numbers. Where messages of several sources share a topic, their keys are
+``source:frame``: ``by`` names the columns that the part ahead of the frame is read into, or
+was written from.
 """
 
 from __future__ import annotations
@@ -15,10 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewise.functions.predicates import is_emotion
-from framewise.schemas import EMOTION_EVENT, RAW_PEOPLE
+from framewise.schemas import EMOTION_EVENT, RAW_FINGERS, RAW_PEOPLE
 
 ON_ERROR = ("fail", "drop", "quarantine")
 
+# An array never begins with a quote; inside of a JSON string the quotes here would be escaped.
+_QUOTED_FINGERS = r'"fingers"\s*:\s*"'
+
 
 def _bad_int(text: Column) -> Column:
     return text.isNotNull() & text.try_cast("int").isNull()
@@ -33,10 +40,17 @@ def _bad_person(p: Column) -> Column:
         p.isNull()
         | _bad_int(p["id"])
         | (p["emotion"].isNotNull() & ~is_emotion(p["emotion"]))
-        | F.coalesce(F.exists(p["fingers"], _bad_int), F.lit(False))
+        | (p["fingers"].isNotNull() & (p["list"].isNull() | F.coalesce(F.exists(p["list"], _bad_int), F.lit(False))))
     )
 
 
+def _with_fingers(p: Column) -> Column:
+    """The person with ``list``, the fingers as an array of texts; null if they are none."""
+    array = F.when(p["fingers"].startswith("["), F.from_json(p["fingers"], RAW_FINGERS))
+    whole = F.struct(p["id"].alias("id"), p["emotion"].alias("emotion"), p["fingers"].alias("fingers"), array.alias("list"))
+    return F.when(p.isNotNull(), whole)
+
+
 def _parse(messages: DataFrame) -> DataFrame:
     """Adds ``raw`` (the parsed array) and ``error`` (null for a sound message).
 
@@ -45,20 +59,23 @@ def _parse(messages: DataFrame) -> DataFrame:
     several times.
     """
     present = messages.where(F.col("value").isNotNull())
-    parsed = present.withColumn("_raw", F.from_json("value", RAW_PEOPLE))
+    # Fingers are read as text first: read as an array, what is no array would look like a missing one.
+    raw = F.from_json("value", RAW_PEOPLE)
+    listed = F.transform(raw, _with_fingers)
+    parsed = present.withColumn("_raw", listed)
     # A lone object would be wrapped into an array by the parser, so look at the text.
     array = F.col("value").rlike(r"^\s*\[")
     error = (
         F.when(~array, "not a JSON array")
         .when(F.col("_raw").isNull(), "malformed JSON")
-        .when(F.exists("_raw", _bad_person), "malformed person")
+        .when(F.exists("_raw", _bad_person) | F.col("value").rlike(_QUOTED_FINGERS), "malformed person")
     )
     checked = F.array(F.struct(F.col("_raw").alias("raw"), error.alias("error")))
     return parsed.select(*messages.columns, F.inline_outer(checked))
 
 
 def _people(parsed: DataFrame, keep: Sequence[str]) -> DataFrame:
-    frame = F.col("key").try_cast("long").alias("frame")
+    frame = F.substring_index("key", ":", -1).try_cast("long").alias("frame")
     flat = parsed.select(*keep, frame, F.posexplode_outer("raw").alias("pos", "p")).where(F.col("pos").isNotNull())
     return flat.select(
         *keep,
@@ -66,7 +83,7 @@ def _people(parsed: DataFrame, keep: Sequence[str]) -> DataFrame:
         "pos",
         _int_or_zero(F.col("p.id")).alias("id"),
         F.col("p.emotion").alias("emotion"),
-        F.transform("p.fingers", _int_or_zero).alias("fingers"),
+        F.transform("p.list", _int_or_zero).alias("fingers"),
     )
 
 
@@ -77,6 +94,17 @@ def split_messages(messages: DataFrame, keep: Sequence[str] = ()) -> tuple[DataF
     return people, parsed.where(F.col("error").isNotNull()).drop("raw")
 
 
+def with_source(messages: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``messages`` with the long columns ``by``, read from keys like ``source:frame``."""
+    parts = F.split("key", ":")
+    return messages.withColumns({c: F.try_element_at(parts, F.lit(i + 1)).try_cast("long") for i, c in enumerate(by)})
+
+
+def source_key(by: Sequence[str], frame: str = "frame") -> Column:
+    """The key of a frame's message: the frame alone, or with its source ahead."""
+    return F.concat_ws(":", *[F.col(c).cast("string") for c in (*by, frame)])
+
+
 def decode(messages: DataFrame, on_error: str = "fail", keep: Sequence[str] = ()) -> DataFrame:
     """One row per person: ``frame``, ``pos`` (index in the array), id, emotion, fingers.
 
@@ -98,21 +126,21 @@ def _json(*columns: str) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value")
 
 
-def encode_emotion_event(events: DataFrame) -> DataFrame:
-    return events.select(_json("id", "emotion"))
+def encode_emotion_event(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return events.select(_json(*by, "id", "emotion"))
 
 
-def encode_wave_event(events: DataFrame) -> DataFrame:
-    return events.select(_json("id"))
+def encode_wave_event(events: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    return events.select(_json(*by, "id"))
 
 
 def encode_counts(counts: DataFrame) -> DataFrame:
     return counts.select(_json("emotion", "cnt"))
 
 
-def read_emotion_events(messages: DataFrame) -> DataFrame:
+def read_emotion_events(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Events back from the values that ``encode_emotion_event`` wrote."""
-    row = F.from_json("value", EMOTION_EVENT, {"mode": "FAILFAST"})
+    row = F.from_json("value", ", ".join([*[f"{c} long" for c in by], EMOTION_EVENT]), {"mode": "FAILFAST"})
     return messages.where(F.col("value").isNotNull()).select(row.alias("e")).select("e.*")
 
 
@@ -122,14 +150,17 @@ def frame_messages(people: DataFrame, frames: DataFrame | None = None, by: Seque
     Frames listed in ``frames`` but without people give ``[]``. ``by`` names columns
     that tell frames of different cameras apart; they are kept in front.
     """
-    keys = [*by, "frame"]
     person = F.struct("pos", "id", "emotion", "fingers")
-    grouped = people.groupBy(*keys).agg(F.sort_array(F.collect_list(person)).alias("people"))
+    grouped = people.groupBy(*by, "frame").agg(F.sort_array(F.collect_list(person)).alias("people"))
+    return list_messages(grouped, frames, by)
+
+
+def list_messages(lists: DataFrame, frames: DataFrame | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """The same from one row per frame, with its people as the array ``people``."""
+    keys = [*by, "frame"]
     if frames is not None:
-        grouped = frames.select(*keys).distinct().join(grouped, keys, "left")
+        lists = frames.select(*keys).distinct().join(lists, keys, "left")
     names = ("id", "emotion", "fingers")
     listed = F.transform("people", lambda p: F.struct(*[p[c].alias(c) for c in names]))
     value = F.to_json(listed, {"ignoreNullFields": "false"})
-    return grouped.select(
-        *by, F.col("frame").cast("string").alias("key"), F.coalesce(value, F.lit("[]")).alias("value")
-    )
+    return lists.select(*by, F.col("frame").cast("string").alias("key"), F.coalesce(value, F.lit("[]")).alias("value"))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from framewise.operators.scan import SPAN, without_nulls
+
 _MORE = "_more"
 
 
@@ -68,9 +70,11 @@ def stream_nth_occurrence(
     ``ttl_ms`` forgets a key that long after its last change. Time to live needs a clock, so
     such a query goes on with empty micro-batches: give it a trigger interval.
     """
-    rows = df.select(*keys, *order)
+    rows, order, restored = without_nulls(df.select(*keys, *order), order, SPAN)
+    rows = rows.drop("_block")
     reduced = T.StructType([*rows.schema.fields, T.StructField(_MORE, T.LongType())])
     first = rows.mapInPandas(_first_rows(keys, order, n), reduced)
-    return first.groupBy(*[F.col(k) for k in keys]).transformWithState(
+    found = first.groupBy(*[F.col(k) for k in keys]).transformWithState(
         NthOccurrence(keys, order, n, ttl_ms), rows.schema, "append", "processingTime" if ttl_ms else "none"
     )
+    return found.select(*keys, *restored)

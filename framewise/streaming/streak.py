@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from framewise.operators.scan import block_of
+from framewise.operators.scan import without_nulls
 
 # Smaller than for tables: a micro-batch holds few frames, and a large key should still
 # be spread over several tasks.
 STREAM_SPAN = 1 << 16
 
-# Lane of summaries and open rows; of decided rows as well, as long as a block has few.
+# Lane of summaries and open rows; of decided rows as well, as long as a block has few. The lane
+# only says which task hands a row on, never whether.
 _SUMMARY = -1
 _FEW = 1000
 # Place of decided rows, in front of the block's summary (0) and open rows (1, 2, ...).
@@ -116,12 +117,13 @@ def stream_joint_streak(
     """See ``joint_streak``. The rows of a micro-batch count in ``order``, micro-batches as they arrive."""
     names = list(conditions)
     flags = [F.coalesce(c, F.lit(False)).alias(f"_ok_{name}") for name, c in conditions.items()]
-    rows = df.select(*keys, *order, block_of(order[0], span).alias("_block"), *flags)
+    rows, order, restored = without_nulls(df.select(*keys, *order, *flags), order, span)
     result = T.StructType([rows.schema[c] for c in [*keys, *order]])
     pieces = T.StructType(list(result.fields))
     for name in ["_lane", "_block", "_seq", "_n", *[f"_{part}_{c}" for c in names for part in ("head", "tail")]]:
         pieces = pieces.add(name, T.LongType())
     blocks = rows.groupBy(*keys, "_block").applyInPandas(_block_summary(keys, order, names, over), pieces)
-    return blocks.groupBy(*keys, "_lane").transformWithState(
+    found = blocks.groupBy(*keys, "_lane").transformWithState(
         JointStreak(keys, order, names, over, ttl_ms), result, "append", "processingTime" if ttl_ms else "none"
     )
+    return found.select(*keys, *restored)

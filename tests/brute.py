@@ -1,10 +1,7 @@
 """The same questions answered by plain loops, for small inputs."""
 
-import math
 from collections import defaultdict
 
-from framewise.operators.tracking import DETECTION, FRAME
-
 
 def nth(people, n):
     """people: (frame, pos, id, emotion)."""
@@ -24,55 +21,3 @@ def lengths(people):
         count[person] = (a + 1 if first else 0, b + 1 if second else 0)
         out.append((person, frame, pos, *count[person]))
     return out
-
-
-def greedy(hands, faces, capacity=2):
-    """hands: (hand_ord, n_fingers, x, y); faces: (face_ord, cx, cy); one frame."""
-    pairs = [
-        (math.hypot(x - cx, y - cy), h, f, n) for h, n, x, y in sorted(hands) for f, cx, cy in sorted(faces)
-    ]
-    taken, load, out = set(), defaultdict(int), []
-    for _, h, f, _n in sorted(pairs, key=lambda p: p[0]):
-        if h not in taken and load[f] < capacity:
-            taken.add(h)
-            load[f] += 1
-            out.append((h, f))
-    return out
-
-
-def follow(rows, first, last):
-    """rows: tracker steps of one camera; every frame from ``first`` to ``last`` passes.
-
-    Gives (frame, track_id, x, y, label, last_seen) for listed frames, and the requests
-    as (frame, track_id). Results name tracks by their number.
-    """
-    steps = defaultdict(list)
-    for row in rows:
-        steps[row[0]].append(row)
-    tracks, opened, shown, asked = {}, 0, [], []
-    for frame in range(first, last + 1):
-        for _, kind, _, x, y, w, h, track, label in sorted(steps[frame], key=lambda r: r[1:3]):
-            if kind == DETECTION:
-                cx, cy = int(x + w / 2), int(y + h / 2)
-                ranked = sorted((math.hypot(cx - t["cx"], cy - t["cy"]), n) for n, t in tracks.items())
-                if ranked and ranked[0][0] < 100:
-                    n = ranked[0][1]
-                else:
-                    n, opened = opened, opened + 1
-                    tracks[n] = {"label": "neutral", "busy": False, "analyzed": -9999}
-                t = tracks[n]
-                t.update(x=x, y=y, cx=cx, cy=cy, seen=frame)
-                if not t["busy"] and frame - t["analyzed"] >= 30:
-                    t.update(busy=True, submitted=frame)
-                    asked.append((frame, n))
-            elif kind != FRAME and track in tracks:
-                if label == "not_face":
-                    del tracks[track]
-                    continue
-                tracks[track]["busy"] = False
-                if label is not None:
-                    tracks[track].update(label=label, analyzed=tracks[track]["submitted"])
-        tracks = {n: t for n, t in tracks.items() if frame - t["seen"] <= 60}
-        if any(row[1] in (FRAME, DETECTION) for row in steps[frame]):
-            shown += [(frame, n, t["x"], t["y"], t["label"], t["seen"]) for n, t in tracks.items()]
-    return shown, asked

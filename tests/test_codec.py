@@ -10,7 +10,9 @@ from framewise.sources import (
     encode_wave_event,
     frame_messages,
     read_emotion_events,
+    source_key,
     split_messages,
+    with_source,
 )
 
 SOUND = [
@@ -41,6 +43,11 @@ BROKEN = [
     ("h", '[{"id":1,"emotion":"SAD","fingers":[]},{"id":2,"emotion":"happy","fingers":[]}]', "malformed person"),
     ("i", "[null]", "malformed person"),
     ("j", "", "not a JSON array"),
+    ("k", '[{"id":1,"emotion":"SAD","fingers":5}]', "malformed person"),
+    ("l", '[{"id":1,"emotion":"SAD","fingers":"abc"}]', "malformed person"),
+    ("m", '[{"id":1,"emotion":"SAD","fingers":{"a":1}}]', "malformed person"),
+    ("n", '[{"id":1,"emotion":"SAD","fingers" : "[1]"}]', "malformed person"),
+    ("o", '[{"id":1,"emotion":"SAD","fingers":[[1]]}]', "malformed person"),
 ]
 
 
@@ -55,6 +62,15 @@ def test_sound_messages(spark, rows):
         assert rows(people) == rows(spark.createDataFrame(PEOPLE, people.schema))
 
 
+def test_keys_with_a_source(spark, rows):
+    person = '[{"id":4,"emotion":"SAD","fingers":[2]}]'
+    messages = _messages(spark, [("7:12", person), ("8:12", person), (None, person), ("x:3", person), ("9", person)])
+    people = decode(with_source(messages, ["camera_id"]), keep=["camera_id"])
+    assert rows(people, "camera_id", "frame", "id") == [(7, 12, 4), (8, 12, 4), (9, 9, 4), (None, 3, 4), (None, None, 4)]
+    keyed = spark.createDataFrame([(7, 12)], "camera_id long, frame long").select(source_key(["camera_id"]).alias("key"))
+    assert rows(keyed) == [("7:12",)]
+
+
 @pytest.mark.parametrize("key,value,error", BROKEN)
 def test_fail_stops_at_a_broken_message(spark, key, value, error):
     people = decode(_messages(spark, [*SOUND, (key, value)]))

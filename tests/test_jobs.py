@@ -6,11 +6,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from framewise.operators import emotion_counts, smooth_fingers, tracker_input
+from framewise.operators import emotion_counts, nth_occurrence, smooth_fingers, tracker_input
 from framewise.operators.tracking import INPUT
 from framewise.plans import jobs
 from framewise.schemas import RECORDED_TOPIC, UNIQUE_TOPIC, WAVES_TOPIC
-from framewise.sources import FileTopics, KafkaTopics, decode, tail_lines
+from framewise.sources import FileTopics, KafkaTopics, decode, encode_emotion_event, tail_lines
 from framewise.streaming import drain, drain_updates
 from tests import brute
 
@@ -114,18 +114,19 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "broker:9092",
         "subscribe": "t",
         "startingOffsets": "latest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         "maxOffsetsPerTrigger": "500",
     }
+    assert topics.read_options("t", "latest", skip_lost=True)["failOnDataLoss"] == "false"
     assert topics.write_options("t", "/c") == {
         "kafka.bootstrap.servers": "broker:9092",
         "kafka.acks": "all",
         "topic": "t",
         "checkpointLocation": "/c",
     }
-    own = KafkaTopics({"kafka.acks": "1"}, source_options={"failOnDataLoss": "true"})
+    own = KafkaTopics({"kafka.acks": "1"}, source_options={"failOnDataLoss": "false"})
     assert own.write_options("t")["kafka.acks"] == "1"
-    assert own.read_options("t", "earliest")["failOnDataLoss"] == "true"
+    assert own.read_options("t", "earliest")["failOnDataLoss"] == "false"
 
 
 def test_kafka_records_count_in_order_of_arrival(spark, rows):
@@ -137,6 +138,86 @@ def test_kafka_records_count_in_order_of_arrival(spark, rows):
     assert rows(decode(messages), "frame") == [(100 + i,) for i in range(12)]
     assert jobs.unique_emotions(messages).count() == 1
     assert rows(KafkaTopics({}, by_offset=False).messages(records), "key")[0] == ("1",)
+    # A source ahead of the frame number stays.
+    sourced = records.withColumn("key", F.concat(F.lit("cam:7:"), F.col("key").cast("string")).cast("binary"))
+    assert rows(KafkaTopics({}).messages(sourced), "key")[0] == ("cam:7:100",)
+
+
+def test_writers_of_one_topic_do_not_touch_each_other(spark, rows, feed, tmp_path):
+    topics, source = FileTopics(str(tmp_path / "topics")), feed("key string, value string")
+
+    def written(checkpoint, values):
+        source.add([(v, v) for v in values])
+        topics.write_stream(source.stream(), "t", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        return [v for (v,) in rows(topics.read(spark, "t"), "value")]
+
+    one, two = str(tmp_path / "c1"), str(tmp_path / "c2")
+    assert written(one, ["a", "b"]) == ["a", "b"]
+    # A second query reads everything again, a restarted one goes on where it was.
+    assert written(two, ["c"]) == ["a", "a", "b", "b", "c"]
+    assert written(one, ["d"]) == ["a", "a", "b", "b", "c", "c", "d"]
+    topics.write(spark.createDataFrame([("x", "x")], "key string, value string"), "t")
+    assert rows(topics.read(spark, "t"), "value")[-1] == ("x",)
+    assert drain(topics.stream(spark, "t"), "read").count() == 8
+
+
+def test_repeated_batch_adds_nothing(spark, rows, tmp_path):
+    topics = FileTopics(str(tmp_path / "topics"))
+    messages = spark.createDataFrame([("1", "[]"), ("2", "[]")], "key string, value string")
+    for _ in range(2):
+        topics.write(messages, "t", 3, "file:///c")
+    assert topics.read(spark, "t").count() == 2
+    topics.write(messages, "t", 3, "file:///d")
+    topics.write(messages, "t", 4, "file:///c/")
+    assert topics.read(spark, "t").count() == 6
+    # What a failed attempt has left behind is not read.
+    (tmp_path / "topics" / "t" / "_batch-9-x").mkdir()
+    (tmp_path / "topics" / "t" / "_batch-9-x" / "part-0.json").write_text('{"key":"9","value":"[]"}')
+    assert topics.read(spark, "t").count() == 6
+
+
+def test_ids_belong_to_their_source(spark, rows):
+    person = '[{"id":0,"emotion":"SAD","fingers":[5]}]'
+    messages = spark.createDataFrame([(f"{c}:{f}", person) for c in (1, 2) for f in range(6 + c * 3)], "key string, value string")
+    assert rows(jobs.unique_emotions(messages, by=["camera_id"])) == [(2, 0, "SAD")]
+    assert rows(jobs.unique_emotions(messages)) == [(0, "SAD")]
+    waving = messages.withColumn("value", F.replace("value", F.lit("SAD"), F.lit("HAPPY")))
+    assert rows(jobs.waves(waving, by=["camera_id"])) == [(2, 0)] * 2
+    events = encode_emotion_event(jobs.unique_emotions(messages, by=["camera_id"]), ["camera_id"])
+    assert rows(events) == [('{"camera_id":2,"id":0,"emotion":"SAD"}',)]
+    assert rows(jobs.count_unique_emotions(events, ["camera_id"])) == [("SAD", 1)]
+
+
+def test_streams_take_messages_without_keys(spark, rows, feed):
+    person = '[{"id":3,"emotion":"HAPPY","fingers":[5]}]'
+    data = [(None if f % 2 else str(f), person) for f in range(30)]
+    table = spark.createDataFrame(data, "key string, value string")
+    source = feed("key string, value string")
+    for part in (data[:7], data[7:]):
+        source.add(part)
+    assert rows(drain(jobs.waves(source.stream()), "waves")) == rows(jobs.waves(table)) == [(3,)] * 20
+    assert rows(drain(jobs.unique_emotions(source.stream()), "nth")) == [(3, "HAPPY")]
+    # Within a micro-batch what has no place comes first, as in a table.
+    source = feed("frame long, pos int, id int, emotion string")
+    source.add([(f if f % 2 else None, f, 1, "SAD") for f in range(10)])
+    assert rows(drain(nth_occurrence(source.stream(), n=5), "nth"), "frame", "pos") == [(None, 8)]
+
+
+def test_time_to_live_reaches_the_state(spark, rows, feed):
+    """With a time to live the state keeps a clock, which Spark only allows with processing time."""
+    messages = _messages(5, frames=40)
+    table, source = spark.createDataFrame(messages, "key string, value string"), feed("key string, value string")
+    source.add(messages)
+    # Otherwise the clock alone would cause new micro-batches without end.
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        for make in (jobs.unique_emotions, jobs.waves):
+            stream = make(source.stream(), ttl_ms=3_600_000)
+            assert "ProcessingTime" in stream._jdf.queryExecution().analyzed().toString()
+            assert "ProcessingTime" not in make(source.stream())._jdf.queryExecution().analyzed().toString()
+            assert rows(drain(stream, "ttl")) == rows(make(table))
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
 
 
 def _scene():
@@ -188,14 +269,19 @@ def test_recording_to_counts_as_streams(spark, rows, feed, tmp_path):
     frames, detections, hands = _tables(spark)
     source = feed(INPUT)
     steps = [tuple(r) for r in tracker_input(frames, detections, hands=hands).collect()]
-    for low, high in ((0, 25), (25, 60), (60, 200)):
-        source.add([s for s in steps if low <= s[1] < high])
+    # Cut anywhere, also within frames: boxes of frame 25 first, its own row and hands later.
+    steps.sort(key=lambda s: (s[1], s[2]))
+    at = next(i for i, s in enumerate(steps) if s[1] == 25) + 1
+    for part in (steps[:at], steps[at : at + 1], steps[at + 1 : at + 2], steps[at + 2 :]):
+        source.add(part)
     topics = FileTopics(str(tmp_path / "topics"))
     jobs.start_recording(source.stream(), topics, str(tmp_path / "c1"), trigger=NOW).awaitTermination()
     recorded = topics.read(spark, RECORDED_TOPIC)
-    assert {int(r.key): json.loads(r.value) for r in recorded.collect()} == {f: _expected_message(f) for f in range(1, 110)}
+    # The last frame stays open until a later one comes.
+    assert {r.key: json.loads(r.value) for r in recorded.collect()} == {f"1:{f}": _expected_message(f) for f in range(1, 109)}
     assert decode(recorded).where(F.col("id") == 1).count() == 76
 
-    jobs.start_unique_emotions(spark, topics, str(tmp_path / "c2"), trigger=NOW).awaitTermination()
-    counts = jobs.count_unique_emotions(topics.stream(spark, UNIQUE_TOPIC))
+    by = ["camera_id"]
+    jobs.start_unique_emotions(spark, topics, str(tmp_path / "c2"), trigger=NOW, by=by).awaitTermination()
+    counts = jobs.count_unique_emotions(topics.stream(spark, UNIQUE_TOPIC), by)
     assert rows(drain_updates(counts, "counts", ["emotion"])) == [("NEUTRAL", 2)]

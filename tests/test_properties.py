@@ -8,7 +8,7 @@ from framewise.operators.tracking import DETECTION, FRAME, CameraTracks
 from framewise.streaming import streak
 from framewise.streaming.occurrence import NthOccurrence, _first_rows
 from framewise.streaming.streak import JointStreak, _block_summary
-from tests import brute
+from tests import brute, tracker_sql
 
 
 class Value:
@@ -102,14 +102,13 @@ def test_tracker(moves):
         steps.append((frame, DETECTION, at, x * 15, y * 15, 60, 60, 0, 0, None))
     steps += [(f, FRAME, 0, 0, 0, 0, 0, 0, 0, None) for f in range(frame + 80)]
     steps.sort(key=lambda s: s[:3])
-    shown, asked = [], []
-    tracks = CameraTracks(640, 480)
+    straight = list(CameraTracks(640, 480).run(steps))
+    tracks, found = CameraTracks(640, 480), []
     # State may be saved and restored anywhere.
     for cut in (steps[: len(steps) // 2], steps[len(steps) // 2 :]):
         tracks = CameraTracks(640, 480, tracks.state())
-        for f, _, n, x, y, _, _, _, _, label, seen, ask, *_ in tracks.run(cut):
-            shown.append((f, tracks.offset + n, x, y, label, seen))
-            if ask:
-                asked.append((f, tracks.offset + n))
-    expected = brute.follow([(*s[:7], None, None) for s in steps], 0, frame + 80)
-    assert (sorted(shown), sorted(asked)) == (sorted(expected[0]), sorted(expected[1]))
+        found += [(r, tracks.offset + r[2]) for r in tracks.run(cut)]
+    assert [r for r, _ in found] == straight
+    columns = ["frame", "session", "n", "track_id", "x", "y", "last_seen_frame", "ask"]
+    want = tracker_sql.tracks([(0, *s[:1], *s[2:7]) for s in steps if s[1] == DETECTION], [(0, f) for f in range(frame + 80)], columns)
+    assert sorted((r[0], r[1], r[2], number, r[3], r[4], r[10], r[11]) for r, number in found) == want

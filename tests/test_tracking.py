@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from framewise.operators import analysis_requests, label_asof, number_tracks, track_faces, tracker_input
-from framewise.operators.tracking import DETECTION, FRAME, INPUT, RESULT
+from framewise.operators.tracking import FRAME, INPUT
 from framewise.streaming import drain, stream_track_faces
-from tests import brute
+from tests import tracker_sql
 
 DETECTIONS = "camera_id long, frame long, det_ord int, x int, y int, w int, h int"
 FRAMES = "camera_id long, frame long"
@@ -28,13 +28,6 @@ def _scene(seed, cameras=3, frames=600, pause=0.02):
     return detections
 
 
-def _expected(detections, ticks, results=(), camera=0, frames=700):
-    steps = [(f, DETECTION, at, x, y, w, h, 0, None) for c, f, at, x, y, w, h in detections if c == camera]
-    steps += [(f, FRAME, 0, 0, 0, 0, 0, 0, None) for c, f in ticks if c == camera]
-    steps += [(f, RESULT, 0, 0, 0, 0, 0, track, label) for c, track, f, label in results if c == camera]
-    return brute.follow(steps, 0, frames)
-
-
 def _make(spark, detections, ticks):
     return spark.createDataFrame(ticks, FRAMES), spark.createDataFrame(detections, DETECTIONS)
 
@@ -46,11 +39,8 @@ def test_tracks(spark, rows, span):
     tracks = number_tracks(track_faces(*_make(spark, detections, ticks), span=span))
     sessions = tracks.select("camera_id", "session").distinct().count()
     assert sessions > 6
-    for camera in range(3):
-        shown, asked = _expected(detections, ticks, camera=camera)
-        mine = tracks.where(F.col("camera_id") == camera)
-        assert sorted(rows(mine, *SHOWN)) == sorted(shown)
-        assert sorted(rows(mine.where("ask"), "frame", "track_id")) == sorted(asked)
+    columns = ["camera_id", "frame", "session", "n", "track_id", "x", "y", "w", "h", "cx", "cy", "last_seen_frame", "ask"]
+    assert sorted(rows(tracks, *columns)) == tracker_sql.tracks(detections, ticks, columns)
 
 
 def test_kept_for_sixty_frames_and_then_dropped(spark, rows):
@@ -93,21 +83,47 @@ def _results(spark, tracks, seed):
     return out
 
 
-def test_results_change_tracks(spark, rows):
-    detections = _scene(2, cameras=2)
-    ticks = [(c, f) for c in range(2) for f in range(700)]
-    frames, boxes = _make(spark, detections, ticks)
-    results = _results(spark, track_faces(frames, boxes), 3)
-    tracks = number_tracks(track_faces(frames, boxes, spark.createDataFrame(results, RESULTS))).cache()
-    # The plain loop names tracks by number: number them from what came out.
-    numbers = {(r.camera_id, r.session, r.n): r.track_id for r in tracks.select("camera_id", "session", "n", "track_id").distinct().collect()}
-    named = [(c, numbers[c, s, n], f, label) for c, s, n, f, label in results if (c, s, n) in numbers]
-    for camera in range(2):
-        shown, asked = _expected(detections, ticks, named, camera)
-        mine = tracks.where(F.col("camera_id") == camera)
-        assert sorted(rows(mine, *SHOWN)) == sorted(shown)
-        assert sorted(rows(mine.where("ask"), "frame", "track_id")) == sorted(asked)
-    assert tracks.where("label = 'happy'").count() > 100
+def _one_face(spark, results, frames=80):
+    """A face that stands still, in every frame of camera 1, with label results."""
+    detections = [(1, f, 0, 0, 0, 60, 60) for f in range(1, frames + 1)]
+    boxes, told = spark.createDataFrame(detections, DETECTIONS), spark.createDataFrame(results, RESULTS)
+    return track_faces(boxes.select("camera_id", "frame"), boxes, told).cache()
+
+
+def _spans(tracks):
+    """(n, label, first frame, last frame), and the frames with a request."""
+    spans = tracks.groupBy("n", "label").agg(F.min("frame"), F.max("frame")).collect()
+    asked = tracks.where("ask").select("frame", "n").collect()
+    return sorted(tuple(r) for r in spans), sorted(tuple(r) for r in asked)
+
+
+def test_label_counts_from_its_frame_and_is_asked_for_again(spark):
+    # Asked for at 1; the answer comes at 5, the next question 30 frames after the first, and it is not answered.
+    spans, asked = _spans(_one_face(spark, [(1, 1, 0, 5, "happy")]))
+    assert spans == [(0, "happy", 5, 80), (0, "neutral", 1, 4)]
+    assert asked == [(1, 0), (31, 0)]
+    spans, asked = _spans(_one_face(spark, [(1, 1, 0, 5, "happy"), (1, 1, 0, 33, "sad")]))
+    assert spans == [(0, "happy", 5, 32), (0, "neutral", 1, 4), (0, "sad", 33, 80)]
+    assert asked == [(1, 0), (31, 0), (61, 0)]
+    # An answer that comes late puts off nothing: the question was 40 frames ago.
+    assert _spans(_one_face(spark, [(1, 1, 0, 41, "happy")]))[1] == [(1, 0), (41, 0)]
+
+
+def test_failed_analysis_is_asked_for_at_once(spark):
+    spans, asked = _spans(_one_face(spark, [(1, 1, 0, 5, None), (1, 1, 0, 9, "sad")]))
+    assert spans == [(0, "neutral", 1, 8), (0, "sad", 9, 80)]
+    assert asked == [(1, 0), (5, 0), (35, 0)]
+
+
+def test_what_is_no_face_is_dropped_and_found_anew(spark):
+    spans, asked = _spans(_one_face(spark, [(1, 1, 0, 5, "not_face")]))
+    assert spans == [(0, "neutral", 1, 4), (1, "neutral", 5, 80)]
+    assert asked == [(1, 0), (5, 1)]
+
+
+def test_results_about_nothing_change_nothing(spark):
+    spans, asked = _spans(_one_face(spark, [(1, 1, 7, 5, "happy"), (1, 9, 0, 5, "happy"), (2, 1, 0, 5, "happy")]))
+    assert spans == [(0, "neutral", 1, 80)] and asked == [(1, 0)]
 
 
 @pytest.mark.parametrize("cuts", [1, 3])
@@ -126,6 +142,30 @@ def test_stream_equals_table(spark, rows, feed, cuts):
     assert rows(stream, *table.columns) == rows(table)
 
 
+def test_stream_shows_a_repeated_frame_once(spark, rows, feed):
+    frames, boxes = _make(spark, [(1, 3, 0, 0, 0, 60, 60)], [(1, 3), (1, 3), (1, 4)])
+    steps = [tuple(r) for r in tracker_input(frames, boxes).collect()]
+    source = feed(INPUT)
+    source.add(steps)
+    source.add([s for s in steps if s[2] == FRAME])
+    assert rows(drain(stream_track_faces(source.stream()), "tracks"), "frame", "n") == [(3, 0), (4, 0)]
+
+
+def test_stream_holds_a_frame_until_the_next_one(spark, rows, feed):
+    """A frame's rows in three micro-batches, the frame's own row first."""
+    detections = [(1, 3, 0, 0, 0, 60, 60), (1, 3, 1, 300, 0, 60, 60), (1, 4, 0, 5, 0, 60, 60)]
+    frames, boxes = _make(spark, detections, [(1, 3), (1, 4), (1, 5)])
+    hands = spark.createDataFrame([(1, 3, 0, 4, 10, 20), (1, 5, 0, 1, 0, 0)], "camera_id long, frame long, hand_ord int, n_fingers int, x int, y int")
+    steps = sorted((tuple(r) for r in tracker_input(frames, boxes, hands=hands).collect()), key=lambda s: (s[1], -s[2]))
+    source = feed(INPUT)
+    for part in ([*steps[:2]], [steps[2]], steps[3:]):
+        source.add(part)
+    tracks = drain(stream_track_faces(source.stream(), whole_frames=True), "tracks")
+    # Frame 5 is still open. Hands have their place in ``session`` and their fingers in ``w``.
+    assert rows(tracks, "frame", "n", "x") == [(3, -2, 10), (3, 0, 0), (3, 1, 300), (4, 0, 5), (4, 1, 300)]
+    assert rows(tracks.where("n = -2"), "session", "w", "y") == [(0, 4, 20)]
+
+
 def test_stream_marks_empty_frames(spark, rows, feed):
     frames, boxes = _make(spark, [(1, 3, 0, 0, 0, 60, 60)], [(1, f) for f in (1, 2, 3, 63, 64)])
     source = feed(INPUT)
