@@ -18,7 +18,15 @@ CALL, RESULT = 0, 1
 Schemas = dict[str, dict[str, tuple[str, bool]]]
 
 # How Spark names the types of parsed JSON values.
-_KINDS = {"string": "^STRING$", "integer": "^BIGINT$", "number": "^(BIGINT|DOUBLE|DECIMAL.*)$", "boolean": "^BOOLEAN$", "array": "^ARRAY<.*", "object": "^OBJECT<.*"}
+_KINDS = {
+    "string": "^STRING$",
+    "integer": "^BIGINT$",
+    "number": "^(BIGINT|DOUBLE|DECIMAL.*)$",
+    "boolean": "^BOOLEAN$",
+    "array": "^ARRAY<.*",
+    "object": "^OBJECT<.*",
+}
+_NO_TEXTS = "array<string>"
 
 
 def argument_errors(tool: str | Column, arguments: str | Column, schemas: Schemas) -> Column:
@@ -41,8 +49,9 @@ def argument_errors(tool: str | Column, arguments: str | Column, schemas: Schema
             given = own.isNotNull() & (own != "VOID")
             wrong = F.when(given & ~own.rlike(_KINDS[wanted]), F.lit(f"{name} is no {wanted}"))
             found.append(F.when(~given, F.lit(f"missing {name}")).otherwise(wrong) if required else wrong)
-        unknown = F.array_sort(F.array_except(F.array_distinct(names), F.array(*map(F.lit, sorted(fields))) if fields else F.array().cast("array<string>")))
-        listed = F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+        expected = F.array(*map(F.lit, sorted(fields))).cast(_NO_TEXTS)
+        unknown = F.array_sort(F.array_except(F.array_distinct(names), expected))
+        listed = F.array_compact(F.array(*found).cast(_NO_TEXTS))
         return F.concat(listed, F.transform(unknown, lambda x: F.concat(F.lit("unknown "), x)))
 
     result = F.array(F.lit("unknown tool"))
@@ -64,7 +73,8 @@ def _depths(nodes: DataFrame) -> DataFrame:
     allows is on a cycle or behind one; its depth is null. Keys are unique on the side that is
     looked up, and each round is written to the shared folder.
     """
-    now = write_through(nodes.select("node", F.col("parent").alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("steps")), "depths")
+    steps = F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long")
+    now = write_through(nodes.select("node", F.col("parent").alias("up"), steps.alias("steps")), "depths")
     count = now.count()
     for _ in range(math.ceil(math.log2(count + 1)) + 1 if count else 0):
         if now.where(F.col("up").isNotNull()).isEmpty():
@@ -107,7 +117,8 @@ def link_tools(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFr
     columns = ["conv_id", "call_id", "turn", "kind", "tool", "arguments", "after", "content"]
     none = F.lit(None).cast("string")
     rows = calls.select(
-        "conv_id", "call_id", "turn", F.lit(CALL).alias("kind"), F.col("tool").cast("string"), F.col("arguments").cast("string"), "after", none.alias("content")
+        "conv_id", "call_id", "turn", F.lit(CALL).alias("kind"), F.col("tool").cast("string"),
+        F.col("arguments").cast("string"), "after", none.alias("content"),
     ).unionByName(
         results.select(
             "conv_id", "call_id", "turn", F.lit(RESULT).alias("kind"), none.alias("tool"), none.alias("arguments"),
@@ -117,16 +128,17 @@ def link_tools(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFr
     whole = F.struct("turn", "tool", "arguments", "after", "content")
     rows = rows.select(*columns, whole.alias("_whole"))
     named = rows.where(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull())
-    firsts = named.groupBy("conv_id", "call_id").agg(
-        F.min(F.when(F.col("kind") == CALL, F.col("_whole"))).alias("_call"), F.min(F.when(F.col("kind") == RESULT, F.col("_whole"))).alias("_result")
-    )
+    of_kind = lambda kind: F.min(F.when(F.col("kind") == kind, F.col("_whole")))
+    firsts = named.groupBy("conv_id", "call_id").agg(of_kind(CALL).alias("_call"), of_kind(RESULT).alias("_result"))
     firsts = write_through(firsts, "tool-ids")
 
-    own = firsts.where(F.col("_call").isNotNull()).select("conv_id", F.struct("conv_id", "call_id").alias("node"), F.col("_call.after").alias("_after"))
+    node = F.struct("conv_id", "call_id").alias("node")
+    own = firsts.where(F.col("_call").isNotNull()).select("conv_id", node, F.col("_call.after").alias("_after"))
     ids = own.select(F.col("node").alias("_parent"))
     wanted = F.when(F.col("_after").isNotNull(), F.struct("conv_id", F.col("_after").alias("call_id")))
     edges = own.select("node", wanted.alias("_wanted")).join(ids, F.col("_wanted") == F.col("_parent"), "left")
-    edges = write_through(edges.select("node", F.col("_parent").alias("parent"), (F.col("_wanted").isNotNull() & F.col("_parent").isNull()).alias("lost")), "tool-edges")
+    lost = F.col("_wanted").isNotNull() & F.col("_parent").isNull()
+    edges = write_through(edges.select("node", F.col("_parent").alias("parent"), lost.alias("lost")), "tool-edges")
     ordered = edges.select("node", "lost").join(_depths(edges), "node").select("node.*", "depth", "lost")
 
     first = firsts.join(ordered, ["conv_id", "call_id"], "left")
@@ -146,11 +158,13 @@ def link_tools(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFr
     checked = F.when(is_call, argument_errors("tool", "arguments", schemas)).otherwise(
         F.when(F.col("_call").isNotNull(), argument_errors(F.col("_call.tool"), F.col("_call.arguments"), schemas))
     )
-    function = F.struct(F.coalesce(F.try_parse_json("arguments"), F.try_parse_json(F.to_json(F.struct(F.col("arguments").alias("text"))))).alias("arguments"), F.col("tool").alias("name"))
+    # Fields in alphabetical order; what is parsed comes out with sorted keys by itself.
+    as_text = F.try_parse_json(F.to_json(F.struct(F.col("arguments").alias("text"))))
+    function = F.struct(F.coalesce(F.try_parse_json("arguments"), as_text).alias("arguments"), F.col("tool").alias("name"))
+    call = F.struct(function.alias("function"), F.col("call_id").alias("id"), F.lit("function").alias("type"))
     keep = {"ignoreNullFields": "false"}
     message = F.when(
-        is_call,
-        F.to_json(F.struct(F.lit("assistant").alias("role"), F.array(F.struct(function.alias("function"), F.col("call_id").alias("id"), F.lit("function").alias("type"))).alias("tool_calls")), keep),
+        is_call, F.to_json(F.struct(F.lit("assistant").alias("role"), F.array(call).alias("tool_calls")), keep)
     ).otherwise(F.to_json(F.struct("content", F.lit("tool").alias("role"), F.col("call_id").alias("tool_call_id")), keep))
     return linked.select(
         "conv_id",

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,11 @@ def _keys(text: str, least: int) -> list[bytes | None]:
     return found
 
 
+def _lines(text: Column) -> Column:
+    """The number of lines of a text that is not null."""
+    return F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1
+
+
 def _places(keys: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Byte and bit masks of each key in a filter of ``size`` bytes: two bits, in one 64-byte block."""
     h = np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64)
@@ -63,7 +68,7 @@ def repeated_filter(docs: DataFrame, text: str = "text", least: int = 20) -> byt
     least one bit. What comes to the driver and is sent to the workers is the one merged filter,
     at most ``MOST`` bytes.
     """
-    lines = docs.agg(F.sum(F.length(whole_text(text)) - F.length(F.replace(whole_text(text), F.lit("\n"))) + 1)).first()[0] or 0
+    lines = docs.agg(F.sum(_lines(whole_text(text)))).first()[0] or 0
     size = _SEGMENT
     while size < min(BYTES_PER_LINE * lines, MOST):
         size *= 2
@@ -80,11 +85,11 @@ def repeated_filter(docs: DataFrame, text: str = "text", least: int = 20) -> byt
                     np.bitwise_or.at(twice, where[:, again], masks[:, again])
                     np.bitwise_or.at(once, where, masks)
         parts = [i for i in range(size // _SEGMENT) if once[i * _SEGMENT : (i + 1) * _SEGMENT].any()]
-        packed = [[zlib.compress(f[i * _SEGMENT : (i + 1) * _SEGMENT].tobytes(), 1) for i in parts] for f in (once, twice)]
-        for i in range(0, len(parts), 16):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(parts[i : i + 16], pa.int32()), *[pa.array(p[i : i + 16], pa.binary()) for p in packed]], ["part", "once", "twice"]
-            )
+        for at in range(0, len(parts), 16):
+            some = parts[at : at + 16]
+            packed = [[zlib.compress(f[i * _SEGMENT : (i + 1) * _SEGMENT].tobytes(), 1) for i in some] for f in (once, twice)]
+            columns = [pa.array(some, pa.int32()), *[pa.array(p, pa.binary()) for p in packed]]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "once", "twice"])
 
     def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = np.zeros(_SEGMENT, np.uint8), np.zeros(_SEGMENT, np.uint8)
@@ -94,7 +99,8 @@ def repeated_filter(docs: DataFrame, text: str = "text", least: int = 20) -> byt
                 twice |= np.frombuffer(zlib.decompress(b.as_py()), np.uint8) | (once & other)
                 once |= other
         if twice.any():
-            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(twice.tobytes(), 1)])], ["part", "twice"])
+            columns = [pa.array([key[0].as_py()], pa.int32()), pa.array([zlib.compress(twice.tobytes(), 1)])]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "twice"])
 
     filled = docs.select(whole_text(text).alias("text")).mapInArrow(fill, "part int, once binary, twice binary")
     merged = filled.groupBy("part").applyInArrow(merge, "part int, twice binary")
@@ -126,6 +132,8 @@ def drop_shared_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     key_type = docs.schema[key].dataType
     rows = docs.select(pack_row(docs), F.col(key).alias("_key"), whole_text(text).alias("_text"))
 
+    suspect = T.StructType([T.StructField("_key", key_type), T.StructField("_line", T.StringType())])
+
     def suspects_of(content: str, filter_: np.ndarray) -> list[bytes]:
         keys = list(dict.fromkeys(k for k in _keys(content, least) if k is not None))
         if not keys:
@@ -140,7 +148,8 @@ def drop_shared_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 for k in suspects_of(content.as_py(), filter_):
                     owner.append(i)
                     found.append(k.decode())
-            yield pa.RecordBatch.from_arrays([batch.column("_key").take(pa.array(owner, pa.int64())), pa.array(found, pa.string())], ["_key", "_line"])
+            columns = [batch.column("_key").take(pa.array(owner, pa.int64())), pa.array(found, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["_key", "_line"])
 
     @F.pandas_udf("boolean")
     def suspected(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -151,10 +160,11 @@ def drop_shared_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
     found = write_through(
         rows.where(F.col("_key").isNotNull())
         .select("_key", "_text")
-        .mapInArrow(suspects, T.StructType([T.StructField("_key", key_type), T.StructField("_line", T.StringType())])),
+        .mapInArrow(suspects, suspect),
         "suspected-lines",
     )
-    holders = found.groupBy("_line").agg(F.count_distinct("_key").alias("_n"), F.max("_key").alias("_last")).where(F.col("_n") >= documents)
+    holders = found.groupBy("_line").agg(F.count_distinct("_key").alias("_n"), F.max("_key").alias("_last"))
+    holders = holders.where(F.col("_n") >= documents)
     drops = (
         found.join(holders, "_line")
         .where(F.col("_key") != F.col("_last"))
@@ -180,7 +190,7 @@ def drop_shared_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     marked = rows.withColumn("_suspected", F.col("_key").isNotNull() & suspected("_text"))
     columns = [F.col(f"_row.`{c}`") for c in docs.columns]
-    lines = (F.length("_text") - F.length(F.replace("_text", F.lit("\n"))) + 1).cast("long").alias("n_lines")
+    lines = _lines(F.col("_text")).cast("long").alias("n_lines")
     clean = marked.where(~F.col("_suspected")).select(*columns, lines, F.lit(0).cast("long").alias("n_dropped"))
     changed = F.col("_new.dropped") > 0
     rest = (

@@ -40,12 +40,17 @@ def _search(shares: DataFrame, entropy: float, repeats: float) -> int:
         rows = shares.select("share", F.explode(F.array(*map(F.lit, parts))).alias("part"))
         power = F.exp(a * F.ln("share"))
         found = rows.groupBy("part").agg(
-            F.sum(power).alias("z"), F.sum(power * F.ln("share")).alias("s"), F.max("share").alias("most"), F.min("share").alias("least"), F.count("*").alias("n")
+            F.sum(power).alias("z"),
+            F.sum(power * F.ln("share")).alias("s"),
+            F.max("share").alias("most"),
+            F.min("share").alias("least"),
+            F.count("*").alias("n"),
         )
         level = (F.ln("z") - a * F.col("s") / F.col("z")) / F.ln("n")
         level = F.when(F.col("n") > 1, level).otherwise(1.0)
         times = F.exp((1 - a) * F.ln(F.col("most") / F.col("least")))
-        return {r["part"]: (r["level"], r["times"]) for r in found.select("part", level.alias("level"), times.alias("times")).collect()}
+        found = found.select("part", level.alias("level"), times.alias("times"))
+        return {r["part"]: (r["level"], r["times"]) for r in found.collect()}
 
     def border(low: int, high: int, fits) -> int:
         """The last part in ``[low, high]`` up to which ``fits``; ``low`` if none does."""
@@ -73,7 +78,12 @@ def _search(shares: DataFrame, entropy: float, repeats: float) -> int:
 
 
 def source_weights(
-    docs: DataFrame, source: str = "source", tokens: Column | None = None, entropy: float = 0.98, repeats: float = 4.0, budget: int | None = None
+    docs: DataFrame,
+    source: str = "source",
+    tokens: Column | None = None,
+    entropy: float = 0.98,
+    repeats: float = 4.0,
+    budget: int | None = None,
 ) -> DataFrame:
     """For each source: _source, tokens, share, weight, budget (tokens to draw), exponent.
 
@@ -83,7 +93,8 @@ def source_weights(
     long as it takes to use every source once in whole.
     """
     amount = F.coalesce(tokens if tokens is not None else text_tokens(), F.lit(0)).cast("long")
-    counted = write_through(docs.select(F.col(source).alias("_source"), amount.alias("tokens")).groupBy("_source").agg(F.sum("tokens").alias("tokens")), "sources")
+    sized = docs.select(F.col(source).alias("_source"), amount.alias("tokens"))
+    counted = write_through(sized.groupBy("_source").agg(F.sum("tokens").alias("tokens")), "sources")
     counted = counted.where(F.col("tokens") > 0)
     total = counted.agg(F.sum("tokens")).first()[0] or 0
     shares = counted.withColumn("share", F.col("tokens") / F.lit(total))
@@ -136,7 +147,9 @@ def mix_sources(
     weights = write_through(source_weights(docs, source, tokens, entropy, repeats, budget), "weights")
     seeded = F.lit(str(seed))
     block = F.conv(F.substring(_order(seeded, key), 1, _BLOCK_DIGITS), 16, 10).cast("int")
-    rows = docs.select(pack_row(docs), F.col(source).alias("_source"), F.col(key).alias("_key"), amount.alias("_tokens"), block.alias("_block"))
+    rows = docs.select(
+        pack_row(docs), F.col(source).alias("_source"), F.col(key).alias("_key"), amount.alias("_tokens"), block.alias("_block")
+    )
 
     # Where each block of each time begins, in tokens.
     blocks = rows.groupBy("_source", "_block").agg(F.sum("_tokens").alias("filled"))
@@ -144,11 +157,16 @@ def mix_sources(
     times = F.explode(F.sequence(F.lit(0), F.expr("int((budget - 1) div tokens)")))
     plan = plan.where(F.col("budget") > 0).select("*", times.alias("_epoch"))
     turn = Window.partitionBy("_source", "_epoch").orderBy(_order(seeded, "_source", "_epoch", "_block"))
-    before = F.coalesce(F.sum("filled").over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("_epoch") * F.col("tokens")
-    plan = plan.withColumn("_before", before).where(F.col("_before") < F.col("budget"))
+    ahead = F.coalesce(F.sum("filled").over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    plan = plan.withColumn("_before", ahead + F.col("_epoch") * F.col("tokens")).where(F.col("_before") < F.col("budget"))
     room = F.col("budget") - F.col("_before")
     plan = plan.select(
-        F.col("_source").alias("_s"), F.col("_block").alias("_b"), "_epoch", "_before", "budget", F.when(room < F.col("filled"), room).alias("_room")
+        F.col("_source").alias("_s"),
+        F.col("_block").alias("_b"),
+        "_epoch",
+        "_before",
+        "budget",
+        F.when(room < F.col("filled"), room).alias("_room"),
     )
     plan = write_through(plan, "mix-plan")
 

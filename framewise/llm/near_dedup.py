@@ -104,7 +104,12 @@ def _sketches(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
                 same.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None)
                 found.append(bands(values).view(np.int64) if len(values) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(counts, pa.int64()), pa.array(same, pa.binary()), pa.array(found, pa.list_(pa.int64()))],
+                [
+                    batch.column("key"),
+                    pa.array(counts, pa.int64()),
+                    pa.array(same, pa.binary()),
+                    pa.array(found, pa.list_(pa.int64())),
+                ],
                 names=["key", "n_shingles", "same", "bands"],
             )
 
@@ -166,15 +171,20 @@ def _remaining(members: DataFrame, known: DataFrame, sets: DataFrame, percent: i
         .where(F.col("k") > 1)
     )
     # Buckets with the same members need to be looked at once.
-    mixed = mixed.groupBy("n", "bytes", "h").agg(F.min_by(F.struct("band", "main"), "band").alias("first")).select("first.*", "n", "bytes")
+    mixed = mixed.groupBy("n", "bytes", "h").agg(F.min_by(F.struct("band", "main"), "band").alias("first"))
+    mixed = mixed.select("first.*", "n", "bytes")
     outer = F.ceil((F.col("bytes") - F.col("main.bytes")) / BLOCK_BYTES)
     pairs = F.ceil((F.col("n") - F.col("main.n")) / outer) * F.col("n")
     inner = F.greatest(F.ceil(F.col("bytes") / BLOCK_BYTES), F.ceil(pairs / BLOCK_PAIRS))
-    mixed = mixed.select("band", F.col("main.component").alias("main"), outer.cast("int").alias("outer"), inner.cast("int").alias("inner"))
+    mixed = mixed.select(
+        "band", F.col("main.component").alias("main"), outer.cast("int").alias("outer"), inner.cast("int").alias("inner")
+    )
     at = placed.join(mixed, "band")
     own = lambda count: F.pmod(F.xxhash64("node", F.lit(7)), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    outside = at.where(F.col("component") != F.col("main")).select("band", "node", "component", own("outer").alias("block"), every("inner").alias("slice"))
+    outside = at.where(F.col("component") != F.col("main")).select(
+        "band", "node", "component", own("outer").alias("block"), every("inner").alias("slice")
+    )
     inside = at.select("band", "node", "component", every("outer").alias("block"), own("inner").alias("slice"))
 
     kind = members.schema["node"].dataType
@@ -196,8 +206,9 @@ def _remaining(members: DataFrame, known: DataFrame, sets: DataFrame, percent: i
 
     by = ("band", "block", "slice")
     # Both sides come from the same tables: new names for their columns keep them apart.
-    groups = [side.join(sets, "node").select(*[F.col(c).alias(c) for c in (*by, "node", "component", "values")]).groupBy(*by) for side in (outside, inside)]
-    return groups[0].cogroup(groups[1]).applyInArrow(compare, schema)
+    columns = [F.col(c).alias(c) for c in (*by, "node", "component", "values")]
+    left, right = (side.join(sets, "node").select(*columns).groupBy(*by) for side in (outside, inside))
+    return left.cogroup(right).applyInArrow(compare, schema)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
@@ -217,13 +228,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     sketches = write_through(_sketches(docs, key, text, size), "sketches")
     known = sketches.where(F.col("same").isNotNull() & F.col("key").isNotNull())
     # Equal sets have equal bands, so any will do.
-    classes = write_through(known.groupBy("same").agg(F.min("key").alias("node"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("bands").alias("bands")), "classes")
+    whole = [F.any_value(c).alias(c) for c in ("n_shingles", "bands")]
+    classes = write_through(known.groupBy("same").agg(F.min("key").alias("node"), *whole), "classes")
     entries = classes.select("node", "n_shingles", F.explode("bands").alias("band"))
     buckets = entries.groupBy("band").agg(F.min("node").alias("centre"), F.count("*").alias("filled")).where(F.col("filled") > 1)
     members = write_through(entries.join(buckets, "band"), "bucket-members")
     sets = write_through(_sets(docs, members.select("node").distinct(), key, text, size), "sets")
 
-    pairs = members.where(F.col("node") != F.col("centre")).select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    pairs = members.where(F.col("node") != F.col("centre"))
+    pairs = pairs.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     links = write_through(_confirmed(pairs, sets, percent), "confirmed-links")
     found = components(links)
     more = write_through(_remaining(members, found, sets, percent), "further-links")
@@ -231,8 +244,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     settled = found.select(F.col("node").alias("a"), F.col("component").alias("b")).where(F.col("a") != F.col("b"))
     final = components(settled.unionByName(more))
 
-    named = classes.select("same", "node").join(final, "node", "left").select("same", F.coalesce("component", "node").alias("component"))
+    named = classes.select("same", "node").join(final, "node", "left")
+    named = named.select("same", F.coalesce("component", "node").alias("component"))
     joined = sketches.drop("bands").join(named, "same", "left")
     # A null key has no class of its own; texts without words name themselves.
     component = F.when(F.col("key").isNotNull(), F.coalesce("component", "key"))
-    return joined.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("key")).alias("kept"))
+    kept = component.eqNullSafe(F.col("key"))
+    return joined.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), kept.alias("kept"))

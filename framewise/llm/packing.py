@@ -18,11 +18,20 @@ from framewise.settings import write_through
 
 CAPACITY = 2048
 
+# Ids that a task gathers before it hands pieces on.
+_FLUSH = 1 << 20
+
 _RULES = "length long, first long, pieces long, each long, window long, at long"
 
 
 def pieces(
-    docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text", with_ids: bool = False
+    docs: DataFrame,
+    vocabulary: str,
+    end_id: int,
+    capacity: int = CAPACITY,
+    key: str = "doc_id",
+    text: str = "text",
+    with_ids: bool = False,
 ) -> DataFrame:
     """Each document's ids, closed by ``end_id`` and cut into full windows and one remainder.
 
@@ -40,18 +49,26 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).ids
         for batch in batches:
-            rows: list[list] = [[] for _ in fields[1:]]
-            owner = []
+            owner, rows, size = [], [[] for _ in fields[1:]], 0
+
+            def made() -> pa.RecordBatch:
+                columns = [batch.column("key").take(pa.array(owner, pa.int64()))]  # noqa: B023
+                columns += [pa.array(x, kinds.get(f.name, pa.int64())) for f, x in zip(fields[1:], rows)]  # noqa: B023
+                return pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
             for i, content in enumerate(batch.column("text")):
                 ids = np.append(encode(content.as_py()), np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), capacity):
                     part = ids[start : start + capacity]
                     owner.append(i)
-                    for column, value in zip(rows, (start, len(part), zlib.crc32(part.tobytes()), len(ids), part.tolist())):
+                    values = [start, len(part), zlib.crc32(part.tobytes()), len(ids), *[part.astype(np.int64)] * with_ids]
+                    for column, value in zip(rows, values):
                         column.append(value)
-            columns = [batch.column("key").take(pa.array(owner, pa.int64()))]
-            columns += [pa.array(x, kinds.get(f.name, pa.int64())) for f, x in zip(fields[1:], rows)]
-            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+                size += len(ids)
+                if size > _FLUSH:
+                    yield made()
+                    owner, rows, size = [], [[] for _ in fields[1:]], 0
+            yield made()
 
     return source.mapInArrow(cut, T.StructType(fields)).withColumnRenamed("key", key)
 
@@ -74,17 +91,17 @@ def assign(cut: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> Dat
 
     counts = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
     rules, _ = plan(counts, capacity)
-    local = [(r.length, r.first, r.pieces, r.each, r.window, r.offset) for r in rules] or [tuple(Rule(0, 0, 0, 1, 0, 0).__dict__.values())]
+    # Without pieces, a rule that places none.
+    rules = rules or [Rule(0, 0, 0, 1, 0, 0)]
+    local = [(r.length, r.first, r.pieces, r.each, r.window, r.offset) for r in rules]
     table = spark.createDataFrame(local, _RULES).withColumnRenamed("length", "_length")
 
     within = Window.partitionBy("length", "_slice").orderBy(key, "start", "ids_crc32")
     numbered = rows.withColumn("_n", F.row_number().over(within)).join(bases, ["length", "_slice"])
     numbered = numbered.withColumn("_n", F.col("_base") + F.col("_n") - 1)
     # The rules' number is bounded by the capacity.
-    placed = numbered.join(
-        F.broadcast(table),
-        (F.col("length") == F.col("_length")) & (F.col("_n") >= F.col("first")) & (F.col("_n") < F.col("first") + F.col("pieces")),
-    )
+    of_rule = (F.col("_n") >= F.col("first")) & (F.col("_n") < F.col("first") + F.col("pieces"))
+    placed = numbered.join(F.broadcast(table), (F.col("length") == F.col("_length")) & of_rule)
     return placed.select(
         *[F.col(f"`{c}`") for c in cut.columns],
         F.expr("window + (_n - first) div each").alias("sequence_id"),
@@ -92,7 +109,15 @@ def assign(cut: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> Dat
     )
 
 
-def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+def pack(
+    docs: DataFrame,
+    vocabulary: str,
+    end_id: int,
+    capacity: int = CAPACITY,
+    key: str = "doc_id",
+    text: str = "text",
+    with_ids: bool = False,
+) -> DataFrame:
     """One row per piece: where it comes from, and its sequence and offset there.
 
     Overlong documents are cut into full windows first; all pieces are then placed in order of

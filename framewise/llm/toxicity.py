@@ -172,7 +172,15 @@ def _telling(counts: pd.DataFrame, toxic: int, clean: int, clearly: float) -> by
     return written(good.view(np.uint64))
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Model:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    learn: Column,
+    key: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+    sample: int = SAMPLE,
+) -> Model:
     """A model from labelled rows of which ``learn`` (over the labels' columns) is true.
 
     At most ``sample`` rows of each class are used. They are chosen by a hash of the key, and since
@@ -199,10 +207,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id"
                 found = np.unique(codes(content.as_py())).view(np.int64)
                 n = len(found) + 1
                 # Code null counts the texts themselves.
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([*found.tolist(), None], pa.int64()), pa.array([toxic.as_py()] * n, pa.int32()), pa.array([fold.as_py()] * n, pa.int32())],
-                    ["code", "toxic", "fold"],
-                )
+                same = [pa.array([x.as_py()] * n, pa.int32()) for x in (toxic, fold)]
+                yield pa.RecordBatch.from_arrays([pa.array([*found.tolist(), None], pa.int64()), *same], ["code", "toxic", "fold"])
 
     counted = (
         texts.mapInArrow(words, "code long, toxic int, fold int")

@@ -31,7 +31,8 @@ def check(docs):
 
 
 def text_of(*names):
-    return " ".join(SENTENCES[n] for n in names)
+    """As in a header: what does not end with a mark stands on a line of its own."""
+    return "\n".join(SENTENCES[n] for n in names)
 
 
 def test_every_rule_is_found(docs_of):
