@@ -29,7 +29,8 @@ SENTENCES = {
     "gpl-3-notice": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-free": "This program is free software:",
     "gpl-3-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "gpl-2-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "gpl-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;",
+    "gpl-2-version": "either version 2 of the License, or (at your option) any later version.",
     "gpl-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
     "gpl-implied": "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
     "cc-by-nc-4-notice": "Licensed under CC BY-NC 4.0.",
@@ -59,7 +60,7 @@ RULES = {
     "gpl-3-notice": ("GPL-3.0", ["gpl-3-notice"]),
     "gpl-3-header": ("GPL-3.0-or-later", ["gpl-free", "gpl-3-terms", "gpl-hope", "gpl-implied"]),
     "gpl-3-terms": ("GPL-3.0-or-later", ["gpl-3-terms"]),
-    "gpl-2-terms": ("GPL-2.0-or-later", ["gpl-2-terms"]),
+    "gpl-2-terms": ("GPL-2.0-or-later", ["gpl-terms", "gpl-2-version"]),
     "gpl-3-spdx": ("GPL-3.0-or-later", ["spdx-gpl-3"]),
     "cc-by-nc-4-notice": ("CC-BY-NC-4.0", ["cc-by-nc-4-notice"]),
     "cc-by-nc-4-work": ("CC-BY-NC-4.0", ["cc-by-nc-4-work"]),
@@ -72,6 +73,8 @@ RULES = {
 #: Every known sentence has one of these words or beginnings, so a text without them has no match.
 ANCHORS = ("licen", "permission", "permitted", "copyright", "warranty", "software", "redistribut")
 
+#: A colon that ends no sentence: what follows belongs to it.
+_NAMED = r"(?i)(identifier:)[ \t]+"
 #: A line break inside a sentence: not after its end, and before a small letter.
 _WRAP = r"(?<![.!?:;])\r?\n[ \t]*(?=[a-z])"
 #: Where sentences end.
@@ -106,8 +109,10 @@ def scan_licenses(docs: DataFrame, text: str = "text", sentences: dict[str, str]
     for name, sentence in sentences.items():
         if not any(a in normal(sentence) for a in anchors):
             raise ValueError(f"no anchor in the sentence {name}")
+        if len(re.split(_END, re.sub(_NAMED, r"\1", sentence))) > 1:
+            raise ValueError(f"{name} is more than one sentence")
     known = F.create_map(*[F.lit(x) for i, s in sorted(sentences.items()) for x in (normal(s), i)])
-    parts = F.split(F.regexp_replace("_text", _WRAP, " "), _END)
+    parts = F.split(F.regexp_replace(F.regexp_replace("_text", _NAMED, "$1"), _WRAP, " "), _END)
     listed = F.filter(
         F.transform(parts, lambda s, i: F.struct(i.alias("place"), F.try_element_at(known, _normal(s)).alias("sentence"))),
         lambda x: x["sentence"].isNotNull(),

@@ -160,10 +160,11 @@ def _license_sql() -> str:
     known = ", ".join(f"('{normal(text)}', '{name}')" for name, text in sorted(SENTENCES.items()))
     rules = ", ".join(f"('{name}', '{licence}', ' {' '.join(ids)} ')" for name, (licence, ids) in sorted(RULES.items()))
     wrap = r"regexp_replace({}, '(^|[^.!?:;])\r?\n[ \t]*([a-z])', '\1 \2', 'g')"
+    named = r"regexp_replace(coalesce(text, ''), '(?i)(identifier:)[ \t]+', '\1', 'g')"
     return rf"""
         WITH known AS (SELECT * FROM (VALUES {known}) AS t(sentence, name)),
         rules AS (SELECT * FROM (VALUES {rules}) AS t(rule, licence, ids)),
-        cut AS (SELECT doc_id, string_split(regexp_replace(regexp_replace({wrap.format(wrap.format("coalesce(text, '')"))},
+        cut AS (SELECT doc_id, string_split(regexp_replace(regexp_replace({wrap.format(wrap.format(named))},
                   '([.!?:;])[ \t\r\n]+', '\1' || chr(1), 'g'), '\r?\n', chr(1), 'g'), chr(1)) AS parts FROM documents),
         parts AS (SELECT doc_id, unnest(range(0, len(parts))) AS place, unnest(parts) AS part FROM cut),
         found AS (SELECT doc_id, place, name FROM parts

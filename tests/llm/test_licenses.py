@@ -7,7 +7,8 @@ from framewise.llm.licenses import ANCHORS, RULES, SENTENCES, normal, scan_licen
 
 
 def brute(text):
-    text = re.sub(r"(?<![.!?:;])\r?\n[ \t]*(?=[a-z])", " ", text or "")
+    text = re.sub(r"(?i)(identifier:)[ \t]+", r"\1", text or "")
+    text = re.sub(r"(?<![.!?:;])\r?\n[ \t]*(?=[a-z])", " ", text)
     known = {normal(s): i for i, s in SENTENCES.items()}
     ids = [(n, known[normal(p)]) for n, p in enumerate(re.split(r"(?<=[.!?:;])[ \t\r\n]+|\r?\n", text)) if normal(p) in known]
     names = [i for _, i in ids]
@@ -68,3 +69,5 @@ def test_anchors_spare_no_known_sentence(docs_of):
     assert all(any(a in normal(s) for a in ANCHORS) for s in SENTENCES.values())
     with pytest.raises(ValueError):
         scan_licenses(docs_of(["x"]), sentences={"x": "Nothing of the kind."})
+    with pytest.raises(ValueError):
+        scan_licenses(docs_of(["x"]), sentences={"x": "A license. Another one."})
