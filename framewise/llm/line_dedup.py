@@ -164,7 +164,8 @@ def drop_shared_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
         "suspected-lines",
     )
     holders = found.groupBy("_line").agg(F.count_distinct("_key").alias("_n"), F.max("_key").alias("_last"))
-    holders = holders.where(F.col("_n") >= documents)
+    # Written, so that the join below stands on plain shuffles, of which Spark can split a frequent line's part.
+    holders = write_through(holders.where(F.col("_n") >= documents), "shared-lines")
     drops = (
         found.join(holders, "_line")
         .where(F.col("_key") != F.col("_last"))
