@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -48,12 +48,8 @@ class Encoder:
 
     def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.chunk, self.overlap = chunk, overlap
-        self._library = Tokenizer.from_file(path)
-        self._library.no_truncation()
-        self._library.no_padding()
+        self.path, self.chunk, self.overlap = path, chunk, overlap
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         symbols = _bytes_of_symbols()
@@ -66,6 +62,16 @@ class Encoder:
         for token, i in [*ranks.items(), *((t.encode(), i) for t, i in special.items())]:
             self._bytes[i] = len(token)
 
+    @cached_property
+    def _library(self):
+        """Only loaded where a text needs it."""
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        return library
+
     def ids(self, text: str) -> np.ndarray:
         """The ids, unsigned 32-bit."""
         if len(text) <= self.chunk:
