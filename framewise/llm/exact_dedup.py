@@ -33,7 +33,8 @@ def directory(index: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     bucket = F.expr(f"shiftleft(1, depth) | shiftright(prefix, {DEPTH} - depth)")
     steps = steps.withColumn("bucket", bucket)
     filled = steps.groupBy("bucket").agg(F.sum("n").alias("filled"))
-    fitting = steps.join(filled, "bucket").where((F.col("filled") <= capacity) | (F.col("depth") == DEPTH))
+    # At most 131,071 rows: one for each node of the tree of prefixes.
+    fitting = steps.join(F.broadcast(filled), "bucket").where((F.col("filled") <= capacity) | (F.col("depth") == DEPTH))
     return fitting.groupBy("prefix").agg(F.min_by("bucket", "depth").alias("bucket"))
 
 
