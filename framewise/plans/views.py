@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.settings import run_dir
+from framewise.settings import run_dir, write_through
 
 WIDTH, HEIGHT = 640, 480
 
@@ -26,6 +26,7 @@ def in_files(df: DataFrame, order: str, files: int = 4) -> DataFrame:
     file is written by one task.
     """
     folder, spark = run_dir(df.sparkSession, "feed"), df.sparkSession
+    df = write_through(df, "fed")  # used for each file
     last = df.agg(F.max(order)).first()[0] or 0
     for i in range(files):
         begin, end = (last * i // files + 3 if i else 0), (last * (i + 1) // files + 3)
