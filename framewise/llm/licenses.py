@@ -2,6 +2,7 @@
 
 A text is split into sentences, each is normalised and looked up among known licence sentences, and the
 sequence of identifiers found is matched against rules, which are sequences of identifiers themselves.
+Licence texts are wrapped anywhere, so lines are also looked up joined with the unfinished ones before them.
 """
 
 from __future__ import annotations
@@ -75,10 +76,10 @@ ANCHORS = ("licen", "permission", "permitted", "copyright", "warranty", "softwar
 
 #: A colon that ends no sentence: what follows belongs to it.
 _NAMED = r"(?i)(identifier:)[ \t]+"
-#: A line break inside a sentence: not after its end, and before a small letter.
-_WRAP = r"(?<![.!?:;])\r?\n[ \t]*(?=[a-z])"
-#: Where sentences end.
-_END = r"(?<=[.!?:;])[ \t\r\n]+|\r?\n"
+#: Where sentences end. A line break ends one unless a small letter follows.
+_END = r"(?<=[.!?:;])[ \t\r\n]+|\r?\n(?![ \t]*[a-z])"
+#: Where the parts between two ends are divided further; neighbouring ones are joined again.
+_BREAK = r"\r?\n"
 _OTHER = r"[^a-z0-9]+"
 
 
@@ -91,11 +92,62 @@ def _normal(sentence: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(sentence), _OTHER, " "))
 
 
+def _with(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _lines(text: Column) -> Column:
+    """The lines of each sentence, normalised: its place, the words, and whether a mark ends them."""
+    parts = F.split(F.regexp_replace(text, _NAMED, "$1"), _END)
+    line = lambda t, i: F.struct(i.alias("place"), _normal(t).alias("words"), t.rlike("[.!?:;]$").alias("ended"))
+    lines = F.flatten(F.transform(parts, lambda s, i: F.transform(F.split(s, _BREAK), lambda t: line(t, i))))
+    sign = lambda x: (x["words"] == "") & x["ended"]
+    # Comment signs like ; and ! are cut off as sentences of their own. Two in a row are an empty line.
+    return _with(lines, lambda all: F.filter(all, lambda x, i: ~sign(x) | F.coalesce(sign(F.get(all, i + 1)), F.lit(True))))
+
+
+def _found(lines: Column, sentences: dict[str, str]) -> Column:
+    """Known sentences among lines and joins of lines, the longest from each line on."""
+    words = {normal(s): i for i, s in sorted(sentences.items())}
+    known = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
+    texts = F.array(*[F.lit(x) for x in words])
+    most = max(x.count(" ") + 1 for x in words)  # Each line that is joined has a word.
+    begins = lambda w: (w != "") & F.exists(texts, lambda s: F.startswith(s, w))
+
+    def join(acc, x):
+        longer = F.when(acc["open"] & (x["words"] != ""), F.concat_ws(" ", acc["words"], x["words"]))
+        name = F.try_element_at(known, longer)
+        return F.struct(
+            longer.alias("words"),
+            (longer.isNotNull() & ~x["ended"]).alias("open"),
+            (acc["n"] + 1).alias("n"),
+            F.coalesce(name, acc["sentence"]).alias("sentence"),
+            F.when(name.isNotNull(), acc["n"] + 1).otherwise(acc["size"]).alias("size"),
+        )
+
+    none = F.lit(None).cast("string")
+    start = F.struct(none.alias("words"), F.lit(True).alias("open"), F.lit(0).alias("n"), none.alias("sentence"), F.lit(0).alias("size"))
+
+    def of_line(all, x, i):
+        best = F.when(begins(x["words"]), F.aggregate(F.slice(all, i + 1, F.lit(most)), start, join))
+        return _with(best, lambda b: F.struct(x["place"].alias("place"), b["sentence"].alias("sentence"), (i + b["size"]).alias("upto")))
+
+    matches = _with(lines, lambda all: F.filter(F.transform(all, lambda x, i: of_line(all, x, i)), lambda m: m["sentence"].isNotNull()))
+    # A line may be a sentence by itself and also the end of a longer one, which began at most ``most`` matches before.
+    before = lambda all, i: F.slice(all, F.greatest(F.lit(1), i + 1 - most), F.least(i, F.lit(most)))
+    whole = _with(matches, lambda all: F.filter(all, lambda m, i: ~F.exists(before(all, i), lambda o: o["upto"] >= m["upto"])))
+    return F.transform(whole, lambda m: F.struct(m["place"].alias("place"), m["sentence"].alias("sentence")))
+
+
 def scan_licenses(docs: DataFrame, text: str = "text", sentences: dict[str, str] = SENTENCES, rules: dict = RULES, anchors=ANCHORS) -> DataFrame:
     """``docs`` with ``license_sentences``, ``license_rules`` and ``licenses``.
 
     ``license_sentences`` lists the known sentences of the whole text as structs of their place
-    among its sentences (from 0) and identifier; ``license_rules`` the names of rules whose
+    (from 0, that of the first line) and identifier. Places count what sentence marks and line
+    breaks separate, but for line breaks before small letters. A sentence may be wrapped over
+    lines anywhere, with comment signs ahead of them; empty lines end it, and one that is a
+    part of a longer one is not listed.  ``license_rules`` the names of rules whose
     identifiers follow each other in that list (unknown sentences between them don't matter),
     without rules inside a longer one that matches; ``licenses`` the licences of these, each once.
     Both are in alphabetical order.
@@ -111,15 +163,9 @@ def scan_licenses(docs: DataFrame, text: str = "text", sentences: dict[str, str]
             raise ValueError(f"no anchor in the sentence {name}")
         if len(re.split(_END, re.sub(_NAMED, r"\1", sentence))) > 1:
             raise ValueError(f"{name} is more than one sentence")
-    known = F.create_map(*[F.lit(x) for i, s in sorted(sentences.items()) for x in (normal(s), i)])
-    parts = F.split(F.regexp_replace(F.regexp_replace("_text", _NAMED, "$1"), _WRAP, " "), _END)
-    listed = F.filter(
-        F.transform(parts, lambda s, i: F.struct(i.alias("place"), F.try_element_at(known, _normal(s)).alias("sentence"))),
-        lambda x: x["sentence"].isNotNull(),
-    )
     nothing = F.expr("cast(array() as array<struct<place:int,sentence:string>>)")
     candidate = F.lower("_text").rlike("|".join(re.escape(a) for a in anchors))
-    found = F.when(candidate, listed).otherwise(nothing)
+    found = F.when(candidate, _found(_lines(F.col("_text")), sentences)).otherwise(nothing)
 
     joined = F.concat(F.lit(" "), F.array_join(F.transform("license_sentences", lambda x: x["sentence"]), " "), F.lit(" "))
     match = {name: F.contains(F.col("_ids"), F.lit(f" {' '.join(ids)} ")) for name, (_, ids) in rules.items()}

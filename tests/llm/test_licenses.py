@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +72,97 @@ def test_anchors_spare_no_known_sentence(docs_of):
         scan_licenses(docs_of(["x"]), sentences={"x": "Nothing of the kind."})
     with pytest.raises(ValueError):
         scan_licenses(docs_of(["x"]), sentences={"x": "A license. Another one."})
+
+
+#: As shipped, with their own line breaks.
+WRAPPED = {
+    "MIT": """\
+Copyright (c) 2020 A Holder
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.""",
+    "GPL-2.0-or-later": """\
+This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "GPL-3.0-or-later": """\
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "Apache-2.0": """\
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+}
+LONGEST = {"MIT": "mit-text", "GPL-2.0-or-later": "gpl-2-terms", "GPL-3.0-or-later": "gpl-3-header", "Apache-2.0": "apache-2-header"}
+
+
+def commented(text, sign):
+    return "\n".join(f"{sign} {line}".rstrip() for line in text.split("\n"))
+
+
+@pytest.mark.parametrize("sign", ["", "#", "//", " *", ";;", "!", "--"])
+def test_wrapped_texts_as_shipped(docs_of, sign):
+    texts = [commented(t, sign) if sign else t for t in WRAPPED.values()]
+    texts += [t.replace("\n", "\r\n") for t in texts]
+    rows = sorted(scan_licenses(docs_of(texts)).collect(), key=lambda r: r["doc_id"])
+    for r, name in zip(rows, [*WRAPPED, *WRAPPED], strict=True):
+        assert r["licenses"] == [name] and LONGEST[name] in r["license_rules"], r["text"]
+        places = [x["place"] for x in r["license_sentences"]]
+        assert places == sorted(places) and len(set(x["sentence"] for x in r["license_sentences"])) == len(places)
+
+
+def test_any_width_gives_the_sentences_of_one_line(docs_of):
+    names = [n for n in SENTENCES if not n.startswith("spdx")]
+    texts = [textwrap.fill(SENTENCES[n], width, break_long_words=False, break_on_hyphens=False) for n in names for width in (1, 15, 40, 72)]
+    rows = sorted(scan_licenses(docs_of(texts)).collect(), key=lambda r: r["doc_id"])
+    assert [[(x["place"], x["sentence"]) for x in r["license_sentences"]] for r in rows] == [[(0, n)] for n in names for _ in range(4)]
+
+
+def test_what_joins_and_what_does_not(docs_of):
+    texts = [
+        "Released under the\n\nMIT License.",
+        "# Released under the\n#\n# MIT License.",
+        ";; Released under the\n;;\n;; MIT License.",
+        "Released under the terms.\nMIT License.",
+        'Licensed under the Apache License, Version 2.0\n(the "License");',
+        "A heading\nReleased under the\nMIT License.\nReleased under the MIT License.",
+    ]
+    rows = sorted(scan_licenses(docs_of(texts)).collect(), key=lambda r: r["doc_id"])
+    found = [[(x["place"], x["sentence"]) for x in r["license_sentences"]] for r in rows]
+    assert found == [[], [], [], [], [(0, "apache-2-header")], [(1, "mit-notice"), (3, "mit-notice")]]
