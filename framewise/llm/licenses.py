@@ -42,6 +42,11 @@ SENTENCES = {
     "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    # The holder's name comes ahead of this part. Of several usual wordings.
+    "bsd-names": "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd-names-other": "nor the names of contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd-author": "The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd-advertising": "All advertising materials mentioning features or use of this software must display the following acknowledgement:",
     "spdx-apache-2": "SPDX-License-Identifier: Apache-2.0",
     "spdx-mit": "SPDX-License-Identifier: MIT",
     "spdx-gpl-3": "SPDX-License-Identifier: GPL-3.0-or-later",
@@ -69,6 +74,12 @@ RULES = {
     "cc-by-4-work": ("CC-BY-4.0", ["cc-by-4-work"]),
     "cc-by-sa-4-notice": ("CC-BY-SA-4.0", ["cc-by-sa-4-notice"]),
     "bsd-text": ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
+    "bsd-3-text": ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
+    "bsd-3-other": ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names-other"]),
+    "bsd-3-author": ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-author"]),
+    "bsd-4-text": ("BSD-4-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-names"]),
+    "bsd-4-other": ("BSD-4-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-names-other"]),
+    "bsd-4-author": ("BSD-4-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-author"]),
 }
 
 #: Every known sentence has one of these words or beginnings, so a text without them has no match.
@@ -78,8 +89,9 @@ ANCHORS = ("licen", "permission", "permitted", "copyright", "warranty", "softwar
 _NAMED = r"(?i)(identifier:)[ \t]+"
 #: Where sentences end. A line break ends one unless a small letter follows.
 _END = r"(?<=[.!?:;])[ \t\r\n]+|\r?\n(?![ \t]*[a-z])"
-#: Where the parts between two ends are divided further; neighbouring ones are joined again.
-_BREAK = r"\r?\n"
+#: Where the parts between two ends are divided further; neighbouring ones are joined again. The
+#: word "nor" follows a holder's name, so what it begins is looked up without the name.
+_BREAK = r"\r?\n|[ \t]+(?=(?i:nor)\b)"
 _OTHER = r"[^a-z0-9]+"
 
 

@@ -166,3 +166,49 @@ def test_what_joins_and_what_does_not(docs_of):
     rows = sorted(scan_licenses(docs_of(texts)).collect(), key=lambda r: r["doc_id"])
     found = [[(x["place"], x["sentence"]) for x in r["license_sentences"]] for r in rows]
     assert found == [[], [], [], [], [(0, "apache-2-header")], [(1, "mit-notice"), (3, "mit-notice")]]
+
+
+BSD_2 = """\
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_END = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+BSD_3 = """
+3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+BSD_3_BROKEN = """
+3. Neither the name of the
+   {} nor
+   the names of contributors may be used to endorse or promote products
+   derived from this software without specific prior written permission.
+"""
+BSD_AUTHOR = """
+3. The name of the author may not be used to endorse or promote products
+   derived from this software without specific prior written permission.
+"""
+BSD_ADVERTISING = """
+3. All advertising materials mentioning features or use of this software
+   must display the following acknowledgement:
+   This product includes software developed by the organization.
+"""
+
+
+@pytest.mark.parametrize("sign", ["", "#", " *", ";;"])
+def test_bsd_texts_are_told_apart(docs_of, sign):
+    thirds = [BSD_3.format("the copyright holder"), BSD_3.format("Google Inc."), BSD_3.format("Some Firm, Ltd. and Others"), BSD_3_BROKEN.format("University")]
+    thirds += [thirds[0].upper(), BSD_AUTHOR]
+    texts = [BSD_2 + BSD_END] + [BSD_2 + t + BSD_END for t in thirds] + [BSD_2 + BSD_ADVERTISING + t.replace("3.", "4.") + BSD_END for t in thirds]
+    texts = [commented(t, sign) if sign else t for t in texts]
+    rows = sorted(scan_licenses(docs_of(texts)).collect(), key=lambda r: r["doc_id"])
+    assert [r["licenses"] for r in rows] == [["BSD-2-Clause"]] + [["BSD-3-Clause"]] * len(thirds) + [["BSD-4-Clause"]] * len(thirds)
