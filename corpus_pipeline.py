@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewise.llm.columns import pack_row
 from framewise.llm.line_dedup import drop_shared_lines
 from framewise.llm.mixing import mix_sources
 from framewise.llm.near_dedup import near_duplicates
 from framewise.llm.packing import pack
 from framewise.llm.registry import END_ID, MIX_ENTROPY, MIX_REPEATS, byte_vocabulary, held_out, table
+from framewise.llm.token_counts import count_tokens
 from framewise.llm.toxicity import score_toxicity, train
-from framewise.settings import run_dir
+from framewise.settings import run_dir, write_through
 
 #: The toxicity and near-duplicate stages cannot be expressed in SQL.
 ORACLE_SQL = None
@@ -42,8 +44,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in their target weights: every document at least once, those of small sources more often."""
-    return mix_sources(docs, entropy=MIX_ENTROPY, repeats=MIX_REPEATS).select(*docs.columns)
+    """Sources in their target weights: every document at least once, those of small sources more often.
+
+    Weights are of tokens as packing counts them, each document's end among them.
+    """
+    # Mixing reads the counts several times. The row is one column, so that no name can clash.
+    counted = write_through(count_tokens(docs.select(pack_row(docs, "_all")), byte_vocabulary(), "_all.text"), "mix-tokens")
+    tokens = F.col("n_tokens") + 1
+    return mix_sources(counted, "_all.doc_id", "_all.source", tokens, MIX_ENTROPY, MIX_REPEATS).select("_all.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

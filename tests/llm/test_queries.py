@@ -70,3 +70,22 @@ def test_pipeline_takes_odd_and_empty_tables(spark, odd_docs):
             docs = stage(spark, docs, SF)
         rows = docs.collect()
         assert bool(rows) == bool(before.take(1))
+
+
+def test_pipeline_mixes_by_the_tokens_that_are_packed(spark, docs_of):
+    from framewise.llm.mixing import source_weights
+
+    # Ten bytes of src0 are two tokens, of src1 about ten.
+    docs = docs_of(["house and " * 40 if i % 2 == 0 else "7\u4e5e\u4e69 " * (i % 5) for i in range(400)])
+    docs = docs.withColumns({"n_tokens": F.lit("x"), "place": F.lit(5)})
+    count = lambda df: {r["doc_id"]: r["doc_tokens"] for r in corpus_pipeline.packing(spark, df, SF).collect()}
+    size = count(docs)
+    tokens = F.create_map(*[F.lit(x) for pair in size.items() for x in pair])[F.col("doc_id")]
+    wanted = source_weights(docs, tokens=tokens, entropy=registry.MIX_ENTROPY, repeats=registry.MIX_REPEATS).collect()
+    mixed = corpus_pipeline.mixing(spark, docs, SF)
+    assert mixed.columns == docs.columns
+    rows = mixed.collect()
+    assert {r["doc_id"] for r in rows} == set(size) and {(r["n_tokens"], r["place"]) for r in rows} == {("x", 5)}
+    for w in wanted:
+        drawn = sum(size[r["doc_id"]] for r in rows if r["source"] == w["_source"])
+        assert 0 <= w["budget"] - drawn < 100
