@@ -43,8 +43,8 @@ def build_index(entries: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame
 
     Entries with equal bytes are brought together by grouping on hash and bytes: copies are
     combined within each task before anything is shuffled, so a text that a third of all rows
-    share is no burden for its owner. The index holds one entry per distinct text, ordered by
-    bucket; owner tasks process ranges of hashes. Entries with one hash and different bytes form
+    share is no burden for its owner. The index holds one entry per distinct text with its bucket,
+    as the shuffle by bucket and hash leaves them. Entries with one hash and different bytes form
     a chain, in which length and SHA-256 of the bytes tell them apart.
     """
     combined = entries.groupBy("_hash", "_text").agg(F.max("_key").alias("_keep"), F.count("*").alias("_size"))
