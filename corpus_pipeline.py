@@ -32,7 +32,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the lines that at least three documents share, but for their last holder."""
-    return drop_shared_lines(docs).select(*docs.columns)
+    # Not two: pairs of near duplicates must reach the next stage with the lines that they share.
+    return drop_shared_lines(docs, documents=3).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
