@@ -12,9 +12,12 @@ from framewise.llm.licenses import RULES, SENTENCES, normal, scan_licenses
 from framewise.llm.line_dedup import drop_shared_lines
 from framewise.llm.mixing import mix_sources
 from framewise.llm.near_dedup import near_duplicates
+from framewise.llm.negatives import hard_negatives
 from framewise.llm.packing import pack
 from framewise.llm.token_counts import count_tokens
+from framewise.llm.topk import top_products
 from framewise.llm.toxicity import score_toxicity, train
+from framewise.llm.whitening import fit_whitening, whiten
 
 END_ID = 1
 
@@ -138,6 +141,33 @@ def op10_tool_calls(spark, sf_dir):
     return linked.withColumns({"depth": F.coalesce("depth", F.lit(-1)), "valid": F.coalesce("valid", F.lit(False)), "errors": F.coalesce("errors", F.lit(""))})
 
 
+def op11_top_k(spark, sf_dir):
+    found = top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def op12_hard_negatives(spark, sf_dir):
+    vec_id, label = F.col("vec_id"), F.col("label").cast("long")
+    noisy = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(table(spark, sf_dir, "embeddings"), vec_id % 50 == 0, noisy)
+
+
+def op13_whitening(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = fit_whitening(vectors)
+    explained = [] if model is None else model.explained.tolist()
+    rows = whiten(vectors, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return rows.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(0 if model is None else model.n).cast("long").alias("n"),
+        F.col("deviation").cast("long").alias("deviation"),
+        "whitened",
+        F.element_at(F.lit(explained).cast("array<double>"), F.col("at") + 1).alias("explained"),
+        F.lit(0.0 if model is None else model.identity_error).alias("identity_error"),
+    )
+
+
 def queries() -> dict:
     return {
         "op1_packing": op1_packing,
@@ -150,6 +180,9 @@ def queries() -> dict:
         "op8_licenses": op8_licenses,
         "op9_token_counts": op9_token_counts,
         "op10_tool_calls": op10_tool_calls,
+        "op11_top_k": op11_top_k,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_whitening": op13_whitening,
     }
 
 
@@ -251,6 +284,33 @@ _TOOL_CALLS = """
     FROM results r LEFT JOIN checked c USING (conv_id, call_id)"""
 
 
+_INTEGERS = """
+    usable AS (SELECT * FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    vectors AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM usable)"""
+
+_TOP_K = f"""
+    WITH {_INTEGERS},
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+               FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+    SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+_HARD_NEGATIVES = f"""
+    WITH {_INTEGERS},
+    labelled AS (SELECT vec_id, x, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+                 FROM vectors WHERE label IS NOT NULL),
+    scored AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, CAST(list_dot_product(a.x, c.x) AS BIGINT) AS score
+               FROM labelled a JOIN labelled c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.x) = len(c.x)),
+    positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+                  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    mined AS (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+                row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+              FROM positives JOIN scored USING (anchor_id)
+              WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+    SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM mined WHERE rank <= 3"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_dedup": rf"""
@@ -272,4 +332,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_mixing": _MIX.format(entropy=MIX_ENTROPY, repeats=MIX_REPEATS),
         "op8_licenses": _license_sql(),
         "op10_tool_calls": _TOOL_CALLS,
+        "op11_top_k": _TOP_K,
+        "op12_hard_negatives": _HARD_NEGATIVES,
     }

@@ -1,0 +1,272 @@
+"""Top-k search, hard negatives and whitening against plain computations on small tables."""
+
+from math import floor, inf, isfinite, nan
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from framewise.llm import negatives, registry, topk, vectors
+from framewise.llm.jacobi_davidson import largest_eigenpairs, minres
+from framewise.llm.whitening import fit_whitening, whiten
+
+SCHEMA = "vec_id long, embedding array<double>, label int"
+
+
+def some_rows(n, dims, seed, copies=0, spread=0.3):
+    rng = np.random.default_rng(seed)
+    rows = [(i, [float(x) for x in rng.normal(0, rng.choice([spread, 2 * spread]), dims)], int(rng.integers(0, 10))) for i in range(n)]
+    hot = rows[1][1]
+    return [(i, hot if i % 3 == 0 and i < 3 * copies else v, 4 if i % 3 == 1 else label) for i, v, label in rows]
+
+
+ODD = [
+    (None, [0.5, 0.5], 1), (1000, None, 1), (1050, [nan, 0.5], 2), (1100, [inf, 0.5], 2), (1101, [None, 0.5], 2), (1150, [], 3), (1151, [], 4),
+    (1200, [0.5, -0.25], None), (1201, [0.5, -0.25], 3), (1201, [0.5, -0.25], 3), (1250, [0.5, -0.25], 3), (1250, [0.5, -0.25], 3),
+    (1300, [0.0, 0.0], 3), (1301, [0.0, 0.0], 5), (1302, [1.0, 2.0, 3.0], 5), (1350, [-3.0, 2.0], 5), (1351, [1e-9, -1e-9], 5),
+    (1400, [1.0, 2.0, 2.5], 3), (-50, [0.4, -0.25], 3), (-49, [0.25, -0.25], 4),
+]
+
+
+def products(rows, label=lambda r: r[2]):
+    """Queries and rows with their integer scores, as the contract says."""
+    good = [(r[0], [floor(256 * x) for x in r[1]], label(r)) for r in rows if r[0] is not None and r[1] is not None and all(x is not None and isfinite(x) for x in r[1])]
+    asked = {(k, tuple(v)): label for k, v, label in good if k % 50 == 0}
+    return good, asked
+
+
+def dot(a, b):
+    return sum(x * y for x, y in zip(a, b))
+
+
+def plain_top(rows, k):
+    good, asked = products(rows)
+    found = {}
+    for q, x in asked:
+        found.setdefault(q, []).extend((-dot(x, v), key) for key, v, _ in good if key != q and len(v) == len(x))
+    return sorted((q, rank, key, -score) for q, all_ in found.items() for rank, (score, key) in enumerate(sorted(all_)[:k], 1))
+
+
+def noisy(row):
+    return None if row[2] is None else (row[2] + 1) % 10 if row[0] is not None and row[0] % 7 == 0 else row[2]
+
+
+def plain_negatives(rows):
+    good = [g for g in products(rows, noisy)[0] if g[2] is not None]
+    out = []
+    for a, x, label in good:
+        if a % 50:
+            continue
+        scored = sorted((-dot(x, v), key, other) for key, v, other in good if len(v) == len(x) and key != a)
+        for p, positive, _ in [s for s in scored if s[2] == label][:5]:
+            hard = [(s, key) for s, key, other in scored if other != label and -50 * p <= -100 * s <= -95 * p][:3]
+            out += [(a, positive, rank, key, -p, -s) for rank, (s, key) in enumerate(hard, 1)]
+    return sorted(out)
+
+
+TABLES = {
+    "plain": some_rows(400, 8, 0),
+    "copies": some_rows(700, 6, 1, copies=200),
+    "long ones": [(i, [x * (1 + i % 40) for x in v], label) for i, v, label in some_rows(900, 5, 2)],
+    "few": some_rows(3, 4, 3),
+    "odd": ODD + some_rows(120, 2, 4),
+    "large": some_rows(120, 3, 5, spread=5e5),
+    "one key": [(i if i % 3 else 50, v, label) for i, v, label in some_rows(300, 4, 6)],
+}
+
+
+@pytest.fixture(params=list(TABLES))
+def rows_of(request):
+    return TABLES[request.param]
+
+
+def test_top_k(spark, rows, rows_of):
+    df = spark.createDataFrame(rows_of, SCHEMA).repartition(3)
+    found = topk.top_products(df, F.col("vec_id") % 50 == 0, 5)
+    assert sorted(tuple(r) for r in found.collect()) == plain_top(rows_of, 5)
+
+
+def test_hard_negatives(spark, rows_of):
+    df = spark.createDataFrame(rows_of, SCHEMA).repartition(3)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = negatives.hard_negatives(df, F.col("vec_id") % 50 == 0, label)
+    assert sorted(tuple(r) for r in found.collect()) == plain_negatives(rows_of)
+
+
+def test_in_many_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK_BYTES", 8 * 6 * 50)
+    monkeypatch.setattr(topk, "FIRST_ROWS", 7)
+    table = TABLES["copies"]
+    df = spark.createDataFrame(table, SCHEMA)
+    assert sorted(tuple(r) for r in topk.top_products(df, F.col("vec_id") % 50 == 0, 5).collect()) == plain_top(table, 5)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    assert sorted(tuple(r) for r in negatives.hard_negatives(df, F.col("vec_id") % 50 == 0, label).collect()) == plain_negatives(table)
+
+
+def test_empty_tables_and_other_columns(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert topk.top_products(empty, F.col("vec_id") % 50 == 0, 5).collect() == []
+    assert negatives.hard_negatives(empty, F.col("vec_id") % 50 == 0, F.col("label")).collect() == []
+    table = TABLES["plain"]
+    names = ("x", "length", "key", "block", "asked", "floor", "visits", "score", "rank", "copy", "query_id", "positives")
+    more = spark.createDataFrame(table, SCHEMA).withColumns({n: F.lit("z") for n in names})
+    assert sorted(tuple(r) for r in topk.top_products(more, F.col("vec_id") % 50 == 0, 5).collect()) == plain_top(table, 5)
+    found = negatives.hard_negatives(more, F.col("vec_id") % 50 == 0, F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    assert sorted(tuple(r) for r in found.collect()) == plain_negatives(table)
+
+
+def test_too_long_vectors_stop_the_query(spark):
+    for entry, reason in ((1e300, "too large for a 64-bit integer"), (1e8, "too long for exact products")):
+        df = spark.createDataFrame([(0, [entry, 0.0], 1), (1, [0.5, 0.5], 1)], SCHEMA)
+        with pytest.raises(Exception, match=reason):
+            topk.top_products(df, F.col("vec_id") % 50 == 0, 5).collect()
+
+
+def test_search_prunes_by_coordinates_and_by_length():
+    rng = np.random.default_rng(0)
+    # Clusters: close rows reach cosines that leave few others in the interval of a strong coordinate.
+    centres = rng.normal(0, 100, (100, 12))
+    x = np.floor(np.repeat(centres, 30, axis=0) + rng.normal(0, 2, (3000, 12))).astype(np.int64)
+    x[::7] *= 3
+    keys = np.arange(len(x))
+    asked = keys[::50]
+    search = topk.search_rows(topk.Search(asked, x[asked], np.full(len(asked), topk.NOTHING), 5), keys, x, bucket=256)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = topk.NOTHING
+    want = np.array([sorted(range(len(x)), key=lambda j: (-int(s[j]), j))[:5] for s in scores])
+    assert (search.found == want).all() and (search.scores == np.take_along_axis(scores, want, 1)).all()
+    assert search.counts["coordinate"] > 0 and search.counts["length"] > 0
+    assert sum(search.counts.values()) < 0.8 * len(asked) * len(x)
+
+
+def test_blocks_that_are_too_short_are_not_visited(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "LEAST_ROWS", 20)
+    met = []
+    plain = topk.cells
+    monkeypatch.setattr(topk, "cells", lambda q, r, n, v, c, s: met.append((q.select(F.sum(F.size(v))).first()[0], q.count(), r.select("block").distinct().count())) or plain(q, r, n, v, c, s))
+    rows = [(i, [10.0 / (1 + i), 5.0 / (1 + i)], 0) for i in range(400)]
+    found = topk.top_products(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, 5).collect()
+    assert sorted(map(tuple, found)) == plain_top(rows, 5)
+    (visits, queries, blocks), = met
+    assert blocks > 4 and queries <= visits < queries * blocks
+
+
+@pytest.mark.parametrize("top", [3, 300, 10**6, 2**30])
+def test_packed_products(top):
+    rng = np.random.default_rng(top)
+    for dims in (0, 1, 7, 64):
+        a, b = rng.integers(-top, top, (5, dims)), rng.integers(-top, top, (23, dims))
+        length = lambda x: np.sqrt((x.astype(float) ** 2).sum(axis=1)).max()
+        if max(length(a), length(b)) >= vectors.LONGEST:
+            a, b = a // 8, b // 8
+        packed = negatives.PackedRows(a, b)
+        want = [[dot(x.tolist(), y.tolist()) for y in b] for x in a]
+        assert packed.products(a).tolist() == want
+        assert packed.fields * packed.width <= 64
+    assert negatives.PackedRows(rng.integers(-150, 150, (4, 64)), rng.integers(-150, 150, (9, 64))).fields >= 2
+
+
+@pytest.mark.parametrize("score", [-101, -1, 0, 1, 99, 100, 101, 2**61])
+def test_bands(score):
+    bottom, top = negatives.band(score, 50, 95)
+    inside = lambda s: 50 * score <= 100 * s <= 95 * score
+    if bottom <= top:
+        assert inside(bottom) and inside(top)
+    assert not inside(bottom - 1) and not inside(top + 1)
+
+
+@pytest.mark.parametrize("dims", [1, 3, 40, 130])
+def test_eigenpairs(dims):
+    rng = np.random.default_rng(dims)
+    x = rng.standard_normal((3 * dims, dims)) * np.linspace(1, 3, dims)
+    a = x.T @ x
+    found = largest_eigenpairs(lambda b: a @ b, dims, 16)
+    values, u = np.linalg.eigh(a)
+    k = min(16, dims)
+    assert np.allclose(found.values, values[::-1][:k], rtol=1e-13) and len(found.values) == k
+    assert np.allclose(np.abs((u[:, ::-1][:, :k] * found.vectors).sum(axis=0)), 1, atol=1e-12)
+    assert found.residuals.max() <= 64 * np.finfo(float).eps * values[-1]
+
+
+def test_minres_solves():
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((30, 20))
+    a, right, shifts = x.T @ x, rng.standard_normal((20, 4)), np.array([0.0, 3.3, 11.7, 40.0])
+    got = minres(lambda b: a @ b, shifts, right, 60)
+    for i, shift in enumerate(shifts):
+        assert np.allclose((a - shift * np.eye(20)) @ got[:, i], right[:, i], atol=1e-7)
+
+
+def plain_whitening(rows):
+    kept = [(r[0], [floor(64 * x) + 1_000_000 for x in r[1]]) for r in rows if r[1] and all(x is not None and isfinite(x) for x in r[1])]
+    fit = np.array(sorted({tuple(v) for _, v in kept}), dtype=np.int64)
+    n, sums = len(fit), fit.sum(axis=0)
+    c = (n * fit - sums) / n
+    values, u = np.linalg.eigh(c.T @ c / n)
+    return kept, n, sums, values[::-1], u[:, ::-1]
+
+
+@pytest.mark.parametrize("dims", [3, 20, 70])
+def test_whitening(spark, dims):
+    table = some_rows(300, dims, dims, copies=60)
+    table += [(900, None, 1), (901, [nan] * dims, 1), (902, [None] * dims, 1), (903, [-inf] * dims, 1), (904, [], 1), (None, table[5][1], None), table[7]]
+    kept, n, sums, values, u = plain_whitening(table)
+    names = ("x", "deviation", "Whitened", "_row", "n")
+    df = spark.createDataFrame(table, SCHEMA).withColumns({c: F.lit("z") for c in names})
+    model = fit_whitening(df)
+    k = min(16, dims)
+    assert model.n == n and model.sums.tolist() == sums.tolist() and model.identity_error < 1e-12
+    assert np.allclose(model.values, values[:k], rtol=1e-12) and np.allclose(model.explained, values[:k] / values.sum(), rtol=1e-12)
+    done = whiten(df, model)
+    assert set(done.columns) == {"vec_id", "embedding", "label", "x", "_row", "n", "deviation", "whitened"}
+    got = {}
+    for r in done.collect():
+        got.setdefault(r["vec_id"], []).append(r)
+        assert r["x"] == r["_row"] == r["n"] == "z"
+    assert sum(map(len, got.values())) == len(kept) and len(got[7]) == 2 and len(got[None]) == 1
+    signs = np.sign((u[:, :k] * model.vectors).sum(axis=0))
+    for key, x in kept:
+        r = got[key][0]
+        apart = [n * a - int(s) for a, s in zip(x, sums)]
+        assert int(r["deviation"]) == sum(a * a for a in apart)
+        want = (np.array(apart) / n) @ u[:, :k] / np.sqrt(values[:k]) * signs
+        assert np.allclose(r["whitened"], want, atol=1e-9)
+
+
+def test_whitening_of_few_and_flat_vectors(spark):
+    make = lambda rows: spark.createDataFrame(rows, SCHEMA)
+    empty = make([(1, None, 1), (2, [], 1)])
+    assert fit_whitening(empty) is None and whiten(empty, None).collect() == []
+    assert fit_whitening(make([])) is None
+    same = make([(i, [0.5, 0.25], 1) for i in range(5)])
+    model = fit_whitening(same)
+    assert model.n == 1 and [(int(r.deviation), r.whitened) for r in whiten(same, model).collect()] == [(0, [])] * 5
+    line = make([(i, [float(i), 2.0 * i, 1.0], 1) for i in range(6)])
+    model = fit_whitening(line)
+    assert len(model.values) == 1 and abs(model.explained[0] - 1) < 1e-12
+    assert abs(sum(r.whitened[0] ** 2 for r in whiten(line, model).collect()) / 6 - 1) < 1e-12
+    with pytest.raises(ValueError, match="entries"):
+        fit_whitening(make([(0, [1.0], 1), (1, [1.0, 2.0], 1)]))
+    with pytest.raises(Exception, match="too large"):
+        fit_whitening(make([(0, [1e300], 1), (1, [1.0], 1)]))
+    with pytest.raises(ValueError, match="too large"):
+        fit_whitening(make([(0, [3e16], 1), (1, [1.0], 1), (2, [2.0], 1)]))
+
+
+def test_query_of_whitening(spark):
+    sf = "/root/testdata/sf0.001"
+    pytest.importorskip("os").path.isdir(sf) or pytest.skip("needs the test tables")
+    rows = registry.op13_whitening(spark, sf).collect()
+    table = [tuple(r) for r in registry.table(spark, sf, "embeddings").select("vec_id", "embedding", "label").collect()]
+    kept, n, sums, values, u = plain_whitening(table)
+    assert len(rows) == 16 * len(kept) and {r["n"] for r in rows} == {n} and {r["component"] for r in rows} == set(range(1, 17))
+    got = {(r["vec_id"], r["component"]): r for r in rows}
+    flips = {}
+    for key, x in kept:
+        apart = np.array([n * a - int(s) for a, s in zip(x, sums)])
+        for i in range(16):
+            r = got[key, i + 1]
+            want = float(apart / n @ u[:, i]) / values[i] ** 0.5
+            flips.setdefault(i, np.sign(want * r["whitened"]))
+            assert r["deviation"] == int((apart * apart).sum()) and abs(r["whitened"] - flips[i] * want) < 1e-8
+            assert abs(r["explained"] - values[i] / values.sum()) < 1e-12 and r["identity_error"] < 1e-12
