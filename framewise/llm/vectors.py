@@ -63,7 +63,9 @@ def in_blocks(df: DataFrame, name: str, count: Callable[[DataFrame, int], DataFr
     cores = df.sparkSession.sparkContext.defaultParallelism
     most = max(1, BLOCK_BYTES // (8 * max(dims, 1)))
     blocks = max(ceil(rows / most), min(2 * cores, ceil(rows / LEAST_ROWS)))
-    return write_through(count(df, blocks).withColumn("block", F.spark_partition_id()), name), blocks
+    written = write_through(count(df, blocks).withColumn("block", F.spark_partition_id()), name)
+    # A session may deal to other numbers of partitions than it was asked for.
+    return written, written.agg(F.max("block")).first()[0] + 1
 
 
 def cells(
