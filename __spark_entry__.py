@@ -58,12 +58,18 @@ def _wave_messages(ev: DataFrame) -> DataFrame:
 
 
 def _with_bad_fingers(ev: DataFrame) -> DataFrame:
-    """Finger lists of people with id 3, 13, 23 and so on replaced by what is no list."""
+    """Finger lists of people with id 3, 13, 23 and so on replaced by what is no list of integers.
+
+    People with id 4, 14, 24 and so on get further fields that only look like such ones.
+    """
     pick = F.regexp_extract("value", r'"id":\d*3,', 0) != ""
-    bad = [F.regexp_replace("value", r'("id":\d*3,"emotion":"[A-Z]+","fingers":)\[[^\]]*\]', f"$1{x}") for x in ("5", '"abc"', '{"a":1}', '"[1]"')]
-    kind = F.col("key").cast("long") % 4
-    value = F.when(kind == 0, bad[0]).when(kind == 1, bad[1]).when(kind == 2, bad[2]).otherwise(bad[3])
-    return _messages(ev).withColumn("value", F.when(pick, value).otherwise(F.col("value")))
+    bad = ["5", '"abc"', '{"a":1}', '"[1]"', "[1,1.0]", '["1",{"a":1}]', "[true]"]
+    listed = r'("id":\d*3,"emotion":"[A-Z]+",)"fingers":\[[^\]]*\]'
+    named = F.when(F.col("key").cast("long") % 3 == 0, '"fing\\\\u0065rs":').otherwise('"fingers":')
+    kind = F.element_at(F.lit(bad), (F.col("key").cast("long") % len(bad)).cast("int") + 1)
+    value = F.when(pick, F.regexp_replace("value", F.lit(listed), F.concat(F.lit("$1"), named, kind))).otherwise(F.col("value"))
+    nested = F.lit(r'$1"meta":{"fingers":"five","note":"\\"fingers\\":\\"x\\""},')
+    return _messages(ev).withColumn("value", F.regexp_replace(value, F.lit(r'("id":\d*4,)'), nested))
 
 
 def _flawed_messages(ev: DataFrame) -> DataFrame:

@@ -25,9 +25,9 @@ SMOOTH_HISTORY = 5
 BOX_PADDING = 0.15
 TAIL_WIDTH = 12
 
-# Everything is parsed as text first, so that a bad number can be told from a missing one.
-RAW_PEOPLE = "array<struct<id:string,emotion:string,fingers:string>>"
-RAW_FINGERS = "array<string>"
+# Ids and labels are parsed as text, so that a bad number can be told from a missing one, and
+# fingers as a variant, which knows whether it was written as an array, a text or anything else.
+RAW_PEOPLE = "array<struct<id:string,emotion:string,fingers:variant>>"
 
 MESSAGE = "key string, value string"
 PEOPLE = "frame long, pos int, id int, emotion string, fingers array<int>"

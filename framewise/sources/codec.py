@@ -19,12 +19,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewise.functions.predicates import is_emotion
-from framewise.schemas import EMOTION_EVENT, RAW_FINGERS, RAW_PEOPLE
+from framewise.schemas import EMOTION_EVENT, RAW_PEOPLE
 
 ON_ERROR = ("fail", "drop", "quarantine")
 
-# An array never begins with a quote; inside of a JSON string the quotes here would be escaped.
-_QUOTED_FINGERS = r'"fingers"\s*:\s*"'
+# What an array of integers, numbers in quotes or nulls is called, and what entries of a mixed one may be.
+_PLAIN_LISTS = ("ARRAY<BIGINT>", "ARRAY<STRING>", "ARRAY<VOID>")
+_MIXED_LIST = "ARRAY<VARIANT>"
+_ENTRIES = ("BIGINT", "STRING", "VOID")
 
 
 def _bad_int(text: Column) -> Column:
@@ -40,14 +42,23 @@ def _bad_person(p: Column) -> Column:
         p.isNull()
         | _bad_int(p["id"])
         | (p["emotion"].isNotNull() & ~is_emotion(p["emotion"]))
-        | (p["fingers"].isNotNull() & (p["list"].isNull() | F.coalesce(F.exists(p["list"], _bad_int), F.lit(False))))
+        | (p["given"] & (p["list"].isNull() | F.coalesce(F.exists(p["list"], _bad_int), F.lit(False))))
     )
 
 
+def _finger_text(entry: Column) -> Column:
+    """An entry of a list as text; what is neither an integer nor a text is none that can be cast."""
+    return F.when(F.schema_of_variant(entry).isin(*_ENTRIES), F.try_variant_get(entry, "$", "string")).otherwise("")
+
+
 def _with_fingers(p: Column) -> Column:
-    """The person with ``list``, the fingers as an array of texts; null if they are none."""
-    array = F.when(p["fingers"].startswith("["), F.from_json(p["fingers"], RAW_FINGERS))
-    whole = F.struct(p["id"].alias("id"), p["emotion"].alias("emotion"), p["fingers"].alias("fingers"), array.alias("list"))
+    """The person with ``given`` (fingers are there) and ``list``, the fingers as texts; null if they are no array."""
+    fingers, kind = p["fingers"], F.schema_of_variant(p["fingers"])
+    listed = F.when(kind.isin(*_PLAIN_LISTS), F.try_variant_get(fingers, "$", "array<string>")).when(
+        kind == _MIXED_LIST, F.transform(F.try_variant_get(fingers, "$", "array<variant>"), _finger_text)
+    )
+    given = fingers.isNotNull() & ~F.is_variant_null(fingers)
+    whole = F.struct(p["id"].alias("id"), p["emotion"].alias("emotion"), given.alias("given"), listed.alias("list"))
     return F.when(p.isNotNull(), whole)
 
 
@@ -59,7 +70,6 @@ def _parse(messages: DataFrame) -> DataFrame:
     several times.
     """
     present = messages.where(F.col("value").isNotNull())
-    # Fingers are read as text first: read as an array, what is no array would look like a missing one.
     raw = F.from_json("value", RAW_PEOPLE)
     listed = F.transform(raw, _with_fingers)
     parsed = present.withColumn("_raw", listed)
@@ -68,7 +78,7 @@ def _parse(messages: DataFrame) -> DataFrame:
     error = (
         F.when(~array, "not a JSON array")
         .when(F.col("_raw").isNull(), "malformed JSON")
-        .when(F.exists("_raw", _bad_person) | F.col("value").rlike(_QUOTED_FINGERS), "malformed person")
+        .when(F.exists("_raw", _bad_person), "malformed person")
     )
     checked = F.array(F.struct(F.col("_raw").alias("raw"), error.alias("error")))
     return parsed.select(*messages.columns, F.inline_outer(checked))

@@ -23,6 +23,9 @@ SOUND = [
     ("5", '[{"id":null,"emotion":"FEAR","fingers":null}]'),
     ("6", ' \n[{"id":3,"emotion":null,"fingers":[null,4],"extra":{"a":[1]}}]'),
     ("7", None),
+    # Only the field of that name counts, however its name is written and whatever else is in the message.
+    ("8", '[{"id":1,"emotion":"HAPPY","fingers":[5],"meta":{"fingers":"five"}},{"id":2,"note":"\\"fingers\\":\\"x\\""}]'),
+    ("9", '[{"id":1,"fing\\u0065rs":["3",2,null,"4"]},{"id":2,"fingers":[[1]],"fingers":[]}]'),
 ]
 PEOPLE = [
     (1, 0, 0, "HAPPY", [5]),
@@ -31,6 +34,10 @@ PEOPLE = [
     (4, 0, 0, "SAD", [1]),
     (5, 0, 0, "FEAR", None),
     (6, 0, 3, None, [0, 4]),
+    (8, 0, 1, "HAPPY", [5]),
+    (8, 1, 2, None, None),
+    (9, 0, 1, None, [3, 2, 0, 4]),
+    (9, 1, 2, None, []),
 ]
 BROKEN = [
     ("a", '{"id":1,"emotion":"SAD","fingers":[]}', "not a JSON array"),
@@ -48,6 +55,12 @@ BROKEN = [
     ("m", '[{"id":1,"emotion":"SAD","fingers":{"a":1}}]', "malformed person"),
     ("n", '[{"id":1,"emotion":"SAD","fingers" : "[1]"}]', "malformed person"),
     ("o", '[{"id":1,"emotion":"SAD","fingers":[[1]]}]', "malformed person"),
+    ("p", '[{"id":1,"emotion":"SAD","fing\\u0065rs":"[1]"}]', "malformed person"),
+    ("q", '[{"id":1,"emotion":"SAD","fingers":[1,1.0]}]', "malformed person"),
+    ("r", '[{"id":1,"emotion":"SAD","fingers":[1,3000000000]}]', "malformed person"),
+    ("s", '[{"id":1,"emotion":"SAD","fingers":[true]}]', "malformed person"),
+    ("t", '[{"id":1,"emotion":"SAD","fingers":["1",{"a":1}]}]', "malformed person"),
+    ("u", '[{"id":1,"emotion":"SAD","fingers":["1",""]}]', "malformed person"),
 ]
 
 
@@ -96,7 +109,7 @@ def test_keep_carries_columns(spark, rows):
 
 def test_round_trip_and_empty_frames(spark, rows):
     people = spark.createDataFrame(PEOPLE, "frame long, pos int, id int, emotion string, fingers array<int>")
-    frames = spark.createDataFrame([(f,) for f in range(1, 8)], "frame long")
+    frames = spark.createDataFrame([(f,) for f in range(1, 10)], "frame long")
     messages = frame_messages(people, frames)
     assert rows(decode(messages)) == rows(people)
     values = {r.key: r.value for r in messages.collect()}
