@@ -43,7 +43,7 @@ from framewise.sources.codec import (
     source_key,
     with_source,
 )
-from framewise.sources.topics import FileTopics, KafkaTopics, tail_lines, write_console
+from framewise.sources.topics import FileTopics, KafkaTopics, tail_lines, write_console, writer_of
 from framewise.streaming.runner import start
 from framewise.streaming.tracking import stream_track_faces
 
@@ -144,7 +144,7 @@ def start_recording(
             if smooth:
                 of_hands = smooth_fingers(of_hands, CAMERA_FRAME).withColumn("n_fingers", F.col("smoothed"))
             written = _messages(of_tracks.where(F.col("n") != NOBODY), of_hands, of_tracks)
-            topics.write(keyed(written), topic, batch_id, checkpoint)
+            topics.write(keyed(written), topic, batch_id, writer_of(batch))
         finally:
             batch.unpersist()
 
@@ -164,7 +164,7 @@ def _between(make, encode, source: str, target: str):
         by: Sequence[str] = (),
         **options,
     ) -> StreamingQuery:
-        events = make(topics.stream(spark, source, starting), by=by, **options)
+        events = make(topics.stream(spark, source, starting, checkpoint=checkpoint), by=by, **options)
         writer = topics.write_stream(encode(events, by), target, checkpoint)
         return start(writer.trigger(**trigger) if trigger else writer, events)
 
@@ -185,7 +185,7 @@ def start_emotion_counts(
     by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Print each changed count, or send it to the counts topic."""
-    counts = count_unique_emotions(topics.stream(spark, UNIQUE_TOPIC, starting), by)
+    counts = count_unique_emotions(topics.stream(spark, UNIQUE_TOPIC, starting, checkpoint=checkpoint), by)
     if to_topic:
         writer = topics.write_stream(encode_counts(counts), COUNTS_TOPIC, checkpoint, "update")
     else:
@@ -202,6 +202,6 @@ def start_tail(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Print the values of a topic as they arrive; records that are lost are passed over."""
-    lines = tail_lines(topics.stream(spark, topic, starting, skip_lost=True))
+    lines = tail_lines(topics.stream(spark, topic, starting, skip_lost=True, checkpoint=checkpoint))
     writer = lines.writeStream.format("console").option("truncate", "false").option("checkpointLocation", checkpoint)
     return start(writer.trigger(**trigger) if trigger else writer, lines)

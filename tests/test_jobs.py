@@ -62,8 +62,9 @@ def test_jobs_between_topics(spark, rows, tmp_path):
     messages = _messages(2)
     for part in (messages[:40], messages[40:90], messages[90:]):
         topics.write(spark.createDataFrame(part, "key string, value string").coalesce(1), RECORDED_TOPIC)
-    jobs.start_unique_emotions(spark, topics, str(tmp_path / "c1"), trigger=NOW).awaitTermination()
-    jobs.start_waves(spark, topics, str(tmp_path / "c2"), trigger=NOW, over=10).awaitTermination()
+    old = {"trigger": NOW, "starting": "earliest"}
+    jobs.start_unique_emotions(spark, topics, str(tmp_path / "c1"), **old).awaitTermination()
+    jobs.start_waves(spark, topics, str(tmp_path / "c2"), over=10, **old).awaitTermination()
     assert _values(rows, topics, spark, UNIQUE_TOPIC) == _tenth(messages)
     assert _values(rows, topics, spark, WAVES_TOPIC) == _waves(messages)
 
@@ -78,7 +79,7 @@ def test_counts_and_tail_print(spark, tmp_path):
     topics = FileTopics(str(tmp_path / "topics"))
     topics.write(spark.createDataFrame([('{"id":1,"emotion":"FEAR"}',)], "value string"), UNIQUE_TOPIC)
     counts = jobs.start_emotion_counts(spark, topics, str(tmp_path / "c1"), trigger=NOW)
-    tail = jobs.start_tail(spark, topics, str(tmp_path / "c2"), UNIQUE_TOPIC, trigger=NOW)
+    tail = jobs.start_tail(spark, topics, str(tmp_path / "c2"), UNIQUE_TOPIC, "earliest", trigger=NOW)
     for query in (counts, tail):
         query.awaitTermination()
         assert query.lastProgress.numInputRows == 1
@@ -165,10 +166,10 @@ def test_repeated_batch_adds_nothing(spark, rows, tmp_path):
     topics = FileTopics(str(tmp_path / "topics"))
     messages = spark.createDataFrame([("1", "[]"), ("2", "[]")], "key string, value string")
     for _ in range(2):
-        topics.write(messages, "t", 3, "file:///c")
+        topics.write(messages, "t", 3, "c")
     assert topics.read(spark, "t").count() == 2
-    topics.write(messages, "t", 3, "file:///d")
-    topics.write(messages, "t", 4, "file:///c/")
+    topics.write(messages, "t", 3, "d")
+    topics.write(messages, "t", 4, "c")
     assert topics.read(spark, "t").count() == 6
     # What a failed attempt has left behind is not read.
     (tmp_path / "topics" / "t" / "_batch-9-x").mkdir()
@@ -176,6 +177,47 @@ def test_repeated_batch_adds_nothing(spark, rows, tmp_path):
     assert topics.read(spark, "t").count() == 6
 
 
+def test_new_checkpoint_at_an_old_path_is_a_new_writer(spark, rows, feed, tmp_path):
+    topics = FileTopics(str(tmp_path / "topics"))
+    for value in "ab":
+        source = feed("key string, value string")
+        source.add([(value, value)])
+        checkpoint = tmp_path / "c"
+        topics.write_stream(source.stream(), "t", str(checkpoint)).trigger(availableNow=True).start().awaitTermination()
+        # The job is started from scratch: its checkpoint is gone.
+        checkpoint.rename(tmp_path / f"old-{value}")
+    assert rows(topics.read(spark, "t"), "value") == [("a",), ("b",)]
+
+
+def test_latest_starts_behind_what_is_there(spark, rows, feed, tmp_path):
+    topics, out = FileTopics(str(tmp_path / "topics")), FileTopics(str(tmp_path / "out"))
+    source = feed("key string, value string")
+    put = lambda *values: topics.write(spark.createDataFrame([(v, v) for v in values], "key string, value string"), "t")
+
+    def by_query(*values):
+        source.add([(v, v) for v in values])
+        topics.write_stream(source.stream(), "t", str(tmp_path / "c0")).trigger(availableNow=True).start().awaitTermination()
+
+    def seen(starting, name):
+        messages = topics.stream(spark, "t", starting, checkpoint=str(tmp_path / name))
+        out.write_stream(messages, name, str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination()
+        return "".join(v for (v,) in rows(out.read(spark, name), "value"))
+
+    put("a")
+    by_query("b", "c")
+    assert seen("latest", "c1") == ""
+    by_query("d")
+    put("e")
+    assert seen("latest", "c1") == "de"
+    # A restart goes on from the first start; other queries have their own.
+    by_query("f")
+    assert seen("latest", "c1") == "def" and seen("latest", "c2") == "" and seen("earliest", "c3") == "abcdef"
+    with pytest.raises(ValueError, match="checkpoint"):
+        topics.stream(spark, "t", "latest")
+    with pytest.raises(ValueError, match="starting"):
+        topics.stream(spark, "t", "newest", checkpoint="x")
+
+
 def test_ids_belong_to_their_source(spark, rows):
     person = '[{"id":0,"emotion":"SAD","fingers":[5]}]'
     messages = spark.createDataFrame([(f"{c}:{f}", person) for c in (1, 2) for f in range(6 + c * 3)], "key string, value string")
@@ -282,6 +324,6 @@ def test_recording_to_counts_as_streams(spark, rows, feed, tmp_path):
     assert decode(recorded).where(F.col("id") == 1).count() == 76
 
     by = ["camera_id"]
-    jobs.start_unique_emotions(spark, topics, str(tmp_path / "c2"), trigger=NOW, by=by).awaitTermination()
+    jobs.start_unique_emotions(spark, topics, str(tmp_path / "c2"), "earliest", trigger=NOW, by=by).awaitTermination()
     counts = jobs.count_unique_emotions(topics.stream(spark, UNIQUE_TOPIC), by)
     assert rows(drain_updates(counts, "counts", ["emotion"])) == [("NEUTRAL", 2)]
