@@ -7,10 +7,11 @@ packed into sequences. All stages but the last return the columns that they were
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewise.llm.columns import pack_row
+from framewise.llm.columns import pack_row, whole_text
 from framewise.llm.line_dedup import drop_shared_lines
 from framewise.llm.mixing import mix_sources
 from framewise.llm.near_dedup import near_duplicates
@@ -18,45 +19,91 @@ from framewise.llm.packing import pack
 from framewise.llm.registry import END_ID, MIX_ENTROPY, MIX_REPEATS, byte_vocabulary, held_out, table
 from framewise.llm.token_counts import count_tokens
 from framewise.llm.toxicity import score_toxicity, train
-from framewise.settings import run_dir, write_through
+from framewise.settings import run_dir, shared_dir, write_through
 
 #: The toxicity and near-duplicate stages cannot be expressed in SQL.
 ORACLE_SQL = None
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents predicted to be toxic. The model is learnt from labelled ones among ``docs``."""
+    """Without the documents predicted to be toxic. The model is learnt from labelled ones among ``docs``.
+
+    Null and empty texts have nothing toxic and stay; texts are scored in whole, and repeated rows alike.
+    """
     model = train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), ~held_out())
     return score_toxicity(docs, model).where(F.col("predicted") == 0).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the lines that at least three documents share, but for their last holder."""
+    """Without the lines that at least three documents share, but for their last holder.
+
+    Every document stays, if with an empty text; null texts and such without lines of 20 code points
+    are as they were. Rows without an id take no part and stay as they are; repeated rows are one document.
+    """
     # Not two: pairs of near duplicates must reach the next stage with the lines that they share.
     return drop_shared_lines(docs, documents=3).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group linked by five-word shingles at 0.8."""
+    """One document, that with the smallest id, of each group linked by five-word shingles at 0.8.
+
+    Documents without words, or with a null id, are in no group and stay. What stays is also counted in
+    tokens, as packing has them, for the next stage.
+    """
     found = near_duplicates(docs.select("doc_id", "text"))
     dropped = found.where(~F.col("kept")).select("doc_id").distinct()
     # Rows without an id are in no group and stay.
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    kept = write_through(docs.join(dropped, "doc_id", "left_anti").select(*docs.columns), "near-kept")
+    counted = count_tokens(kept.select("text"), byte_vocabulary())
+    counted.select(_text_key("text"), "n_tokens").write.mode("overwrite").parquet(_counts_dir(spark))
+    return kept
+
+
+def _counts_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/pipeline-token-counts-{spark.sparkContext.applicationId}"
+
+
+def _text_key(text: str) -> Column:
+    return F.sha2(whole_text(text), 256).alias("_text_key")
+
+
+def _token_counts(spark: SparkSession, texts: DataFrame) -> DataFrame:
+    """(_text_key, _counted): the number of tokens of each text of ``texts`` (column ``text``).
+
+    What the stage before has counted is read; texts that it did not see, as when mixing is run by itself, are
+    counted now.
+    """
+    try:
+        known = spark.read.schema("_text_key string, n_tokens long").parquet(_counts_dir(spark)).dropDuplicates(["_text_key"])
+    except AnalysisException:
+        known = spark.createDataFrame([], "_text_key string, n_tokens long")
+    keyed = texts.select(_text_key("text"), "text")
+    missing = keyed.join(known, "_text_key", "left_anti")
+    if not missing.isEmpty():
+        now = count_tokens(missing.dropDuplicates(["_text_key"]), byte_vocabulary()).select("_text_key", "n_tokens")
+        known = known.unionByName(write_through(now, "mix-tokens"))
+    return known.withColumnRenamed("n_tokens", "_counted")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in their target weights: every document at least once, those of small sources more often.
 
-    Weights are of tokens as packing counts them, each document's end among them.
+    Weights are of tokens as packing counts them, each document's end among them, so null and empty texts
+    count one. A null source is a source; repeated rows are drawn alike, but for the block in which a
+    source's budget ends.
     """
-    # Mixing reads the counts several times. The row is one column, so that no name can clash.
-    counted = write_through(count_tokens(docs.select(pack_row(docs, "_all")), byte_vocabulary(), "_all.text"), "mix-tokens")
-    tokens = F.col("n_tokens") + 1
+    # The row is one column, so that no name can clash.
+    rows = docs.select(pack_row(docs, "_all"), _text_key("text"))
+    counted = write_through(rows.join(_token_counts(spark, docs), "_text_key"), "mix-rows")
+    tokens = F.col("_counted") + 1
     return mix_sources(counted, "_all.doc_id", "_all.source", tokens, MIX_ENTROPY, MIX_REPEATS).select("_all.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2,048 tokens: one row per piece of a document."""
+    """Sequences of at most 2,048 tokens: one row per piece of a document.
+
+    Null and empty texts are a piece of one id, their end; longer texts than a sequence have several pieces.
+    """
     return pack(docs, byte_vocabulary(), END_ID)
 
 
