@@ -21,9 +21,16 @@ _SECTIONS = 10
 _BLOCK_DIGITS = 3
 
 
+#: What counts as a token where no tokenizer has counted: a word, a number, or any other visible character.
+TOKEN = r"\p{L}+|\p{N}+|[^\x09-\x0D\x20\p{L}\p{N}]"
+
+#: A plan of more rows than this is joined by a shuffle instead of being sent to every task (about 50 bytes a row).
+PLAN_ROWS = 500_000
+
+
 def text_tokens(text: str = "text") -> Column:
-    """A measure of tokens without a tokenizer: a quarter of the UTF-8 bytes, at least 1."""
-    return F.greatest(F.lit(1), F.ceil(F.octet_length(whole_text(text)) / 4)).cast("long")
+    """The tokens of a text by ``TOKEN``, at least 1."""
+    return F.greatest(F.lit(1), F.regexp_count(whole_text(text), F.lit(TOKEN))).cast("long")
 
 
 def _search(shares: DataFrame, entropy: float, repeats: float) -> int:
@@ -140,7 +147,7 @@ def mix_sources(
     pass through. An empty table gives an empty table.
 
     Blocks and budgets are summed before anything is ordered: windows run over the 4,096 blocks of a
-    source, and over the documents of the one block in which a budget ends.
+    source, and over the documents of the one block in which a budget ends. Texts of any length are only counted.
     """
     docs = without(docs, "epoch", "block", "place")
     amount = F.coalesce(tokens if tokens is not None else text_tokens(), F.lit(0)).cast("long")
@@ -169,6 +176,9 @@ def mix_sources(
         F.when(room < F.col("filled"), room).alias("_room"),
     )
     plan = write_through(plan, "mix-plan")
+    # A few thousand numbers for each source: where that is little, texts need not be shuffled to meet them.
+    if plan.count() <= PLAN_ROWS:
+        plan = F.broadcast(plan)
 
     drawn = rows.join(plan, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b"))).drop("_s", "_b")
     whole = drawn.where(F.col("_room").isNull())

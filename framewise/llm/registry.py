@@ -10,7 +10,7 @@ from framewise.llm.exact_dedup import exact_duplicates
 from framewise.llm.fingerprints import compare_edits
 from framewise.llm.licenses import RULES, SENTENCES, normal, scan_licenses
 from framewise.llm.line_dedup import drop_shared_lines
-from framewise.llm.mixing import mix_sources
+from framewise.llm.mixing import TOKEN, mix_sources
 from framewise.llm.near_dedup import near_duplicates
 from framewise.llm.negatives import hard_negatives
 from framewise.llm.packing import pack
@@ -74,7 +74,7 @@ MIX_ENTROPY, MIX_REPEATS = 0.98, 4.0
 
 def op7_mixing(spark, sf_dir):
     mixed = mix_sources(table(spark, sf_dir, "documents"), entropy=MIX_ENTROPY, repeats=MIX_REPEATS)
-    return mixed.select("doc_id", "source", "epoch", "block")
+    return mixed.select("doc_id", "source", "epoch", "block", "place")
 
 
 def op8_licenses(spark, sf_dir):
@@ -216,7 +216,7 @@ def _license_sql() -> str:
 
 
 _MIX = """
-    WITH docs AS (SELECT doc_id, source, greatest(1, CAST(ceil(strlen(coalesce(text, '')) / 4) AS BIGINT)) AS t,
+    WITH docs AS (SELECT doc_id, source, greatest(1, len(regexp_extract_all(coalesce(text, ''), '{token}'))) AS t,
                     CAST('0x' || substr(md5('0-' || doc_id), 1, 3) AS INT) AS block FROM documents),
     sources AS (SELECT source, CAST(sum(t) AS BIGINT) AS tokens FROM docs GROUP BY source),
     shares AS (SELECT *, tokens / (SELECT sum(tokens) FROM sources) AS p FROM sources),
@@ -235,10 +235,10 @@ _MIX = """
     begun AS (SELECT *, epoch * tokens + coalesce(sum(filled) OVER (PARTITION BY source, epoch
                 ORDER BY md5('0-' || coalesce(source, '~') || '-' || epoch || '-' || block)
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS began FROM turns),
-    drawn AS (SELECT doc_id, d.source, epoch, d.block, t, budget - began AS room, filled,
+    drawn AS (SELECT doc_id, d.source, epoch, d.block, t, budget - began AS room, filled, began / budget AS place,
                 sum(t) OVER (PARTITION BY d.source, d.block, epoch ORDER BY md5('0-' || doc_id || '-' || epoch), doc_id, t) AS upto
               FROM docs d JOIN begun b ON d.source IS NOT DISTINCT FROM b.source AND d.block = b.block WHERE began < budget)
-    SELECT doc_id, source, CAST(epoch AS INT) AS epoch, block FROM drawn WHERE room >= filled OR upto <= room"""
+    SELECT doc_id, source, CAST(epoch AS INT) AS epoch, block, place FROM drawn WHERE room >= filled OR upto <= room"""
 
 _TOOL_CALLS = """
     WITH RECURSIVE turns AS (SELECT *, coalesce(length(text), 0) AS n FROM conversations),
@@ -329,7 +329,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
-        "op7_mixing": _MIX.format(entropy=MIX_ENTROPY, repeats=MIX_REPEATS),
+        "op7_mixing": _MIX.format(entropy=MIX_ENTROPY, repeats=MIX_REPEATS, token=TOKEN),
         "op8_licenses": _license_sql(),
         "op10_tool_calls": _TOOL_CALLS,
         "op11_top_k": _TOP_K,

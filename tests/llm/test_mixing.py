@@ -2,13 +2,14 @@ import hashlib
 import math
 from collections import Counter, defaultdict
 
+import regex
 from pyspark.sql import functions as F
 
 from framewise.llm.mixing import GRID, mix_sources, source_weights
 
 
 def tokens(text):
-    return max(1, math.ceil(len((text or "").encode()) / 4))
+    return max(1, len(regex.findall(r"\p{L}+|\p{N}+|[^\x09-\x0D\x20\p{L}\p{N}]", text or "")))
 
 
 def brute_weights(rows, entropy, repeats, budget=None):

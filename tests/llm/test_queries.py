@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test ta
 def duck():
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for name in ("documents", "labels", "conversations"):
+    for name in ("documents", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
     return con
 
@@ -77,7 +77,7 @@ def test_pipeline_mixes_by_the_tokens_that_are_packed(spark, docs_of):
 
     # Ten bytes of src0 are two tokens, of src1 about ten.
     docs = docs_of(["house and " * 40 if i % 2 == 0 else "7\u4e5e\u4e69 " * (i % 5) for i in range(400)])
-    docs = docs.withColumns({"n_tokens": F.lit("x"), "place": F.lit(5)})
+    docs = docs.withColumns({"n_tokens": F.lit("x"), "place": F.lit(5), "_text_key": F.lit("y"), "_counted": F.lit(0)})
     count = lambda df: {r["doc_id"]: r["doc_tokens"] for r in corpus_pipeline.packing(spark, df, SF).collect()}
     size = count(docs)
     tokens = F.create_map(*[F.lit(x) for pair in size.items() for x in pair])[F.col("doc_id")]
@@ -89,3 +89,23 @@ def test_pipeline_mixes_by_the_tokens_that_are_packed(spark, docs_of):
     for w in wanted:
         drawn = sum(size[r["doc_id"]] for r in rows if r["source"] == w["_source"])
         assert 0 <= w["budget"] - drawn < 100
+
+
+def test_mixing_reads_the_counts_of_the_stage_before_it(spark, docs_of):
+    """No Python in the plan of mixing: what stays after near dedup has been counted there."""
+    docs = docs_of([f"text number {i} " + "of some words " * (i % 7) for i in range(60)] + [None, "", "last"])
+    kept = corpus_pipeline.near_dedup(spark, docs, SF)
+    asked = []
+    plain, corpus_pipeline.count_tokens = corpus_pipeline.count_tokens, lambda *a, **k: asked.append(1) or plain(*a, **k)
+    try:
+        mixed = corpus_pipeline.mixing(spark, kept, SF)
+        plan = mixed._jdf.queryExecution().toString()
+        assert not asked and not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+        have = sorted(map(str, mixed.collect()))
+        # By itself, on texts that were not counted, it draws the same.
+        other = kept.withColumn("text", F.concat("text", F.lit(" and more")))
+        more = corpus_pipeline.mixing(spark, other, SF)
+        assert asked and more.count() >= other.count()
+        assert sorted(map(str, corpus_pipeline.mixing(spark, kept, SF).collect())) == have
+    finally:
+        corpus_pipeline.count_tokens = plain
