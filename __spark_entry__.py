@@ -28,13 +28,11 @@ from framewise.sources import (
 )
 from framewise.streaming import drain, drain_updates, start, stream_track_faces
 
-# The corpus operators and their pipeline are added where they are installed.
+# The corpus operators and their pipeline are added where they, and the packages they need, are installed.
 try:
     from framewise.llm import registry as _corpus
     import corpus_pipeline as _pipeline
-except ImportError as missing:
-    if missing.name not in ("framewise.llm", "corpus_pipeline"):
-        raise
+except ImportError:
     _corpus = _pipeline = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -277,6 +275,13 @@ def track_faces_in_blocks(spark, sf_dir):
     return op.number_tracks(_tracked(spark, sf_dir, span=_FEW_FRAMES)).select(*_TRACK_COLUMNS)
 
 
+def track_faces_crowded(spark, sf_dir):
+    """One camera that never pauses, with a dozen places far from each other: a dozen units or more."""
+    found = v.crowded_detections(v.events(spark, sf_dir))
+    tracks = op.track_faces(found.select("camera_id", "frame"), found, width=v.PLACES * v.PLACE_WIDTH, height=v.HEIGHT)
+    return op.number_tracks(tracks).select(*_TRACK_COLUMNS)
+
+
 def analysis_requests(spark, sf_dir):
     return op.analysis_requests(_tracked(spark, sf_dir))
 
@@ -433,6 +438,7 @@ _QUERIES: tuple[Query, ...] = (
     reanalysis_due,
     track_faces,
     track_faces_in_blocks,
+    track_faces_crowded,
     analysis_requests,
     track_labels,
     repeated_requests,
@@ -515,6 +521,12 @@ _VIEWS = {
           CAST(60 + event_id % 41 AS INT) AS w, CAST(60 + event_id % 37 AS INT) AS h,
           event_type <> 'error' AS verified
         FROM events""",
+    "crowded": """
+        SELECT CAST(0 AS BIGINT) AS camera_id, event_id // 8 AS frame, CAST(event_id % 8 AS INT) AS det_ord,
+          CAST(user_id % 12 * 600 + (user_id * 17 + event_id // 16) % 200 AS INT) AS x,
+          CAST((user_id * 61 + event_id // 32) % 150 AS INT) AS y,
+          CAST(60 + event_id % 41 AS INT) AS w, CAST(60 + event_id % 37 AS INT) AS h, true AS verified
+        FROM events""",
     "camera_frames": """
         SELECT DISTINCT camera_id, event_id // 8 + event_id // 500 * 100 AS frame
         FROM events, (SELECT unnest(range(0, 5)) AS camera_id)""",
@@ -847,6 +859,13 @@ def _observation_sql() -> dict[str, str]:
             "analysis_states",
         ),
         "track_faces": _sql(f"SELECT {', '.join(_TRACK_COLUMNS)} FROM tracks", *_TRACKS),
+        "track_faces_crowded": _sql(
+            f"SELECT {', '.join(_TRACK_COLUMNS)} FROM tracks",
+            "crowded",
+            *_TRACKS,
+            detections="SELECT * FROM crowded",
+            camera_frames="SELECT DISTINCT camera_id, frame FROM crowded",
+        ),
         "analysis_requests": _sql(
             """SELECT camera_id, frame, session, n, greatest(x - pad, 0) AS x0, greatest(y - pad, 0) AS y0,
                  least(x + w + pad, 640) AS x1, least(y + h + pad, 480) AS y1

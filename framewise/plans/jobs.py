@@ -33,6 +33,7 @@ from framewise.schemas import (
     UNIQUE_TOPIC,
     WAVES_TOPIC,
 )
+from framewise.settings import written
 from framewise.sources.codec import (
     decode,
     encode_counts,
@@ -123,30 +124,29 @@ def start_recording(
     height: int = 480,
     trigger: dict | None = None,
     smooth: bool = False,
+    silence_ms: int | None = None,
 ) -> StreamingQuery:
     """Write a message per frame of ``rows``, a stream of ``tracker_input`` rows with hands.
 
     A frame is written when a row of a later frame of its camera has come, so its rows may come in
-    several micro-batches. With ``smooth``, counts of hands are smoothed within their frame; raw ones
+    several micro-batches; with ``silence_ms``, also when nothing has come from its camera for that long, so that
+    the last frame is written as well. With ``smooth``, counts of hands are smoothed within their frame; raw ones
     come from ``measure_hands``, which takes streams. Keys are ``camera:frame``. A micro-batch that is repeated after a failure
     adds nothing to a file topic and is sent again to a Kafka one.
     """
-    together = stream_track_faces(rows, width, height, empty_frames=True, whole_frames=True)
+    together = stream_track_faces(rows, width, height, empty_frames=True, whole_frames=True, silence_ms=silence_ms)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Used several times below, but tracks should come out of state only once.
-        batch.persist()
-        try:
-            of_tracks = batch.where(F.col("n") != HAND_ROW)
-            of_hands = batch.where(F.col("n") == HAND_ROW).select(
+        with written(batch, "recorded-batch") as rows:
+            of_tracks = rows.where(F.col("n") != HAND_ROW)
+            of_hands = rows.where(F.col("n") == HAND_ROW).select(
                 *CAMERA_FRAME, F.col("session").alias("hand_ord"), F.col("w").alias("n_fingers"), "x", "y"
             )
             if smooth:
                 of_hands = smooth_fingers(of_hands, CAMERA_FRAME).withColumn("n_fingers", F.col("smoothed"))
-            written = _messages(of_tracks.where(F.col("n") != NOBODY), of_hands, of_tracks)
-            topics.write(keyed(written), topic, batch_id, writer_of(batch))
-        finally:
-            batch.unpersist()
+            messages = _messages(of_tracks.where(F.col("n") != NOBODY), of_hands, of_tracks)
+            topics.write(keyed(messages), topic, batch_id, writer_of(batch))
 
     writer = together.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
     return start(writer.trigger(**trigger) if trigger else writer, together)

@@ -122,6 +122,23 @@ def detections(ev: DataFrame) -> DataFrame:
     )
 
 
+#: Places that the wide camera sees, each far from the next.
+PLACES, PLACE_WIDTH = 12, 600
+
+
+def crowded_detections(ev: DataFrame) -> DataFrame:
+    """One wide camera without pauses, before which boxes come and go at a dozen places."""
+    return ev.selectExpr(
+        "0L as camera_id",
+        "event_id div 8 as frame",
+        "cast(event_id % 8 as int) as det_ord",
+        f"cast(user_id % {PLACES} * {PLACE_WIDTH} + (user_id * 17 + event_id div 16) % 200 as int) as x",
+        "cast((user_id * 61 + event_id div 32) % 150 as int) as y",
+        "cast(60 + event_id % 41 as int) as w",
+        "cast(60 + event_id % 37 as int) as h",
+    )
+
+
 def camera_frames(ev: DataFrame) -> DataFrame:
     """Every frame of every camera, with or without a detection."""
     numbers = ev.selectExpr(f"{CAMERA_FRAME} as frame").distinct()

@@ -54,8 +54,27 @@ def clear_run_dirs(spark: SparkSession) -> None:
     For the end of a job: DataFrames that read them cannot be used any more.
     """
     while _made:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _made.pop())
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def written(df: DataFrame, name: str):
+    """``df`` from a table in the shared folder, which goes when the block ends.
+
+    For a micro-batch that is used several times: it is computed once, also if executors are lost.
+    """
+    path = run_dir(df.sparkSession, name)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        _made.remove(path)
+        _delete(df.sparkSession, path)
 
 
 def write_through(df: DataFrame, name: str) -> DataFrame:

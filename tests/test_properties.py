@@ -4,10 +4,12 @@ import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from framewise.operators.tracking import DETECTION, FRAME, CameraTracks
+from framewise.operators import units
+from framewise.operators.tracking import DETECTION, FRAME
 from framewise.streaming import streak
 from framewise.streaming.occurrence import NthOccurrence, _first_rows
 from framewise.streaming.streak import JointStreak, _block_summary
+from framewise.streaming.tracking import _ROW, FaceTracker
 from tests import brute, tracker_sql
 
 
@@ -87,28 +89,120 @@ def test_streak_pieces(batches, over, span, few):
     assert sorted(got) == sorted(expected)
 
 
+class Handle:
+    """State that only remembers; what is stored must be as plain as its schema."""
+
+    def __init__(self):
+        self.stored = {}
+
+    def getValueState(self, name, schema, ttl=None):
+        return self.stored.setdefault(name, Value())
+
+    def getMapState(self, name, key_schema, schema, ttl=None):
+        return self.stored.setdefault(name, Entries())
+
+    def getListState(self, name, schema, ttl=None):
+        return self.stored.setdefault(name, Rows())
+
+
+class Entries(dict):
+    def iterator(self):
+        return iter(list(self.items()))
+
+    def updateValue(self, key, value):
+        assert all(type(v) in (int, bool, str, type(None)) for v in value)
+        self[key] = value
+
+    def removeKey(self, key):
+        del self[key]
+
+
+class Rows(list):
+    def get(self):
+        return iter(list(self))
+
+    def put(self, rows):
+        self[:] = rows
+
+    def appendList(self, rows):
+        self.extend(rows)
+
+
+def _box(frame, at, x, y):
+    """A step of a box of 60 by 60 px, as INPUT and BOX have it, without the camera."""
+    return (frame, DETECTION, at, x, y, 60, 60, 0, 0, None, x + 30, y + 30, max(x - 9, 0), max(y - 9, 0), x + 69, y + 69)
+
+
 @settings(deadline=None, max_examples=60)
 @given(
     st.lists(
         st.tuples(st.sampled_from([0, 1, 1, 1, 2, 30, 61, 62, 63]), st.integers(0, 40), st.integers(0, 4)),
         max_size=40,
-    )
+    ),
+    st.lists(st.integers(0, 3000), max_size=4),
+    st.booleans(),
 )
-def test_tracker(moves):
+def test_tracker(moves, cuts, whole_frames):
     frame, at, steps = 0, 0, []
     for ahead, x, y in moves:
         at = at + 1 if ahead == 0 else 0
         frame += ahead
-        steps.append((frame, DETECTION, at, x * 15, y * 15, 60, 60, 0, 0, None))
-    steps += [(f, FRAME, 0, 0, 0, 0, 0, 0, 0, None) for f in range(frame + 80)]
+        steps.append(_box(frame, at, x * 15, y * 15))
+    steps += [(f, FRAME, 0, 0, 0, 0, 0, 0, 0, None, 0, 0, 0, 0, 0, 0) for f in range(frame + 80)]
     steps.sort(key=lambda s: s[:3])
-    straight = list(CameraTracks(640, 480).run(steps))
-    tracks, found = CameraTracks(640, 480), []
-    # State may be saved and restored anywhere.
-    for cut in (steps[: len(steps) // 2], steps[len(steps) // 2 :]):
-        tracks = CameraTracks(640, 480, tracks.state())
-        found += [(r, tracks.offset + r[2]) for r in tracks.run(cut)]
-    assert [r for r, _ in found] == straight
+    # State is saved and restored anywhere; without whole frames, between two frames.
+    cuts = sorted({c % len(steps) for c in cuts})
+    if not whole_frames:
+        cuts = [next(i for i, s in enumerate(steps) if s[0] == steps[c][0]) for c in cuts]
+    state, found = Handle(), []
+    for begin, end in zip([0, *cuts], [*cuts, len(steps)], strict=True):
+        tracker = FaceTracker(False, None, whole_frames, None)
+        tracker.init(state)
+        part = pd.DataFrame(steps[begin:end][::-1], columns=_ROW)
+        for shown in tracker.handleInputRows((0,), iter([part] if len(part) else [part.iloc[:0]]), None) if len(part) else ():
+            for r in shown.to_dict("records"):
+                found += [(f, r["session"], r["n"], r["track_id"], r["x"], r["y"], r["last_seen_frame"], r["ask"] and f == r["frames"][0]) for f in r["frames"]]
     columns = ["frame", "session", "n", "track_id", "x", "y", "last_seen_frame", "ask"]
     want = tracker_sql.tracks([(0, *s[:1], *s[2:7]) for s in steps if s[1] == DETECTION], [(0, f) for f in range(frame + 80)], columns)
-    assert sorted((r[0], r[1], r[2], number, r[3], r[4], r[10], r[11]) for r, number in found) == want
+    last = frame + 79 if whole_frames else None
+    assert sorted(found) == [r for r in want if r[0] != last]
+    # Only live tracks and the open frame are kept.
+    assert len(state.stored["tracks"]) <= len([r for r in want if r[0] >= frame + 18]) + len(moves)
+    if whole_frames:
+        assert {r[0] for r in state.stored["open_frame"]} == {frame + 79}
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.lists(st.tuples(st.integers(-900, 900), st.integers(0, 12), st.integers(0, 6)), max_size=60), st.integers(1, 6), st.lists(st.integers(-15, 15), max_size=3))
+def test_units(places, span, whole):
+    """Parts of blocks, linked over borders, against components of touching cells found in one go."""
+    import pyarrow as pa
+
+    before, units.BLOCK_SLABS = units.BLOCK_SLABS, span
+    try:
+        cells = sorted({(f // units.SLAB, None if f // units.SLAB in whole else x, None if f // units.SLAB in whole else y) for f, x, y in places}, key=str)
+        blocks = {}
+        for c in cells:
+            blocks.setdefault(c[0] // span, []).append(c)
+        parted = []
+        for block, rows in blocks.items():
+            table = pa.table({"slab": [c[0] for c in rows], "cell_x": pa.array([c[1] for c in rows], pa.int64()), "cell_y": pa.array([c[2] for c in rows], pa.int64())})
+            parted += [{"camera_id": 1, "block": block, **r} for r in units._with_parts(table).to_pylist()]
+        edges = [r for r in parted if r["slab"] % span in (0, span - 1)]
+        links = {}
+        if edges:
+            links = {(r["block"], r["part"]): (r["unit_block"], r["unit_part"]) for r in units._linked(pa.Table.from_pylist(edges)).to_pylist()}
+        got = {(r["slab"], r["cell_x"], r["cell_y"]): links.get((r["block"], r["part"]), (r["block"], r["part"])) for r in parted}
+    finally:
+        units.BLOCK_SLABS = before
+    near = lambda a, b: abs(a[0] - b[0]) <= 1 and (a[1] is None or b[1] is None or (abs(a[1] - b[1]) <= 1 and abs(a[2] - b[2]) <= 1))
+    want = {c: i for i, c in enumerate(cells)}
+    changed = True
+    while changed:
+        changed = False
+        for a in cells:
+            for b in cells:
+                if near(a, b) and want[a] != want[b]:
+                    want[a] = want[b] = min(want[a], want[b])
+                    changed = True
+    assert {(got[a] == got[b]) == (want[a] == want[b]) for a in cells for b in cells} <= {True}

@@ -1,11 +1,13 @@
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from framewise.operators import analysis_requests, label_asof, number_tracks, track_faces, tracker_input
-from framewise.operators.tracking import FRAME, INPUT
-from framewise.streaming import drain, stream_track_faces
+from framewise.operators import units
+from framewise.operators.tracking import FRAME, INPUT, with_boxes
+from framewise.streaming import drain, start, stream_track_faces
 from tests import tracker_sql
 
 DETECTIONS = "camera_id long, frame long, det_ord int, x int, y int, w int, h int"
@@ -199,3 +201,67 @@ def test_label_asof(spark, rows, span):
     )
     assert sorted(rows(got)) == sorted(expected)
     assert len(expected) < len(tracks)
+
+
+def test_units_of_one_camera_are_tracked_side_by_side(spark, rows):
+    """Four places of one camera that never pauses: units that meet nowhere, and the rows of one long step by step run."""
+    rng = random.Random(3)
+    detections = [
+        (1, f, at, 400 * place + rng.randrange(90) - 20, rng.randrange(90), 60, 60)
+        for f in range(500)
+        for at, place in enumerate(rng.sample(range(4), rng.randrange(1, 4)))
+    ]
+    frames, boxes = _make(spark, detections, [(1, f) for f in range(560)])
+    steps = with_boxes(tracker_input(detections=boxes), 2000, 480).withColumn("at", F.col("frame"))
+    for blocks in (units.BLOCK_SLABS, 2):
+        before, units.BLOCK_SLABS = units.BLOCK_SLABS, blocks
+        try:
+            parted = units.with_units(steps)
+            busy = parted.groupBy("unit").agg(F.count("*"), F.count_distinct(F.floor((F.col("x") + 50) / 400))).collect()
+            assert len(busy) == 4 and {r[2] for r in busy} == {1}
+            tracks = number_tracks(track_faces(frames, boxes, width=2000))
+            columns = ["camera_id", "frame", "session", "n", "track_id", "x", "y", "w", "h", "cx", "cy", "last_seen_frame"]
+            assert sorted(rows(tracks, *columns)) == tracker_sql.tracks(detections, [(1, f) for f in range(560)], columns)
+        finally:
+            units.BLOCK_SLABS = before
+
+
+def test_results_reach_units_and_whole_sessions(spark, rows):
+    """Places of one camera with a ``not_face`` in some sessions only, against the one-group form on a stream."""
+    detections = [
+        (1, f + 80 * (f // 60), at, 400 * at + (f % 7) * 5, 0, 60, 60) for f in range(240) for at in range(3) if (f + at) % 5
+    ]
+    frames, boxes = _make(spark, detections, [(1, f) for f in range(640)])
+    first = track_faces(frames, boxes, width=2000)
+    told = []
+    for i, r in enumerate(analysis_requests(first).orderBy("session", "n").collect()):
+        told.append((1, r.session, r.n, r.frame + 4 + i, ["happy", "not_face", "sad"][i % 3] if r.session % 3 else "fear"))
+        # About tracks that only exist since another one was taken out.
+        told.append((1, r.session, r.n + 3, r.frame + 30 + i, "angry"))
+    results = spark.createDataFrame(told, RESULTS)
+    table = number_tracks(track_faces(frames, boxes, results, width=2000))
+    steps = tracker_input(frames, boxes, results)
+    folder = spark.conf.get("spark.checkpoint.dir") + f"/steps-{id(table)}"
+    steps.coalesce(1).write.parquet(folder)
+    stream = drain(stream_track_faces(spark.readStream.schema(steps.schema).parquet(folder), 2000), "tracks")
+    assert rows(table) == rows(stream, *table.columns)
+    labels = {r.label for r in table.select("label").distinct().collect()}
+    assert {"happy", "fear", "angry", "neutral"} <= labels
+
+
+def test_open_frame_closes_after_a_silence(spark, rows, feed, tmp_path):
+    frames, boxes = _make(spark, [(c, f, 0, 0, 0, 60, 60) for c in (1, 2) for f in (3, 4)], [(c, f) for c in (1, 2) for f in (3, 4)])
+    source = feed(INPUT)
+    source.add([tuple(r) for r in tracker_input(frames, boxes).collect()])
+    stream = stream_track_faces(source.stream(), whole_frames=True, silence_ms=1500)
+    writer = stream.writeStream.format("parquet").option("path", str(tmp_path / "rows")).option("checkpointLocation", str(tmp_path / "c"))
+    query = start(writer.trigger(processingTime="200 milliseconds"), stream)
+    try:
+        until = time.time() + 60
+        read = lambda: spark.read.schema(stream.schema).parquet(str(tmp_path / "rows"))
+        while time.time() < until and not ((tmp_path / "rows").exists() and read().count() >= 4):
+            assert query.isActive, query.exception()
+            time.sleep(0.3)
+    finally:
+        query.stop()
+    assert rows(read(), "camera_id", "frame") == [(c, f) for c in (1, 2) for f in (3, 4)]
