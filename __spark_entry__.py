@@ -15,7 +15,7 @@ from framewise import functions as fn
 from framewise import operators as op
 from framewise.plans import jobs
 from framewise.plans import views as v
-from framewise.schemas import RECORDED_TOPIC, UNIQUE_TOPIC
+from framewise.schemas import COUNTS_TOPIC, RECORDED_TOPIC, UNIQUE_TOPIC, WAVES_TOPIC
 from framewise.settings import run_dir
 from framewise.sources import (
     FileTopics,
@@ -26,7 +26,7 @@ from framewise.sources import (
     split_messages,
     tail_lines,
 )
-from framewise.streaming import drain, drain_updates, start, stream_track_faces
+from framewise.streaming import drain, drain_observed, drain_updates, start, stream_track_faces
 
 # The corpus operators and their pipeline are added where they, and the packages they need, are installed.
 try:
@@ -343,6 +343,105 @@ def stream_chain(spark, sf_dir):
     return drain_updates(jobs.count_unique_emotions(topics.stream(spark, UNIQUE_TOPIC)), "chain", ["emotion"])
 
 
+def stream_chain_direct(spark, sf_dir):
+    """The same in one query: a stateful processor, and the counts of its events."""
+    messages = _messages_stream(spark, sf_dir)
+    return drain_updates(jobs.live_emotion_counts(messages), "chain", ["emotion"])
+
+
+def _messages_stream(spark, sf_dir) -> DataFrame:
+    keyed = _messages(v.events(spark, sf_dir)).withColumn("_frame", F.col("key").cast("long"))
+    return v.in_files(keyed, "_frame").drop("_frame")
+
+
+def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """People of the first frames as a table, those of the others as a stream; frames are cut anywhere."""
+    ev = v.events(spark, sf_dir)
+    half = ev.agg(F.max("event_id")).first()[0] // 2
+    return ev.where(F.col("event_id") <= half), v.in_files(ev.where(F.col("event_id") > half), "event_id")
+
+
+def stream_nth_after_history(spark, sf_dir):
+    """The first half as a table, the rest as a stream whose counts go on from it."""
+    before, stream = _halves(spark, sf_dir)
+    events = drain(op.nth_occurrence(v.people(stream), history=v.people(before)), "nth")
+    return events.unionByName(op.nth_occurrence(v.people(before)))
+
+
+def stream_streak_after_history(spark, sf_dir):
+    before, stream = _halves(spark, sf_dir)
+    events = drain(op.joint_streak(v.wave_people(stream), history=v.wave_people(before)), "streak")
+    return events.unionByName(op.joint_streak(v.wave_people(before)))
+
+
+def stream_nth_with_ttl(spark, sf_dir):
+    """State that would be forgotten a day after its last change. With a clock in the state, only batches with rows are run."""
+    option = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(option)
+    spark.conf.set(option, "false")
+    try:
+        return drain(op.nth_occurrence(v.people(v.events_stream(spark, sf_dir)), ttl_ms=86_400_000), "nth")
+    finally:
+        spark.conf.set(option, before)
+
+
+def stream_skipped_messages(spark, sf_dir):
+    """How many messages there are, and how many of them are broken and skipped, as the query reports it."""
+    flawed = _flawed_messages(v.events(spark, sf_dir)).withColumn("_frame", F.col("key").cast("long"))
+    people = decode(v.in_files(flawed, "_frame").drop("_frame"), "drop", metric="decoded")
+    rows, totals = drain_observed(people, "skipped", "decoded")
+    counts = [F.lit(totals.get(c, 0)).cast("long").alias(c) for c in ("messages", "broken")]
+    return rows.agg(F.count("*").alias("people")).select("people", *counts)
+
+
+def stream_tail(spark, sf_dir):
+    """A topic's values as they arrive, padded; records without a value are skipped."""
+    topics, ev = FileTopics(run_dir(spark, "topics")), v.events(spark, sf_dir)
+    topics.write(ev.select(F.when(F.col("event_id") % 5 != 0, F.col("props")).alias("value")), RECORDED_TOPIC)
+    rows, totals = drain_observed(tail_lines(topics.stream(spark, RECORDED_TOPIC, skip_lost=True), "tail"), "tail", "tail")
+    return rows.withColumn("skipped", F.lit(totals.get("skipped", 0)).cast("long"))
+
+
+def stream_restarted(spark, sf_dir):
+    """The job between topics, stopped and started again with its checkpoint, one file of messages at a time."""
+    topics, ev = FileTopics(run_dir(spark, "topics"), max_files=1), v.events(spark, sf_dir)
+    checkpoint, frame = run_dir(spark, "checkpoint"), F.col("key").cast("long")
+    messages = _messages(ev)
+    middle = messages.agg(F.max(frame)).first()[0] // 2
+    for part in (frame <= middle, frame > middle):
+        topics.write(messages.where(part).coalesce(1), RECORDED_TOPIC)
+        jobs.start_unique_emotions(spark, topics, checkpoint, "earliest", trigger={"availableNow": True}).awaitTermination()
+    return topics.read(spark, UNIQUE_TOPIC).select("value")
+
+
+def stream_latest(spark, sf_dir):
+    """Events of those messages only that came to the topic after the job was started for the first time."""
+    topics, ev = FileTopics(run_dir(spark, "topics")), v.events(spark, sf_dir)
+    checkpoint, frame = run_dir(spark, "checkpoint"), F.col("key").cast("long")
+    for part in (frame % 2 == 0, frame % 2 == 1):
+        topics.write(_messages(ev).where(part), RECORDED_TOPIC)
+        jobs.start_waves(spark, topics, checkpoint, "latest", trigger={"availableNow": True}, over=0).awaitTermination()
+    return topics.read(spark, WAVES_TOPIC).select("value")
+
+
+def stream_counts_topic(spark, sf_dir):
+    """Changed counts as messages of a topic, and the newest of each label in it."""
+    topics, ev = FileTopics(run_dir(spark, "topics"), max_files=1), v.events(spark, sf_dir)
+    events = op.nth_occurrence(v.people(ev))
+    for i in range(3):
+        topics.write(encode_emotion_event(events.where(F.col("id") % 3 == i)).coalesce(1), UNIQUE_TOPIC)
+    jobs.start_emotion_counts(spark, topics, run_dir(spark, "checkpoint"), to_topic=True, trigger={"availableNow": True}).awaitTermination()
+    counts = topics.read(spark, COUNTS_TOPIC).select(F.from_json("value", "emotion string, cnt long").alias("c")).select("c.*")
+    return counts.groupBy("emotion").agg(F.max("cnt").alias("cnt"))
+
+
+def people_per_listed_frame(spark, sf_dir):
+    """Also the frames in which nobody is: every third one here."""
+    ev = v.events(spark, sf_dir)
+    people = v.people(ev)
+    return op.people_per_frame(people.where(F.col("frame") % 3 != 0), people.select("frame").distinct())
+
+
 def stream_waves_without_keys(spark, sf_dir):
     """A topic that only holds values: nobody's frames have a number. All show a wave all the time."""
     waving = v.people(v.events(spark, sf_dir)).withColumns({"emotion": F.lit("HAPPY"), "fingers": F.array(F.lit(5))})
@@ -421,6 +520,7 @@ _QUERIES: tuple[Query, ...] = (
     streak_lengths_in_blocks,
     joint_streak,
     people_per_frame,
+    people_per_listed_frame,
     finger_count,
     hand_anchor,
     grid_cell,
@@ -449,6 +549,15 @@ _QUERIES: tuple[Query, ...] = (
     stream_streak,
     stream_counts,
     stream_chain,
+    stream_chain_direct,
+    stream_nth_after_history,
+    stream_streak_after_history,
+    stream_nth_with_ttl,
+    stream_skipped_messages,
+    stream_tail,
+    stream_restarted,
+    stream_latest,
+    stream_counts_topic,
     stream_waves_without_keys,
     stream_tracks,
     stream_track_labels,
@@ -924,6 +1033,28 @@ def _observation_sql() -> dict[str, str]:
         "stream_streak": wave,
         "stream_counts": _sql("SELECT emotion, count(*) AS cnt FROM people GROUP BY emotion", "people"),
         "stream_chain": _sql("SELECT emotion, count(*) AS cnt FROM tenth GROUP BY emotion", *_TENTH),
+        "stream_chain_direct": _sql("SELECT emotion, count(*) AS cnt FROM tenth GROUP BY emotion", *_TENTH),
+        "stream_counts_topic": _sql("SELECT emotion, count(*) AS cnt FROM tenth GROUP BY emotion", *_TENTH),
+        "stream_nth_after_history": nth,
+        "stream_streak_after_history": wave,
+        "stream_nth_with_ttl": nth,
+        "stream_restarted": _sql("""SELECT '{"id":' || id || ',"emotion":"' || emotion || '"}' AS value FROM tenth""", *_TENTH),
+        "stream_latest": _sql(
+            """SELECT '{"id":' || id || '}' AS value FROM people WHERE frame % 2 = 1 AND emotion = 'HAPPY' AND list_max(fingers) = 5""",
+            "people",
+        ),
+        "stream_skipped_messages": _sql(
+            """SELECT count(*) FILTER (NOT broken) AS people, count(DISTINCT frame) AS messages, count(DISTINCT frame) FILTER (broken) AS broken
+               FROM (SELECT frame, bool_or(emotion = 'ANGRY') OVER (PARTITION BY frame) AS broken FROM people)""",
+            "people",
+        ),
+        "stream_tail": """
+            SELECT CASE WHEN length(props) < 12 THEN rpad(props, 12, ' ') ELSE props END AS line,
+              count(*) FILTER (event_id % 5 = 0) OVER () AS skipped
+            FROM events QUALIFY event_id % 5 <> 0""",
+        "people_per_listed_frame": _sql(
+            "SELECT frame, count(*) FILTER (frame % 3 <> 0) AS n_people FROM people GROUP BY frame", "people"
+        ),
         "stream_waves_without_keys": _sql(
             "SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY id ORDER BY frame, pos) AS n FROM people) WHERE n > 10", "people"
         ),

@@ -30,12 +30,15 @@ def nth_occurrence(
     n: int = NTH_OCCURRENCE,
     span: int | None = SPAN,
     ttl_ms: int | None = None,
+    history: DataFrame | None = None,
+    mode: str = "append",
 ) -> DataFrame:
     """The row at which a key occurs for the n-th time: ``keys`` and ``order`` columns.
 
     A key that occurs less often gives nothing, one that occurs more often gives one
     row. On a stream, counts live in keyed state, which forgets a key ``ttl_ms`` after its last
-    change, if that is given.
+    change, if that is given, and go on from those of the table ``history``, whose rows came before the
+    stream. ``mode`` is the output mode of a query on the result: ``update`` where it is counted further.
 
     For a batch and a usual ``n`` the filter on ``row_number`` becomes a group limit
     ahead of the shuffle: a task passes on at most ``n`` rows of a key, so a key that
@@ -48,7 +51,9 @@ def nth_occurrence(
     if df.isStreaming:
         from framewise.streaming.occurrence import stream_nth_occurrence
 
-        return stream_nth_occurrence(rows, keys, order, n, ttl_ms)
+        return stream_nth_occurrence(rows, keys, order, n, ttl_ms, history, mode)
+    if history is not None:
+        raise ValueError("history is for streams: stack tables instead")
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n <= limit:
         place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -126,17 +126,21 @@ def joint_streak(
     over: int = STREAK_OVER,
     span: int | None = SPAN,
     ttl_ms: int | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Every row at which all counters are larger than ``over``: ``keys`` and ``order``.
 
     A run that goes on gives a row each time. On a stream, counters live in keyed state, which
-    forgets a key ``ttl_ms`` after its last change, if that is given.
+    forgets a key ``ttl_ms`` after its last change, if that is given, and go on from the end of the table ``history``,
+    whose rows came before the stream.
     """
     conditions = wave_conditions() if conditions is None else conditions
     if df.isStreaming:
         from framewise.streaming.streak import stream_joint_streak
 
-        return stream_joint_streak(df, keys, order, conditions, over, ttl_ms=ttl_ms)
+        return stream_joint_streak(df, keys, order, conditions, over, ttl_ms=ttl_ms, history=history)
+    if history is not None:
+        raise ValueError("history is for streams: stack tables instead")
     placed = _in_blocks(df, keys, order, conditions, span)
     # Rows that no start value could lift above the threshold need not be joined.
     possible = reduce(

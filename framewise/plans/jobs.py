@@ -53,24 +53,47 @@ CAMERA_FRAME = ("camera_id", "frame")
 
 
 def unique_emotions(
-    messages: DataFrame, n: int = NTH_OCCURRENCE, on_error: str = "fail", by: Sequence[str] = (), ttl_ms: int | None = None
+    messages: DataFrame,
+    n: int = NTH_OCCURRENCE,
+    on_error: str = "fail",
+    by: Sequence[str] = (),
+    ttl_ms: int | None = None,
+    history: DataFrame | None = None,
+    mode: str = "append",
 ) -> DataFrame:
     """An event (id, emotion) when a person shows an emotion for the n-th time.
 
     Ids are those of one source. Where messages of several share a topic, ``by`` names the columns
     that tell sources apart; they are read from the message keys and stand ahead of the id. ``ttl_ms``
-    forgets a person on a stream that long after the last change.
+    forgets a person on a stream that long after the last change. ``history`` is a table of the messages that
+    came before a stream. In ``mode`` update a stream of events can be counted in the same query.
     """
     people = decode(with_source(messages, by), on_error, by)
-    return nth_occurrence(people, (*by, "id", "emotion"), n=n, ttl_ms=ttl_ms).select(*by, "id", "emotion")
+    before = None if history is None else decode(with_source(history, by), on_error, by)
+    keys = (*by, "id", "emotion")
+    return nth_occurrence(people, keys, n=n, ttl_ms=ttl_ms, history=before, mode=mode).select(*by, "id", "emotion")
 
 
 def waves(
-    messages: DataFrame, over: int = STREAK_OVER, on_error: str = "fail", by: Sequence[str] = (), ttl_ms: int | None = None
+    messages: DataFrame,
+    over: int = STREAK_OVER,
+    on_error: str = "fail",
+    by: Sequence[str] = (),
+    ttl_ms: int | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """An event (id) for each frame that prolongs a wave of more than ``over`` frames. See ``unique_emotions``."""
     people = decode(with_source(messages, by), on_error, by)
-    return joint_streak(people, (*by, "id"), over=over, ttl_ms=ttl_ms).select(*by, "id")
+    before = None if history is None else decode(with_source(history, by), on_error, by)
+    return joint_streak(people, (*by, "id"), over=over, ttl_ms=ttl_ms, history=before).select(*by, "id")
+
+
+def live_emotion_counts(messages: DataFrame, on_error: str = "fail", by: Sequence[str] = ()) -> DataFrame:
+    """(emotion, cnt) over the events of ``unique_emotions``, in one query without a topic between.
+
+    A stream is to be written in update mode.
+    """
+    return emotion_counts(unique_emotions(messages, on_error=on_error, by=by, mode="update"))
 
 
 def count_unique_emotions(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:

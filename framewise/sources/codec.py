@@ -62,7 +62,7 @@ def _with_fingers(p: Column) -> Column:
     return F.when(p.isNotNull(), whole)
 
 
-def _parse(messages: DataFrame) -> DataFrame:
+def _parse(messages: DataFrame, metric: str | None = None) -> DataFrame:
     """Adds ``raw`` (the parsed array) and ``error`` (null for a sound message).
 
     Both come out of a generator of one row each: a condition on a plain column would be
@@ -81,7 +81,10 @@ def _parse(messages: DataFrame) -> DataFrame:
         .when(F.exists("_raw", _bad_person), "malformed person")
     )
     checked = F.array(F.struct(F.col("_raw").alias("raw"), error.alias("error")))
-    return parsed.select(*messages.columns, F.inline_outer(checked))
+    found = parsed.select(*messages.columns, F.inline_outer(checked))
+    if metric is None:
+        return found
+    return found.observe(metric, F.count(F.lit(1)).alias("messages"), F.count("error").alias("broken"))
 
 
 def _people(parsed: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -97,9 +100,13 @@ def _people(parsed: DataFrame, keep: Sequence[str]) -> DataFrame:
     )
 
 
-def split_messages(messages: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(people of sound messages, broken messages with their ``error``)."""
-    parsed = _parse(messages)
+def split_messages(messages: DataFrame, keep: Sequence[str] = (), metric: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(people of sound messages, broken messages with their ``error``).
+
+    ``metric`` names an observed metric with the numbers of ``messages`` and of ``broken`` ones, which a stream
+    reports in its progress for each micro-batch.
+    """
+    parsed = _parse(messages, metric)
     people = _people(parsed.where(F.col("error").isNull()), keep)
     return people, parsed.where(F.col("error").isNotNull()).drop("raw")
 
@@ -115,18 +122,19 @@ def source_key(by: Sequence[str], frame: str = "frame") -> Column:
     return F.concat_ws(":", *[F.col(c).cast("string") for c in (*by, frame)])
 
 
-def decode(messages: DataFrame, on_error: str = "fail", keep: Sequence[str] = ()) -> DataFrame:
+def decode(messages: DataFrame, on_error: str = "fail", keep: Sequence[str] = (), metric: str | None = None) -> DataFrame:
     """One row per person: ``frame``, ``pos`` (index in the array), id, emotion, fingers.
 
     ``fail`` stops the job at the first broken message, ``drop`` skips broken ones.
     For ``quarantine`` use ``split_messages``, which also returns the rejects.
-    ``keep`` names further input columns to carry along.
+    ``keep`` names further input columns to carry along. With ``metric``, what is skipped is counted:
+    see ``split_messages``.
     """
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}, not {on_error!r}")
     if on_error != "fail":
-        return split_messages(messages, keep)[0]
-    parsed = _parse(messages)
+        return split_messages(messages, keep, metric)[0]
+    parsed = _parse(messages, metric)
     complaint = F.concat(F.col("error"), F.lit(" in message "), F.coalesce("key", F.lit("without key")))
     sound = F.when(F.col("error").isNull(), True).otherwise(F.raise_error(complaint).cast("boolean"))
     return _people(parsed.where(sound), keep)

@@ -24,6 +24,10 @@ class NthOccurrence(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", "n long", self.ttl_ms)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """A key's count in the history that came before the stream."""
+        self.count.update((initialState["n"],))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         places, more = [], 0
         for row in rows:
@@ -60,7 +64,13 @@ def _first_rows(keys: Sequence[str], order: Sequence[str], n: int):
 
 
 def stream_nth_occurrence(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, ttl_ms: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    n: int,
+    ttl_ms: int | None = None,
+    history: DataFrame | None = None,
+    mode: str = "append",
 ) -> DataFrame:
     """See ``nth_occurrence``. The rows of a micro-batch count in ``order``, micro-batches as they arrive.
 
@@ -69,12 +79,20 @@ def stream_nth_occurrence(
 
     ``ttl_ms`` forgets a key that long after its last change. Time to live needs a clock, so
     such a query goes on with empty micro-batches: give it a trigger interval.
+
+    ``history`` is a table of the rows that came before the stream; counts go on from there. It is read when the
+    query starts for the first time, and becomes one number per key. ``mode`` is the output mode of the query.
     """
     rows, order, restored = without_nulls(df.select(*keys, *order), order, SPAN)
     rows = rows.drop("_block")
     reduced = T.StructType([*rows.schema.fields, T.StructField(_MORE, T.LongType())])
     first = rows.mapInPandas(_first_rows(keys, order, n), reduced)
+    before = None
+    if history is not None:
+        kinds = {f.name: f.dataType for f in df.schema}
+        counted = history.select(*[F.col(k).cast(kinds[k]) for k in keys]).groupBy(*keys).agg(F.least(F.count("*"), F.lit(n)).alias("n"))
+        before = counted.groupBy(*[F.col(k) for k in keys])
     found = first.groupBy(*[F.col(k) for k in keys]).transformWithState(
-        NthOccurrence(keys, order, n, ttl_ms), rows.schema, "append", "processingTime" if ttl_ms else "none"
+        NthOccurrence(keys, order, n, ttl_ms), rows.schema, mode, "processingTime" if ttl_ms else "none", before
     )
     return found.select(*keys, *restored)

@@ -30,6 +30,19 @@ def drain(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows")
 
 
+def drain_observed(df: DataFrame, name: str, metric: str) -> tuple[DataFrame, dict[str, int]]:
+    """``drain``, and the sums of the observed metric ``metric`` over all micro-batches."""
+    folder = run_dir(df.sparkSession, name)
+    writer = df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+    query = start(writer.option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/checkpoint"), df)
+    query.awaitTermination()
+    totals: dict[str, int] = {}
+    for progress in query.recentProgress:
+        for part, value in progress.observedMetrics[metric].asDict().items() if metric in progress.observedMetrics else ():
+            totals[part] = totals.get(part, 0) + value
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/rows"), totals
+
+
 def drain_updates(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     """The same for a result whose rows are replaced over time: the latest row per ``keys``.
 

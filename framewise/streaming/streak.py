@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from framewise.operators.scan import without_nulls
+from framewise.operators.streak import streak_lengths
 
 # Smaller than for tables: a micro-batch holds few frames, and a large key should still
 # be spread over several tasks.
@@ -47,6 +48,10 @@ class JointStreak(StatefulProcessor):
         schema = ", ".join(f"c{i} long" for i in range(len(self.names)))
         self.counters = handle.getValueState("counters", schema, self.ttl_ms)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """A key's counters at the end of the history that came before the stream."""
+        self.counters.update(tuple(initialState[f"c{i}"] for i in range(len(self.names))))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         event = Row(*self.keys, *self.order)
         if key[-1] != _SUMMARY:
@@ -113,9 +118,21 @@ def stream_joint_streak(
     over: int,
     span: int = STREAM_SPAN,
     ttl_ms: int | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
-    """See ``joint_streak``. The rows of a micro-batch count in ``order``, micro-batches as they arrive."""
+    """See ``joint_streak``. The rows of a micro-batch count in ``order``, micro-batches as they arrive.
+
+    ``history`` is a table of the rows that came before the stream; counters go on from its end. It is read when the
+    query starts for the first time, and becomes a few numbers per key.
+    """
     names = list(conditions)
+    before = None
+    if history is not None:
+        kinds, place = {f.name: f.dataType for f in df.schema}, F.struct(*order)
+        lengths = streak_lengths(history, keys, order, conditions)
+        last = [F.max_by(name, place).alias(f"c{i}") for i, name in enumerate(names)]
+        ends = lengths.groupBy(*[F.col(k).cast(kinds[k]).alias(k) for k in keys]).agg(*last)
+        before = ends.withColumn("_lane", F.lit(_SUMMARY).cast("long")).groupBy(*keys, "_lane")
     flags = [F.coalesce(c, F.lit(False)).alias(f"_ok_{name}") for name, c in conditions.items()]
     rows, order, restored = without_nulls(df.select(*keys, *order, *flags), order, span)
     result = T.StructType([rows.schema[c] for c in [*keys, *order]])
@@ -124,6 +141,6 @@ def stream_joint_streak(
         pieces = pieces.add(name, T.LongType())
     blocks = rows.groupBy(*keys, "_block").applyInPandas(_block_summary(keys, order, names, over), pieces)
     found = blocks.groupBy(*keys, "_lane").transformWithState(
-        JointStreak(keys, order, names, over, ttl_ms), result, "append", "processingTime" if ttl_ms else "none"
+        JointStreak(keys, order, names, over, ttl_ms), result, "append", "processingTime" if ttl_ms else "none", before
     )
     return found.select(*keys, *restored)
