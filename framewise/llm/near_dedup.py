@@ -11,10 +11,11 @@ What happens to large groups:
   takes part in the rest.
 * In a bucket (equal band) every class is compared with one class, the bucket's centre. For most
   groups of copies this already links them all.
-* What is still in different components within a bucket is compared exhaustively, but only
-  classes outside the bucket's main component against the bucket, in blocks. So each pair in a
-  bucket is either compared or known to be in one component, and a group of n near copies does
-  not take n * n comparisons.
+* What is still in different components within a bucket meets in blocks, but only classes outside
+  the bucket's main component with the bucket. Of those that meet, pairs are compared that share one of
+  their rarest shingles and are of like size: a pair at the wanted similarity must, so every pair in a
+  bucket is compared, known to be in one component, or known to be apart. Neither a group of n near
+  copies nor n pages that share a template take n * n comparisons.
 """
 
 from __future__ import annotations
@@ -36,9 +37,9 @@ from framewise.settings import write_through
 PERMUTATIONS = 64
 ROWS = 4
 
-#: A block of an exhaustive comparison: bytes of the sets on each side, and pairs, on average at most.
+#: What meets in a block: bytes of the sets on each side, and pairs, on average at most.
 BLOCK_BYTES = 4 << 20
-BLOCK_PAIRS = 200_000
+BLOCK_PAIRS = 1_000_000
 
 _MULTIPLY = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = mix(np.arange(1001, PERMUTATIONS + 1001, dtype=np.uint64))
@@ -84,6 +85,37 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+def possible_pairs(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each set of ``left`` the sets of ``right`` that may be similar to it.
+
+    Shingles are ordered by how many of the sets hold them, the rarest first. Of n shingles a similar set holds
+    at least ``percent`` hundredths, so it holds one of the first n - ceil(n * percent / 100) + 1, and the first such
+    one that both hold is among these of either. What everyone holds, like a template, is never among them unless
+    a set has little else. Sizes must fit, too.
+    """
+    if not left or not right:
+        return
+    every, counts = np.unique(np.concatenate([*left, *right]), return_counts=True)
+
+    def rarest(values: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(every, values)
+        n = len(values) + (-len(values) * percent) // 100 + 1
+        return at[np.lexsort((at, counts[at]))[:n]]
+
+    firsts = [rarest(values) for values in right]
+    owners = np.repeat(np.arange(len(right)), [len(f) for f in firsts])
+    held = np.concatenate(firsts)
+    order = np.argsort(held, kind="stable")
+    owners, held = owners[order], held[order]
+    sizes = np.array([len(values) for values in right])
+    for i, values in enumerate(left):
+        mine = rarest(values)
+        begin, end = np.searchsorted(held, mine, "left"), np.searchsorted(held, mine, "right")
+        found = np.unique(np.concatenate([owners[b:e] for b, e in zip(begin, end)]))
+        small, large = np.minimum(sizes[found], len(values)), np.maximum(sizes[found], len(values))
+        yield i, found[100 * small >= percent * large]
+
+
 def _sketches(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     source = docs.select(F.col(key).alias("key"), whole_text(text).alias("text"))
     fields = T.StructType(
@@ -191,16 +223,19 @@ def _remaining(members: DataFrame, known: DataFrame, sets: DataFrame, percent: i
     schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        a, b, theirs = [], [], []
-        for row in right.select(["node", "component", "values"]).to_pylist():
-            theirs.append((row["node"], row["component"], np.frombuffer(row["values"], np.uint64)))
-        for row in left.select(["node", "component", "values"]).to_pylist():
-            mine, done = np.frombuffer(row["values"], np.uint64), {row["component"]}
-            for node, component, values in theirs:
+        a, b = [], []
+        mine, theirs = (
+            [(r["node"], r["component"], np.frombuffer(r["values"], np.uint64)) for r in side.select(["node", "component", "values"]).to_pylist()]
+            for side in (left, right)
+        )
+        for i, possible in possible_pairs([m[2] for m in mine], [t[2] for t in theirs], percent):
+            done = {mine[i][1]}
+            for j in possible:
+                node, component, values = theirs[j]
                 # One link to another component tells all that further ones would.
-                if component not in done and linked(mine, values, percent):
+                if component not in done and linked(mine[i][2], values, percent):
                     done.add(component)
-                    a.append(row["node"])
+                    a.append(mine[i][0])
                     b.append(node)
         return pa.table({"a": pa.array(a, left.schema.field("node").type), "b": pa.array(b, left.schema.field("node").type)})
 
@@ -219,7 +254,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     intersection is at least ``percent`` times the union. ``component_id`` is the smallest key
     that can be reached over links, and ``kept`` says whether that is the row's own.
 
-    Without words (null and empty texts) n_shingles is 0 and the document is linked with nothing. A
+    Texts of any length are taken in whole. Without words (null and empty texts) n_shingles is 0 and the document is linked with nothing. A
     row without a key is linked with nothing either; its component is null and it is kept. Repeated
     rows share a result. Rows with one key and different texts are judged each by its own text;
     classes of texts with the same smallest key count as linked. An empty table gives an empty

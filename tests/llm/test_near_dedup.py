@@ -49,6 +49,32 @@ def edited(rnd, words, times):
     return " ".join(words)
 
 
+def test_pages_of_one_template_are_hardly_compared():
+    """1,500 texts, half of each a template: as many comparisons as there are similar pairs, not a million."""
+    rnd = random.Random(1)
+    template = " ".join(f"t{i}" for i in range(120))
+    own = [" ".join(f"w{rnd.randrange(100_000)}" for _ in range(120)) for _ in range(1500)]
+    # Some pages come twice, with one word changed.
+    own[1400:] = [edited(rnd, o.split(), 1) for o in own[:100]]
+    sets = [near_dedup.shingle_set(f"{template} {o}", 5) for o in own]
+    pairs = {(min(i, int(j)), max(i, int(j))) for i, found in near_dedup.possible_pairs(sets, sets, 80) for j in found if i != j}
+    similar = {p for p in pairs if near_dedup.linked(sets[p[0]], sets[p[1]], 80)}
+    assert len(pairs) < 10 * len(sets) and similar == {(i, 1400 + i) for i in range(100)}
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_possible_pairs_hold_all_similar_ones(percent):
+    rnd = random.Random(percent)
+    texts = []
+    for _ in range(12):
+        words = [f"w{rnd.randrange(30)}" for _ in range(rnd.choice([1, 2, 5, 9, 30]))]
+        texts += [edited(rnd, words, rnd.choice([0, 1, 2])) for _ in range(8)]
+    sets = [near_dedup.shingle_set(t, 2) for t in texts]
+    found = {i: set(map(int, js)) for i, js in near_dedup.possible_pairs(sets, sets[::-1], percent)}
+    for i, a in enumerate(sets):
+        assert {len(sets) - 1 - j for j, b in enumerate(sets) if near_dedup.linked(a, b, percent)} <= found[i]
+
+
 @pytest.mark.parametrize("size", [2, 5])
 def test_against_brute_force(docs_of, size):
     rnd = random.Random(size)
