@@ -77,7 +77,7 @@ def _token_counts(spark: SparkSession, texts: DataFrame) -> DataFrame:
         known = spark.read.schema("_text_key string, n_tokens long").parquet(_counts_dir(spark)).dropDuplicates(["_text_key"])
     except AnalysisException:
         known = spark.createDataFrame([], "_text_key string, n_tokens long")
-    keyed = texts.select(_text_key("text"), "text")
+    keyed = texts.where(whole_text("text") != "").select(_text_key("text"), "text")
     missing = keyed.join(known, "_text_key", "left_anti")
     if not missing.isEmpty():
         now = count_tokens(missing.dropDuplicates(["_text_key"]), byte_vocabulary()).select("_text_key", "n_tokens")
@@ -93,8 +93,12 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     source's budget ends.
     """
     # The row is one column, so that no name can clash.
-    rows = docs.select(pack_row(docs, "_all"), _text_key("text"))
-    counted = write_through(rows.join(_token_counts(spark, docs), "_text_key"), "mix-rows")
+    # Empty texts have no tokens, and may be many: each goes by a key of its own, which finds nothing.
+    alone = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    own = F.when(whole_text("text") != "", _text_key("text")).otherwise(alone)
+    rows = docs.select(pack_row(docs, "_all"), own.alias("_text_key"))
+    counted = rows.join(_token_counts(spark, docs), "_text_key", "left").withColumn("_counted", F.coalesce("_counted", F.lit(0)))
+    counted = write_through(counted, "mix-rows")
     tokens = F.col("_counted") + 1
     return mix_sources(counted, "_all.doc_id", "_all.source", tokens, MIX_ENTROPY, MIX_REPEATS).select("_all.*")
 
