@@ -24,8 +24,9 @@ _BLOCK_DIGITS = 3
 #: What counts as a token where no tokenizer has counted: a word, a number, or any other visible character.
 TOKEN = r"\p{L}+|\p{N}+|[^\x09-\x0D\x20\p{L}\p{N}]"
 
-#: A plan of more rows than this is joined by a shuffle instead of being sent to every task (about 50 bytes a row).
-PLAN_ROWS = 500_000
+#: A plan for more blocks than this, of all sources together, is joined by a shuffle instead of being sent to every task
+#: (some hundred bytes for each).
+PLAN_ROWS = 200_000
 
 
 def text_tokens(text: str = "text") -> Column:
@@ -175,12 +176,14 @@ def mix_sources(
         "budget",
         F.when(room < F.col("filled"), room).alias("_room"),
     )
-    plan = write_through(plan, "mix-plan")
-    # A few thousand numbers for each source: where that is little, texts need not be shuffled to meet them.
+    # One row for each block of a source, 4,096 of them at most: where that is little, texts need not be shuffled to meet it.
+    turns = F.collect_list(F.struct("_epoch", "_before", "_room"))
+    plan = write_through(plan.groupBy("_s", "_b").agg(F.first("budget").alias("budget"), turns.alias("_turns")), "mix-plan")
     if plan.count() <= PLAN_ROWS:
         plan = F.broadcast(plan)
 
     drawn = rows.join(plan, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b"))).drop("_s", "_b")
+    drawn = drawn.select("*", F.inline("_turns")).drop("_turns")
     whole = drawn.where(F.col("_room").isNull())
     within = Window.partitionBy("_source", "_block", "_epoch").orderBy(_order(seeded, "_key", "_epoch"), "_key", "_tokens")
     cut = drawn.where(F.col("_room").isNotNull())
