@@ -5,7 +5,10 @@ DataFrame operations only.
 
 from __future__ import annotations
 
+import json
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,49 +17,139 @@ from framewise.settings import write_through
 
 CALL, RESULT = 0, 1
 
-#: For each tool its arguments: kind and whether one must be given. Kinds are those of JSON schemas.
-Schemas = dict[str, dict[str, tuple[str, bool]]]
+#: For each tool a JSON schema of its arguments, or for short a kind and whether it must be given for each argument,
+#: which stands for an object with these and no others.
+Schema = dict
+Schemas = dict[str, dict[str, tuple[str, bool]] | Schema]
 
 # How Spark names the types of parsed JSON values.
 _KINDS = {
     "string": "^STRING$",
-    "integer": "^BIGINT$",
-    "number": "^(BIGINT|DOUBLE|DECIMAL.*)$",
+    "number": "^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$",
     "boolean": "^BOOLEAN$",
     "array": "^ARRAY<.*",
     "object": "^OBJECT<.*",
+    "null": "^VOID$",
 }
+_WHOLE = r"^(BIGINT|DECIMAL\(\d+,0\))$"
 _NO_TEXTS = "array<string>"
+# What a schema may say beside descriptions; anything else would pass unchecked, so it is refused.
+_KNOWN = {
+    "type", "enum", "const", "properties", "required", "additionalProperties", "items", "minItems", "maxItems",
+    "minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "minLength", "maxLength", "pattern",
+}
+_REMARKS = {"title", "description", "default", "examples", "$schema", "$id"}
+
+
+def as_schema(fields: dict) -> Schema:
+    """The JSON schema that a short form stands for; a JSON schema as it is."""
+    if all(isinstance(v, tuple) for v in fields.values()):
+        return {
+            "type": "object",
+            "properties": {name: {"type": kind} for name, (kind, _) in fields.items()},
+            "required": [name for name, (_, required) in fields.items() if required],
+            "additionalProperties": False,
+        }
+    return fields
+
+
+def _is_kind(value: Column, kind: Column, wanted: str) -> Column:
+    if wanted == "integer":
+        # As in JSON schemas, a number without a fraction is one, however it is written.
+        number = F.try_variant_get(value, "$", "double")
+        return kind.rlike(_WHOLE) | (kind.rlike(_KINDS["number"]) & (number == F.floor(number)))
+    return kind.rlike(_KINDS[wanted])
+
+
+def _member(value: Column, name: str) -> Column:
+    if "'" in name and '"' in name:
+        raise ValueError(f"a name with both kinds of quotes cannot be looked up: {name}")
+    return F.try_variant_get(value, f'$["{name}"]' if "'" in name else f"$['{name}']", "variant")
+
+
+def _complaints(value: Column, schema: Schema, path: Column) -> Column:
+    """What is wrong with a variant that is there, as an array of texts. ``path`` names it in them."""
+    if odd := set(schema) - _KNOWN - _REMARKS:
+        raise ValueError(f"not known in a schema: {sorted(odd)}")
+    kind = F.schema_of_variant(value)
+    says = lambda *words: F.concat(path, *map(F.lit, words))
+    given = lambda own: own.isNotNull() & (F.schema_of_variant(own) != "VOID")
+    found: list[Column] = []  # texts, or null where all is well
+    lists: list[Column] = []
+
+    def unless(good: Column, *words: str) -> None:
+        found.append(F.when(~F.coalesce(good, F.lit(False)), says(*words)))
+
+    def limited(amount: Column, low: str, high: str, what: str) -> None:
+        if low in schema:
+            found.append(F.when(amount < schema[low], says(f" has {what} below {schema[low]}")))
+        if high in schema:
+            found.append(F.when(amount > schema[high], says(f" has {what} above {schema[high]}")))
+
+    wanted = schema.get("type", [])
+    wanted = [wanted] if isinstance(wanted, str) else list(wanted)
+    if wanted:
+        unless(reduce(or_, [_is_kind(value, kind, w) for w in wanted]), " is no ", " or ".join(wanted))
+    allowed = [schema["const"]] if "const" in schema else schema.get("enum")
+    if allowed is not None:
+        unless(F.to_json(value).isin(*[canonical_text(v) for v in allowed]), " is none of ", ", ".join(map(canonical_text, allowed)))
+
+    number = F.when(kind.rlike(_KINDS["number"]), F.try_variant_get(value, "$", "double"))
+    limited(number, "minimum", "maximum", "a value")
+    if "exclusiveMinimum" in schema:
+        found.append(F.when(number <= schema["exclusiveMinimum"], says(f" is not above {schema['exclusiveMinimum']}")))
+    if "exclusiveMaximum" in schema:
+        found.append(F.when(number >= schema["exclusiveMaximum"], says(f" is not below {schema['exclusiveMaximum']}")))
+    text = F.when(kind == "STRING", F.try_variant_get(value, "$", "string"))
+    limited(F.length(text), "minLength", "maxLength", "a length")
+    if "pattern" in schema:
+        found.append(F.when(~text.rlike(schema["pattern"]), says(f" does not match {schema['pattern']}")))
+
+    is_array, is_object = kind.startswith("ARRAY"), kind.startswith("OBJECT")
+    entries = F.when(is_array, F.try_variant_get(value, "$", "array<variant>"))
+    limited(F.size(entries), "minItems", "maxItems", "a size")
+    if "items" in schema:
+        each = F.transform(entries, lambda x, at: _complaints(x, schema["items"], F.concat(path, F.lit("["), at.cast("string"), F.lit("]"))))
+        lists.append(F.coalesce(F.flatten(each), F.array().cast(_NO_TEXTS)))
+
+    inside = lambda name: F.when(path == "", F.lit(name)).otherwise(F.concat(path, F.lit("."), F.lit(name)))
+    none, required = F.array().cast(_NO_TEXTS), set(schema.get("required", ()))
+    fields = schema.get("properties", {})
+    for name in sorted({*fields, *required}):
+        own = _member(value, name)
+        checked = _complaints(own, fields[name], inside(name)) if name in fields else none
+        missing = F.array(F.concat(F.lit("missing "), inside(name))) if name in required else none
+        lists.append(F.when(~F.coalesce(is_object, F.lit(False)), none).when(given(own), checked).otherwise(missing))
+    if schema.get("additionalProperties", True) is False:
+        names = F.when(is_object, F.json_object_keys(F.to_json(value)))
+        unknown = F.array_sort(F.array_except(names, F.array(*map(F.lit, sorted(fields))).cast(_NO_TEXTS)))
+        before = F.when(path == "", "unknown ").otherwise(F.concat(F.lit("unknown "), path, F.lit(".")))
+        lists.append(F.coalesce(F.transform(unknown, lambda x: F.concat(before, x)), none))
+    return F.concat(F.array_compact(F.array(*found).cast(_NO_TEXTS)), *lists)
+
+
+def canonical_text(value) -> str:
+    """A Python value as canonical JSON."""
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
 def argument_errors(tool: str | Column, arguments: str | Column, schemas: Schemas) -> Column:
     """What is wrong with a call's arguments, as a list of texts; empty if nothing is.
 
     Arguments are JSON text. ``not an object``, ``unknown tool``, and for each argument in
-    alphabetical order ``missing x``, ``x is no integer`` or ``unknown x``. A null where an
-    argument need not be given counts as not given.
+    alphabetical order ``missing x``, ``x is no integer`` and so on, then ``unknown x``. Arguments inside others are named
+    ``x.y`` and ``x[0]``. Schemas may be nested and say: types, enumerations, fields, which of them must be given and
+    whether there may be others, items of arrays and their number, ranges of numbers, lengths and patterns of
+    texts. A null where an argument need not be given counts as not given.
+
+    Text that Spark's parser refuses for its size, as with one string of over 20 million characters, is ``not an object``.
     """
     tool, arguments = (F.col(c) if isinstance(c, str) else c for c in (tool, arguments))
     value = F.try_parse_json(arguments)
-    kind = F.schema_of_variant(value)
-    is_object = F.coalesce(kind.startswith("OBJECT"), F.lit(False))
-    names = F.json_object_keys(arguments)
-
-    def errors(fields: dict[str, tuple[str, bool]]) -> Column:
-        found = []
-        for name, (wanted, required) in sorted(fields.items()):
-            own = F.schema_of_variant(F.try_variant_get(value, f"$['{name}']", "variant"))
-            given = own.isNotNull() & (own != "VOID")
-            wrong = F.when(given & ~own.rlike(_KINDS[wanted]), F.lit(f"{name} is no {wanted}"))
-            found.append(F.when(~given, F.lit(f"missing {name}")).otherwise(wrong) if required else wrong)
-        expected = F.array(*map(F.lit, sorted(fields))).cast(_NO_TEXTS)
-        unknown = F.array_sort(F.array_except(F.array_distinct(names), expected))
-        listed = F.array_compact(F.array(*found).cast(_NO_TEXTS))
-        return F.concat(listed, F.transform(unknown, lambda x: F.concat(F.lit("unknown "), x)))
-
+    is_object = F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
     result = F.array(F.lit("unknown tool"))
-    for name, fields in sorted(schemas.items()):
-        result = F.when(tool == name, errors(fields)).otherwise(result)
+    for name, schema in sorted(schemas.items()):
+        result = F.when(tool == name, _complaints(value, as_schema(schema), F.lit(""))).otherwise(result)
     return F.when(is_object, result).otherwise(F.array(F.lit("not an object")))
 
 
@@ -105,7 +198,8 @@ def link_tools(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFr
     ``unanswered`` (a call without a result), ``lost`` (``after`` names no call; depth is 0),
     ``early`` (a result with a smaller turn than its call: it is moved behind it), ``linked``.
     ``valid`` says whether a call's arguments fit its tool's schema, with ``errors`` joined by ``; ``;
-    for a result it is its call's, null without one. Arguments that are no JSON are kept as text.
+    for a result it is its call's, null without one. Arguments that are no JSON, or too long for ``argument_errors``,
+    are kept as text, whole; contents may be of any length.
 
     ``message`` is canonical JSON. Null arguments are no object; a null content is written as
     null. Empty tables give no rows.
@@ -159,13 +253,16 @@ def link_tools(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFr
         F.when(F.col("_call").isNotNull(), argument_errors(F.col("_call.tool"), F.col("_call.arguments"), schemas))
     )
     # Fields in alphabetical order; what is parsed comes out with sorted keys by itself.
-    as_text = F.try_parse_json(F.to_json(F.struct(F.col("arguments").alias("text"))))
-    function = F.struct(F.coalesce(F.try_parse_json("arguments"), as_text).alias("arguments"), F.col("tool").alias("name"))
-    call = F.struct(function.alias("function"), F.col("call_id").alias("id"), F.lit("function").alias("type"))
     keep = {"ignoreNullFields": "false"}
-    message = F.when(
-        is_call, F.to_json(F.struct(F.lit("assistant").alias("role"), F.array(call).alias("tool_calls")), keep)
-    ).otherwise(F.to_json(F.struct("content", F.lit("tool").alias("role"), F.col("call_id").alias("tool_call_id")), keep))
+
+    def call_with(arguments: Column) -> Column:
+        function = F.struct(arguments.alias("arguments"), F.col("tool").alias("name"))
+        call = F.struct(function.alias("function"), F.col("call_id").alias("id"), F.lit("function").alias("type"))
+        return F.to_json(F.struct(F.lit("assistant").alias("role"), F.array(call).alias("tool_calls")), keep)
+
+    parsed = F.try_parse_json(F.coalesce("arguments", F.lit("{}")))
+    as_text = call_with(F.struct(F.col("arguments").alias("text")))
+    message = F.when(is_call, F.when(parsed.isNotNull(), call_with(parsed)).otherwise(as_text)).otherwise(F.to_json(F.struct("content", F.lit("tool").alias("role"), F.col("call_id").alias("tool_call_id")), keep))
     return linked.select(
         "conv_id",
         "call_id",
