@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from framewise.llm.chat import link_tools
 from framewise.llm.exact_dedup import exact_duplicates
 from framewise.llm.fingerprints import compare_edits
-from framewise.llm.licenses import RULES, SENTENCES, normal, scan_licenses
+from framewise.llm.licenses import PHRASES, RULES, SENTENCES, SPDX_NAMES, listed, normal, scan_licenses
 from framewise.llm.line_dedup import drop_shared_lines
 from framewise.llm.mixing import TOKEN, mix_sources
 from framewise.llm.near_dedup import near_duplicates
@@ -83,6 +83,8 @@ def op8_licenses(spark, sf_dir):
         "doc_id",
         F.size("license_sentences").alias("n_sentences"),
         F.array_join(F.transform("license_sentences", lambda x: F.concat(x["place"].cast("string"), F.lit(":"), x["sentence"])), " ").alias("sentences"),
+        F.array_join("license_phrases", " ").alias("phrases"),
+        F.array_join("license_spdx", " ").alias("spdx"),
         F.array_join("license_rules", " ").alias("rules"),
         F.array_join("licenses", " ").alias("licenses"),
     )
@@ -191,12 +193,16 @@ _KEY = r"translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''),
 
 def _license_sql() -> str:
     known = ", ".join(f"('{normal(text)}', '{name}')" for name, text in sorted(SENTENCES.items()))
-    rules = ", ".join(f"('{name}', '{licence}', ' {' '.join(ids)} ')" for name, (licence, ids) in sorted(RULES.items()))
+    rules = ", ".join(f"('{name}', '{r.licence}', '{listed(r)}', '{r.phrase or ''}', '{r.unless or ''}')" for name, r in sorted(RULES.items()))
+    phrases = ", ".join(f"('{name}', [{', '.join(f"' {normal(p)} '" for p in parts)}])" for name, parts in sorted(PHRASES.items()))
+    spdx = ", ".join(f"('{word}', '{name}')" for word, name in sorted(SPDX_NAMES.items()))
     wrap = r"regexp_replace({}, '(^|[^.!?:;])\r?\n[ \t]*([a-z])', '\1 \2', 'g')"
     named = r"regexp_replace(coalesce(text, ''), '(?i)(identifier:)[ \t]+', '\1', 'g')"
     return rf"""
         WITH known AS (SELECT * FROM (VALUES {known}) AS t(sentence, name)),
-        rules AS (SELECT * FROM (VALUES {rules}) AS t(rule, licence, ids)),
+        rules AS (SELECT * FROM (VALUES {rules}) AS t(rule, licence, ids, phrase, other)),
+        parts_of AS (SELECT * FROM (VALUES {phrases}) AS t(phrase, parts)),
+        spdx_names AS (SELECT * FROM (VALUES {spdx}) AS t(word, name)),
         cut AS (SELECT doc_id, string_split(regexp_replace(regexp_replace({wrap.format(wrap.format(named))},
                   '([.!?:;])[ \t\r\n]+', '\1' || chr(1), 'g'), '\r?\n', chr(1), 'g'), chr(1)) AS parts FROM documents),
         parts AS (SELECT doc_id, unnest(range(0, len(parts))) AS place, unnest(parts) AS part FROM cut),
@@ -204,15 +210,27 @@ def _license_sql() -> str:
                   JOIN known ON trim(regexp_replace(lower(part), '[^a-z0-9]+', ' ', 'g')) = sentence),
         listed AS (SELECT doc_id, count(*) AS n, string_agg(place || ':' || name, ' ' ORDER BY place) AS sentences,
                      ' ' || string_agg(name, ' ' ORDER BY place) || ' ' AS ids FROM found GROUP BY doc_id),
-        matched AS (SELECT doc_id, rule, licence, r.ids FROM listed l JOIN rules r ON contains(l.ids, r.ids)),
-        longest AS (SELECT DISTINCT doc_id, rule, licence FROM matched m WHERE NOT EXISTS (
+        plain AS (SELECT doc_id, ' ' || trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')) || ' ' AS words FROM documents),
+        said AS (SELECT doc_id, list(phrase ORDER BY phrase) AS phrases FROM plain
+                 JOIN parts_of ON len(list_filter(parts, lambda p: NOT contains(words, p))) = 0 GROUP BY doc_id),
+        lines AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)spdx-license-identifier:[ \t]*([^\r\n]*)', 1)) AS line FROM documents),
+        words AS (SELECT doc_id, unnest(regexp_extract_all(line, '[A-Za-z0-9][A-Za-z0-9.+-]*')) AS word FROM lines),
+        told AS (SELECT DISTINCT doc_id, name FROM words JOIN spdx_names s ON lower(words.word) = s.word),
+        held AS (SELECT doc_id, coalesce(ids, '') AS ids, coalesce(phrases, []) AS phrases
+                 FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN said USING (doc_id)),
+        matched AS (SELECT doc_id, rule, licence, r.ids FROM held h JOIN rules r ON contains(h.ids, r.ids)
+                      AND (r.phrase = '' OR list_contains(phrases, r.phrase)) AND NOT list_contains(phrases, r.other)),
+        longest AS (SELECT DISTINCT doc_id, rule, licence FROM matched m WHERE m.ids = '' OR NOT EXISTS (
                       SELECT 1 FROM matched o WHERE o.doc_id = m.doc_id AND o.rule <> m.rule AND contains(o.ids, m.ids))),
         named AS (SELECT doc_id, string_agg(rule, ' ' ORDER BY rule) AS rules FROM longest GROUP BY doc_id),
         licences AS (SELECT doc_id, string_agg(licence, ' ' ORDER BY licence) AS licenses
-                     FROM (SELECT DISTINCT doc_id, licence FROM longest) GROUP BY doc_id)
+                     FROM (SELECT doc_id, licence FROM longest UNION SELECT doc_id, name FROM told) GROUP BY doc_id)
         SELECT d.doc_id, CAST(coalesce(n, 0) AS INT) AS n_sentences, coalesce(sentences, '') AS sentences,
+          coalesce(array_to_string(phrases, ' '), '') AS phrases,
+          coalesce((SELECT string_agg(name, ' ' ORDER BY name) FROM told WHERE told.doc_id = d.doc_id), '') AS spdx,
           coalesce(rules, '') AS rules, coalesce(licenses, '') AS licenses
-        FROM documents d LEFT JOIN listed USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN licences USING (doc_id)"""
+        FROM documents d LEFT JOIN listed USING (doc_id) LEFT JOIN said USING (doc_id) LEFT JOIN named USING (doc_id)
+          LEFT JOIN licences USING (doc_id)"""
 
 
 _MIX = """

@@ -4,7 +4,7 @@ import textwrap
 import pytest
 from pyspark.sql import functions as F
 
-from framewise.llm.licenses import ANCHORS, RULES, SENTENCES, normal, scan_licenses
+from framewise.llm.licenses import ANCHORS, PHRASES, RULES, SENTENCES, SPDX_NAMES, normal, scan_licenses
 
 
 def brute(text):
@@ -17,9 +17,12 @@ def brute(text):
     def inside(short, long):
         return any(long[k : k + len(short)] == short for k in range(len(long) - len(short) + 1))
 
-    hit = {r: x for r, (_, x) in RULES.items() if inside(x, names)}
-    rules = sorted(r for r, x in hit.items() if not any(o != r and inside(x, y) for o, y in hit.items()))
-    return ids, rules, sorted({RULES[r][0] for r in rules})
+    words = f" {normal(text)} "
+    phrases = {p for p, parts in PHRASES.items() if all(f" {normal(x)} " in words for x in parts)}
+    spdx = {SPDX_NAMES.get(w.lower()) for line in re.findall(r"(?i)spdx-license-identifier:[ \t]*([^\r\n]*)", text) for w in re.findall(r"[A-Za-z0-9][A-Za-z0-9.+-]*", line)} - {None}
+    hit = {n: list(r.sentences) for n, r in RULES.items() if inside(list(r.sentences), names) and r.phrase in {None, *phrases} and r.unless not in phrases}
+    rules = sorted(r for r, x in hit.items() if not (x and any(o != r and inside(x, y) for o, y in hit.items())))
+    return ids, rules, sorted({RULES[r].licence for r in rules} | spdx)
 
 
 def check(docs):
@@ -38,17 +41,17 @@ def text_of(*names):
 
 
 def test_every_rule_is_found(docs_of):
-    texts = [f"Some text. {text_of(*ids)}\nMore text." for _, ids in RULES.values()]
+    texts = [f"Some text. {text_of(*r.sentences)}\nMore text {' and '.join(PHRASES.get(r.phrase, []))} here." for r in RULES.values()]
     rows = check(docs_of(texts))
-    for r, (name, (licence, _)) in zip(sorted(rows, key=lambda r: r["doc_id"]), RULES.items()):
-        assert name in r["license_rules"] and licence in r["licenses"]
+    for r, (name, rule) in zip(sorted(rows, key=lambda r: r["doc_id"]), RULES.items()):
+        assert name in r["license_rules"] and rule.licence in r["licenses"]
 
 
 def test_order_and_case_and_wrapped_lines(docs_of):
-    header = text_of(*RULES["apache-2-header"][1])
+    header = text_of(*RULES["apache-2-header"].sentences)
     wrapped = re.sub(r" (?=(software|compliance|the language|agreed))", "\n   ", header)
-    swapped = text_of(*reversed(RULES["mit-text"][1]))
-    apart = "\n".join(f"{SENTENCES[n]} An unknown sentence." for n in RULES["bsd-text"][1])
+    swapped = text_of(*reversed(RULES["mit-text"].sentences))
+    apart = "\n".join(f"{SENTENCES[n]} An unknown sentence." for n in RULES["bsd-text"].sentences)
     rows = check(docs_of([header.upper(), wrapped, swapped, apart, SENTENCES["mit-notice"] + " " + SENTENCES["gpl-3-notice"], "A licence of license, MIT."]))
     licences = [r["licenses"] for r in sorted(rows, key=lambda r: r["doc_id"])]
     assert licences == [["Apache-2.0"], ["Apache-2.0"], [], ["BSD-2-Clause"], ["GPL-3.0", "MIT"], []]
@@ -57,7 +60,7 @@ def test_order_and_case_and_wrapped_lines(docs_of):
 def test_odd_texts_and_columns(odd_docs):
     check(odd_docs)
     clash = odd_docs.withColumns({"Licenses": F.lit(1), "place": F.lit(2)})
-    assert scan_licenses(clash).columns == ["doc_id", "text", "lang", "source", "place", "license_sentences", "license_rules", "licenses"]
+    assert scan_licenses(clash).columns == ["doc_id", "text", "lang", "source", "place", "license_sentences", "license_phrases", "license_spdx", "license_rules", "licenses"]
     assert scan_licenses(clash.limit(0)).collect() == []
 
 
@@ -212,3 +215,32 @@ def test_bsd_texts_are_told_apart(docs_of, sign):
     texts = [commented(t, sign) if sign else t for t in texts]
     rows = sorted(scan_licenses(docs_of(texts)).collect(), key=lambda r: r["doc_id"])
     assert [r["licenses"] for r in rows] == [["BSD-2-Clause"]] + [["BSD-3-Clause"]] * len(thirds) + [["BSD-4-Clause"]] * len(thirds)
+
+
+def test_third_conditions_in_other_words(docs_of):
+    thirds = [
+        "\n3. Neither the name of the University nor the names of its contributors\n   may be used to endorse or promote products derived from this\n   software without prior written permission.\n",
+        "\n3. The names of its contributors may not be used to endorse or promote\n   products derived from this software without our permission.\n",
+    ]
+    texts = [BSD_2 + t + BSD_END for t in thirds] + [BSD_2 + BSD_ADVERTISING + t.replace("3.", "4.") + BSD_END for t in thirds]
+    rows = sorted(check(docs_of(texts)), key=lambda r: r["doc_id"])
+    assert [r["licenses"] for r in rows] == [["BSD-3-Clause"]] * 2 + [["BSD-4-Clause"]] * 2
+
+
+def test_phrases_and_identifiers(docs_of):
+    texts = [
+        "This project is licensed under the MIT License.",
+        "// SPDX-License-Identifier: BSD-3-Clause",
+        "# SPDX-License-Identifier: gpl-2.0-only WITH Classpath-exception-2.0",
+        "/* SPDX-License-Identifier: (MIT OR Apache-2.0) AND LicenseRef-own */\ncode",
+        "SPDX-License-Identifier: LGPL-2.1+",
+        "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed",
+        "It is unlicensed under the MIT Licenses.",
+        "SPDX-License-Identifier:\nMIT",
+    ]
+    rows = sorted(check(docs_of(texts)), key=lambda r: r["doc_id"])
+    assert [r["licenses"] for r in rows] == [["MIT"], ["BSD-3-Clause"], ["GPL-2.0-only"], ["Apache-2.0", "MIT"], ["LGPL-2.1-or-later"], ["MPL-2.0"], [], []]
+
+
+def test_every_phrase_has_an_anchor():
+    assert all(any(a in normal(p) for p in parts for a in ANCHORS) for n, parts in PHRASES.items() if not n.startswith("no-end") and n != "acknowledgement")
