@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from framewise.llm import toxicity
@@ -91,3 +92,40 @@ def test_curve_and_cut():
     predicted = x @ moved[:-1] + moved[-1] >= np.log(toxicity.THRESHOLD / (1 - toxicity.THRESHOLD))
     f1 = 2 * (predicted * y).sum() / (predicted.sum() + y.sum())
     assert abs(f1 - reached) < 1e-9 and f1 > 0.6
+
+
+def plain_score(text, model):
+    """Window by window with zstandard alone, words found by a pattern and hashed one by one."""
+    import zstandard
+
+    words = [w for w in regex.findall(r"(?:[0-9a-z]|[^\x00-\x7f])+", (text or "").lower())]
+    hashed = [int(codes(w)[0]) for w in words]
+    settings = zstandard.ZstdCompressionParameters(
+        strategy=zstandard.STRATEGY_BTLAZY2, min_match=6, hash_log=17, chain_log=18, search_log=8, window_log=18,
+        write_checksum=0, write_content_size=0, write_dict_id=0,
+    )
+    raw = lambda content: zstandard.ZstdCompressor(
+        dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=settings
+    )
+    ahead = toxicity._AHEAD
+    plain, toxic = raw(model.distance.ordinary + ahead), raw(model.distance.toxic + model.distance.ordinary + ahead)
+    gains = []
+    for i in range(0, len(hashed), 32):
+        window = ahead + b"".join(written(np.array([h], np.uint64)) for h in hashed[i : i + 32])
+        gains.append(max(0, len(plain.compress(window)) - len(toxic.compress(window)) - 4))
+    total = sum(gains) / 8
+    features = [
+        min(max(gains, default=0), 40) / 8,
+        np.log(1 + total),
+        10 * min(1, total / max(1, len(hashed))),
+        np.log(1 + sum(g > 0 for g in gains)),
+        np.log(1 + len(hashed)) if total else 0,
+    ]
+    return 1 / (1 + np.exp(-(sum(f * w for f, w in zip(features, model.weights)) + model.weights[-1])))
+
+
+def test_scores_against_brute_force(labelled, odd_docs, model):
+    rows = labelled.select("doc_id", "text").unionByName(odd_docs.select("doc_id", "text"))
+    for r in score_toxicity(rows, model).collect():
+        want = plain_score(r["text"], model)
+        assert abs(r["score"] - want) < 1e-9 and r["predicted"] == (want >= 0.3)
