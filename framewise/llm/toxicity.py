@@ -7,10 +7,10 @@ of the two lengths is what the toxic dictionary saves. Hashes keep a word from m
 another one, so that the difference comes from whole words only. A logistic curve over a text's
 window differences gives the score.
 
-zstandard's trainer looks for what is frequent. On toxic text that is ordinary words for the most
-part; dictionaries made by it alone separate hardly anything here (area under the curve 0.6). So
-it trains the ordinary dictionary, and for the toxic one the words are chosen that toxic texts hold
-clearly more often than ordinary ones.
+zstandard trains both dictionaries. Its trainer looks for what is frequent, and in toxic text that is ordinary
+words for the most part; trained on toxic text as it is, a dictionary separates hardly anything here (area under
+the curve 0.6). So the toxic one is trained on what is left of the toxic texts when only the words are kept that
+they hold clearly more often than ordinary texts do.
 """
 
 from __future__ import annotations
@@ -35,8 +35,9 @@ WINDOW = 32
 WIDTH = 16
 #: Labelled texts of each class that are learnt from, chosen by a hash of their key.
 SAMPLE = 10_000
-#: Words of the toxic dictionary at most, the most telling ones first.
+#: Words that the toxic dictionary is trained on at most, the most telling ones first, and its bytes.
 TELLING = 4_096
+TOXIC = 65_536
 #: Least logarithm of how much more often toxic texts hold a word, at the lower end of its error. The
 #: one is taken that separates best where dictionaries come from other texts.
 CLEARLY = (1.5, 2.5, 3.5, 4.5)
@@ -162,14 +163,21 @@ def calibrate(w: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray,
     return moved, reached
 
 
-def _telling(counts: pd.DataFrame, toxic: int, clean: int, clearly: float) -> bytes:
-    """The toxic dictionary's content, the most telling words last, where matches are cheapest."""
+def trained(samples: list[bytes], size: int) -> bytes:
+    """A dictionary by zstandard's trainer; where there is too little to train on, the samples themselves."""
+    try:
+        return zstandard.train_dictionary(size, samples, k=3 * WIDTH, d=8).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-size:]
+
+
+def _telling(counts: pd.DataFrame, toxic: int, clean: int, clearly: float) -> np.ndarray:
+    """The most telling words, the clearest first."""
     a, b = counts["toxic"] + 0.5, counts["clean"] + 0.5
     odds = np.log(a / (toxic + 1)) - np.log(b / (clean + 1)) - 1.64 * np.sqrt(1 / a + 1 / b)
     good = counts.assign(odds=odds)[(counts["toxic"] >= HOLDERS) & (odds > clearly)]
     good = good.sort_values(["odds", "code"], ascending=[False, True]).head(TELLING)
-    good = good["code"].to_numpy(np.int64)[::-1]
-    return written(good.view(np.uint64))
+    return good["code"].to_numpy(np.int64).view(np.uint64)
 
 
 def train(
@@ -185,8 +193,8 @@ def train(
 
     At most ``sample`` rows of each class are used. They are chosen by a hash of the key, and since
     their number is bounded, their keys are sent to where the texts are. Word counts are made by
-    Spark; counts of words that at least ``HOLDERS`` toxic texts hold, a few windows of ordinary
-    text and a few numbers per sampled text come to the driver.
+    Spark; counts of words that at least ``HOLDERS`` toxic texts hold, the telling words of each sampled toxic text, a
+    window of each ordinary one and a few numbers per sampled text come to the driver.
 
     Texts are split into ``FOLDS`` parts by a hash. The curve is fitted to differences that come from
     a dictionary of the other parts, so that it knows how telling unseen text is. Labels that are null,
@@ -199,7 +207,7 @@ def train(
     chosen = [known.where(F.col("_toxic") == v).orderBy(F.xxhash64("_key"), "_key").limit(sample) for v in (0, 1)]
     chosen = spark.createDataFrame([r for c in chosen for r in c.collect()], known.schema)
     texts = docs.select(F.col(key).alias("_key"), whole_text(text).alias("_text")).join(F.broadcast(chosen), "_key")
-    texts = texts.select("_toxic", F.pmod(F.xxhash64("_key", F.lit(2)), F.lit(FOLDS)).cast("int").alias("_fold"), "_text")
+    texts = texts.select("_key", "_toxic", F.pmod(F.xxhash64("_key", F.lit(2)), F.lit(FOLDS)).cast("int").alias("_fold"), "_text")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,17 +243,32 @@ def train(
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["window"])
 
     ordinary = sorted(bytes(r[0]) for r in texts.where("_toxic = 0").mapInArrow(windows, "window binary").collect())
-    try:
-        base = zstandard.train_dictionary(ORDINARY, ordinary).as_bytes()
-    except zstandard.ZstdError:  # too little to train on
-        base = b"".join(ordinary)[-ORDINARY:]
+    base = trained(ordinary, ORDINARY)
 
-    def distance(folds: list[int], clearly: float) -> Distance:
+    def telling(folds: list[int], clearly: float) -> np.ndarray:
         a, b = ([c[f] for f in folds] for c in (toxic, clean))
         counts = pd.DataFrame({"code": kept["code"], "toxic": kept[a].sum(axis=1), "clean": kept[b].sum(axis=1)})
-        return Distance(base, _telling(counts, total[a].sum(), total[b].sum(), clearly))
+        return _telling(counts, total[a].sum(), total[b].sum(), clearly)
+
+    subsets = [[o for o in range(FOLDS) if o != f] for f in range(FOLDS)]
+    # Whatever any of the dictionaries may be trained on.
+    loosest = np.unique(np.concatenate([telling(folds, min(CLEARLY)) for folds in [*subsets, list(range(FOLDS))]]))
+
+    def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [codes(content.as_py()) for content in batch.column("_text")]
+            found = [w[np.isin(w, loosest)].tobytes() for w in found]
+            yield pa.RecordBatch.from_arrays([batch.column("_fold"), pa.array(found, pa.binary())], ["fold", "words"])
+
+    remains = sorted((r.fold, bytes(r.words)) for r in texts.where("_toxic = 1").mapInArrow(left, "fold int, words binary").collect())
+
+    def distance(folds: list[int], clearly: float) -> Distance:
+        wanted = telling(folds, clearly)
+        samples = [np.frombuffer(words, np.uint64) for fold, words in remains if fold in folds]
+        samples = [written(words[np.isin(words, wanted)]) for words in samples]
+        return Distance(base, trained([s for s in samples if s], TOXIC))
 
-    others = [[distance([o for o in range(FOLDS) if o != f], c) for c in CLEARLY] for f in range(FOLDS)]
+    others = [[distance(folds, c) for c in CLEARLY] for folds in subsets]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
