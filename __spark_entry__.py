@@ -237,7 +237,7 @@ def greedy_match(spark, sf_dir):
 
 def fingers_by_face(spark, sf_dir):
     hands, faces = _hands_faces(spark, sf_dir)
-    joined = op.fingers_by_face(faces, op.greedy_match(hands, faces))
+    joined = op.faces_with_fingers(faces, hands)
     return joined.select("frame_id", "face_ord", "face_id", _text("fingers"))
 
 

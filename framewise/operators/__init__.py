@@ -2,7 +2,7 @@ from framewise.operators.counts import emotion_counts, people_per_frame
 from framewise.operators.detections import verified_detections, visible_detections
 from framewise.operators.hands import measure_hands, smooth_fingers
 from framewise.operators.labels import label_asof
-from framewise.operators.matching import fingers_by_face, greedy_match, nearest_face, pair_distance
+from framewise.operators.matching import faces_with_fingers, fingers_by_face, greedy_match, nearest_face, pair_distance
 from framewise.operators.occurrence import nth_occurrence, occurrence_number
 from framewise.operators.scan import Running, scan
 from framewise.operators.streak import joint_streak, streak_lengths
@@ -12,6 +12,7 @@ __all__ = [
     "Running",
     "analysis_requests",
     "emotion_counts",
+    "faces_with_fingers",
     "fingers_by_face",
     "greedy_match",
     "joint_streak",

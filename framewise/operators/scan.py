@@ -4,10 +4,12 @@ A plain ``Window.partitionBy(key)`` sends all rows of a key to one task. Here a
 rows are cut into blocks of ``span`` consecutive order values, and work on rows is
 partitioned by (key, block):
 
-1. each block is reduced to its total (map-side combine, one small row per block);
-2. a window over those small rows gives what every block starts from;
-3. the start values join the rows as one extra row at the head of the block, so that
-   one window over (key, block) gives the running values. The rows are shuffled once.
+1. a window over (key, block) gives the running values inside each block, of which the last one is the block's total;
+2. a window over these totals, one small row per block, gives what every block starts from;
+3. the start values join the rows, using the partitioning and the order that the first window left.
+
+Rows are shuffled once: where all of their columns take part, Spark finds that rows and totals need the same
+shuffle and does it once (the plan shows ``ReusedExchange``); further columns make it read them twice.
 
 A block holds at most ``span`` order values of a key, and the window of step 2 has one
 row per block that the key has rows in. A million frames is a good measure: few enough
@@ -22,11 +24,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPAN = 1 << 20
 
 _BLOCK = "_block"
-_BODY = "_body"
 
 
 @dataclass(frozen=True)
@@ -41,10 +43,15 @@ class Running:
     how: str
     inclusive: bool = True
 
-    def total(self, value: str, order: Sequence[str]) -> Column:
-        if self.how == "last":
-            return F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order)))
-        return {"sum": F.sum, "max": F.max}[self.how](value)
+    def total(self, running: str, order: Sequence[str]) -> Column:
+        """Of a block, from its running values up to each row."""
+        return F.max(running) if self.how == "max" else F.max_by(running, F.struct(*order))
+
+    def joined(self, start: str, inside: str) -> Column:
+        """The running value from what the block starts with and the running value inside."""
+        if self.how == "sum":
+            return F.coalesce(F.col(start) + F.col(inside), start, inside)
+        return F.greatest(start, inside) if self.how == "max" else F.coalesce(inside, start)
 
     def over(self, value: str, window) -> Column:
         if self.how == "last":
@@ -52,6 +59,27 @@ class Running:
         return {"sum": F.sum, "max": F.max}[self.how](value).over(window)
 
 
+def _never_null(df: DataFrame, key: str) -> list[Column]:
+    """Columns that tell the values of ``key`` apart, also null, without being null."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, T.NumericType | T.StringType):
+        zero = F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
+        return [F.coalesce(key, zero).alias(f"_key_{key}"), F.col(key).isNull().alias(f"_null_{key}")]
+    return [F.struct(key).alias(f"_key_{key}")]
+
+
+def key_columns(df: DataFrame, keys) -> tuple[list[Column], list[str]]:
+    solid = [c for k in keys for c in _never_null(df, k)]
+    return solid, df.select(*solid).columns
+
+
+def restored_key(columns: Sequence[str], key: str) -> Column:
+    value = F.col(f"_key_{key}")
+    if f"_null_{key}" in columns:
+        return F.when(~F.col(f"_null_{key}"), value).alias(key)
+    return value[key].alias(key)
+
+
 def block_of(column: str, span: int) -> Column:
     return F.expr(f"{column} div {int(span)}")
 
@@ -93,17 +121,26 @@ def scan(
         rows = df.select("*", *valued)
         return _run(rows, keys, order, running, values).drop(*values.values())
 
-    rows = df.select("*", *valued, block_of(order[0], span).alias(_BLOCK))
-    totals = rows.groupBy(*keys, _BLOCK).agg(*[r.total(values[r.name], order).alias(values[r.name]) for r in running])
-    before = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    heads = totals.select(*keys, _BLOCK, *[r.over(values[r.name], before).alias(values[r.name]) for r in running])
-    heads = heads.dropna(how="all", subset=list(values.values()))
-
-    both = rows.withColumn(_BODY, F.lit(1)).unionByName(
-        heads.withColumn(_BODY, F.lit(0)), allowMissingColumns=True
-    )
-    result = _run(both, [*keys, _BLOCK], [_BODY, *order], running, values)
-    return result.where(F.col(_BODY) == 1).drop(_BLOCK, _BODY, *values.values())
+    # Rows and totals both read what the window gives, so that they need the same columns of the same shuffle.
+    solid, names = key_columns(df, keys)
+    inside = [Running(f"_in{i}", r.value, r.how) for i, r in enumerate(running)]
+    others = [c for c in df.columns if c not in keys]
+    rows = df.select(*others, *solid, *valued, block_of(order[0], span).alias(_BLOCK))
+    held = {w.name: values[r.name] for w, r in zip(inside, running)}
+    earlier = [Running(f"_ex{i}", r.value, r.how, False) for i, r in enumerate(running) if not r.inclusive]
+    held |= {w.name: f"_v{w.name[3:]}" for w in earlier}
+    placed = _run(rows, [*names, _BLOCK], order, [*inside, *earlier], held)
+
+    totals = placed.groupBy(*names, _BLOCK).agg(*[r.total(w.name, order).alias(values[r.name]) for w, r in zip(inside, running)])
+    before = Window.partitionBy(*names).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = {r.name: f"_start{i}" for i, r in enumerate(running)}
+    heads = totals.select(*names, _BLOCK, *[r.over(values[r.name], before).alias(starts[r.name]) for r in running])
+    heads = heads.dropna(how="all", subset=list(starts.values()))
+
+    joined = placed.join(heads, [*names, _BLOCK], "left")
+    found = {r.name: r.joined(starts[r.name], f"_in{i}" if r.inclusive else f"_ex{i}") for i, r in enumerate(running)}
+    kept = [restored_key(names, c) if c in keys else F.col(c) for c in df.columns]
+    return joined.select(*kept, *[c.alias(name) for name, c in found.items()])
 
 
 def _run(rows, keys, order, running, values) -> DataFrame:

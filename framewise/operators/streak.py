@@ -15,10 +15,9 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from framewise.functions.predicates import full_hand, happy
-from framewise.operators.scan import SPAN, block_of
+from framewise.operators.scan import SPAN, block_of, key_columns, restored_key
 from framewise.schemas import FRAME_ORDER, STREAK_OVER
 
 KEYS = ("id",)
@@ -33,31 +32,10 @@ def _flags(conditions: Mapping[str, Column]) -> list[Column]:
     return [F.coalesce(c, F.lit(False)).alias(f"_ok_{name}") for name, c in conditions.items()]
 
 
-def _never_null(df: DataFrame, key: str) -> list[Column]:
-    """Columns that tell the values of ``key`` apart, also null, without being null."""
-    kind = df.schema[key].dataType
-    if isinstance(kind, T.NumericType | T.StringType):
-        zero = F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
-        return [F.coalesce(key, zero).alias(f"_key_{key}"), F.col(key).isNull().alias(f"_null_{key}")]
-    return [F.struct(key).alias(f"_key_{key}")]
-
-
-def _key_columns(df: DataFrame, keys) -> tuple[list[Column], list[str]]:
-    solid = [c for k in keys for c in _never_null(df, k)]
-    return solid, df.select(*solid).columns
-
-
-def _restored(columns: Sequence[str], key: str) -> Column:
-    value = F.col(f"_key_{key}")
-    if f"_null_{key}" in columns:
-        return F.when(~F.col(f"_null_{key}"), value).alias(key)
-    return value[key].alias(key)
-
-
 def _in_blocks(df, keys, order, conditions, span) -> DataFrame:
     """Rows with place ``_rn`` in the block and place ``_bad_*`` of the latest failure."""
     block = F.lit(0).cast("long") if span is None else block_of(order[0], span)
-    solid, keys = _key_columns(df, keys)
+    solid, keys = key_columns(df, keys)
     rows = df.select(*solid, *order, block.alias("_block"), *_flags(conditions))
     window = Window.partitionBy(*keys, "_block").orderBy(*order)
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -112,9 +90,9 @@ def streak_lengths(
     """``keys``, ``order`` and one counter column per condition, for every row."""
     conditions = wave_conditions() if conditions is None else conditions
     placed = _in_blocks(df, keys, order, conditions, span)
-    solid = _key_columns(df, keys)[1]
+    solid = key_columns(df, keys)[1]
     rows = _with_starts(placed, placed, solid, conditions, span)
-    restored = [_restored(solid, k) for k in keys]
+    restored = [restored_key(solid, k) for k in keys]
     return rows.select(*restored, *order, *[_length(c).alias(c) for c in conditions])
 
 
@@ -146,7 +124,7 @@ def joint_streak(
     possible = reduce(
         and_, [F.col(f"_bad_{c}").isNull() | (F.col("_rn") - F.col(f"_bad_{c}") > over) for c in conditions]
     )
-    solid = _key_columns(df, keys)[1]
+    solid = key_columns(df, keys)[1]
     rows = _with_starts(placed.where(possible), placed, solid, conditions, span)
     held = reduce(and_, [_length(c) > over for c in conditions])
-    return rows.where(held).select(*[_restored(solid, k) for k in keys], *order)
+    return rows.where(held).select(*[restored_key(solid, k) for k in keys], *order)

@@ -101,8 +101,10 @@ def test_rows_are_partitioned_by_block(spark):
     final = plan[: plan.index("== Initial Plan ==")]
     # Rows and block ends share one shuffle of the rows.
     assert "ReusedExchange" in final
-    counted = _plan(occurrence_number(spark.createDataFrame(_people(5), ORDERED)))
-    assert "hashpartitioning(id" in counted and "_block" in counted
+    counted = occurrence_number(spark.createDataFrame(_people(5), ORDERED), span=16)
+    counted.collect()
+    plan = _plan(counted)
+    assert "hashpartitioning(_key_id" in plan and "_block" in plan and "ReusedExchange" in plan[: plan.index("== Initial Plan ==")]
 
 
 def test_scan_kinds(spark, rows):
