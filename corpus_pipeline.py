@@ -25,11 +25,20 @@ from framewise.settings import run_dir, shared_dir, write_through
 ORACLE_SQL = None
 
 
+#: What goes to a Python worker at a time. Rows hold whole texts, and an executor's workers hold several batches.
+BATCH = "8m"
+
+
+def _bounded(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents predicted to be toxic. The model is learnt from labelled ones among ``docs``.
 
     Null and empty texts have nothing toxic and stay; texts are scored in whole, and repeated rows alike.
     """
+    _bounded(spark)
     model = train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), ~held_out())
     return score_toxicity(docs, model).where(F.col("predicted") == 0).select(*docs.columns)
 
@@ -40,6 +49,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Every document stays, if with an empty text; null texts and such without lines of 20 code points
     are as they were. Rows without an id take no part and stay as they are; repeated rows are one document.
     """
+    _bounded(spark)
     # Not two: pairs of near duplicates must reach the next stage with the lines that they share.
     return drop_shared_lines(docs, documents=3).select(*docs.columns)
 
@@ -50,6 +60,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words, or with a null id, are in no group and stay. What stays is also counted in
     tokens, as packing has them, for the next stage.
     """
+    _bounded(spark)
     found = near_duplicates(docs.select("doc_id", "text"))
     dropped = found.where(~F.col("kept")).select("doc_id").distinct()
     # Rows without an id are in no group and stay.
@@ -108,6 +119,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts are a piece of one id, their end; longer texts than a sequence have several pieces.
     """
+    _bounded(spark)
     return pack(docs, byte_vocabulary(), END_ID)
 
 
