@@ -403,13 +403,13 @@ def stream_tail(spark, sf_dir):
 
 
 def stream_restarted(spark, sf_dir):
-    """The job between topics, stopped and started again with its checkpoint, one file of messages at a time."""
-    topics, ev = FileTopics(run_dir(spark, "topics"), max_files=1), v.events(spark, sf_dir)
+    """The job between topics, stopped and started again with its checkpoint, at a limited rate."""
+    topics, ev = FileTopics(run_dir(spark, "topics"), max_files=64), v.events(spark, sf_dir)
     checkpoint, frame = run_dir(spark, "checkpoint"), F.col("key").cast("long")
     messages = _messages(ev)
     middle = messages.agg(F.max(frame)).first()[0] // 2
     for part in (frame <= middle, frame > middle):
-        topics.write(messages.where(part).coalesce(1), RECORDED_TOPIC)
+        topics.write(messages.where(part), RECORDED_TOPIC)
         jobs.start_unique_emotions(spark, topics, checkpoint, "earliest", trigger={"availableNow": True}).awaitTermination()
     return topics.read(spark, UNIQUE_TOPIC).select("value")
 
@@ -429,7 +429,7 @@ def stream_counts_topic(spark, sf_dir):
     topics, ev = FileTopics(run_dir(spark, "topics"), max_files=1), v.events(spark, sf_dir)
     events = op.nth_occurrence(v.people(ev))
     for i in range(3):
-        topics.write(encode_emotion_event(events.where(F.col("id") % 3 == i)).coalesce(1), UNIQUE_TOPIC)
+        topics.write(encode_emotion_event(events.where(F.col("id") % 3 == i)), UNIQUE_TOPIC)
     jobs.start_emotion_counts(spark, topics, run_dir(spark, "checkpoint"), to_topic=True, trigger={"availableNow": True}).awaitTermination()
     counts = topics.read(spark, COUNTS_TOPIC).select(F.from_json("value", "emotion string, cnt long").alias("c")).select("c.*")
     return counts.groupBy("emotion").agg(F.max("cnt").alias("cnt"))
@@ -446,9 +446,9 @@ def stream_waves_without_keys(spark, sf_dir):
     """A topic that only holds values: nobody's frames have a number. All show a wave all the time."""
     waving = v.people(v.events(spark, sf_dir)).withColumns({"emotion": F.lit("HAPPY"), "fingers": F.array(F.lit(5))})
     messages = frame_messages(waving)
-    topics = FileTopics(run_dir(spark, "topics"), max_files=1)
+    topics = FileTopics(run_dir(spark, "topics"), max_files=4)
     for i in range(3):
-        topics.write(messages.where(F.col("key").cast("long") % 3 == i).select("value").coalesce(1), RECORDED_TOPIC)
+        topics.write(messages.where(F.col("key").cast("long") % 3 == i).select("value").repartition(4), RECORDED_TOPIC)
     return drain(jobs.waves(topics.stream(spark, RECORDED_TOPIC)), "waves")
 
 

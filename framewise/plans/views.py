@@ -19,19 +19,18 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def in_files(df: DataFrame, order: str, files: int = 4) -> DataFrame:
+def in_files(df: DataFrame, order: str, batches: int = 4, files: int = 4) -> DataFrame:
     """``df`` as a stream of several micro-batches, cut somewhere in the range of the integer ``order``.
 
-    One file for each, written one after the other to a new folder. For test data only: a
-    file is written by one task.
+    Each is written by ``files`` tasks, one batch after the other, to a new folder.
     """
     folder, spark = run_dir(df.sparkSession, "feed"), df.sparkSession
-    df = write_through(df, "fed")  # used for each file
+    df = write_through(df, "fed")  # used for each batch
     last = df.agg(F.max(order)).first()[0] or 0
-    for i in range(files):
-        begin, end = (last * i // files + 3 if i else 0), (last * (i + 1) // files + 3)
-        df.where((F.col(order) >= begin) & (F.col(order) < end)).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    for i in range(batches):
+        begin, end = (last * i // batches + 3 if i else 0), (last * (i + 1) // batches + 3)
+        df.where((F.col(order) >= begin) & (F.col(order) < end)).repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
