@@ -14,8 +14,8 @@ from framewise.settings import write_through
 
 #: Entries of a bucket before the directory is doubled to split it.
 CAPACITY = 1 << 12
-#: Rows of one hash before they overflow to further pages of their bucket, each with an owner of its own.
-PAGE_ROWS = 1 << 14
+#: Bytes of the texts of one hash before they overflow to further pages of their bucket, each with an owner of its own.
+PAGE_BYTES = 4 << 20
 #: A directory, or a list of overflowing hashes, of more rows than this is joined by a shuffle instead of being
 #: sent to every task (some fifty bytes a row).
 SENT_ROWS = 200_000
@@ -56,17 +56,18 @@ def directory(hashes: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, i
     return fitting.groupBy("prefix").agg(F.min_by("bucket", "depth").alias("bucket")), depth
 
 
-def dealt_to_owners(entries: DataFrame, capacity: int = CAPACITY, page_rows: int = PAGE_ROWS) -> tuple[DataFrame, DataFrame, int]:
+def dealt_to_owners(entries: DataFrame, capacity: int = CAPACITY, page_bytes: int = PAGE_BYTES) -> tuple[DataFrame, DataFrame, int]:
     """``entries`` with ``bucket`` and ``page``, each in the partition of its owner; and the directory.
 
     A bucket is a range of hashes and has one owner. Rows of one hash, be they copies or not, cannot be
-    split by more bits: from ``page_rows`` on they overflow to further pages.
+    split by more bits: from ``page_bytes`` on they overflow to further pages.
     """
-    counts = write_through(entries.groupBy("_hash").agg(F.count("*").alias("_n")), "index-hashes")
+    length = F.octet_length("_text").cast("long")
+    counts = write_through(entries.groupBy("_hash").agg(F.sum(length).alias("_n")), "index-hashes")
     prefixes, depth = directory(counts.select("_hash"), capacity)
     prefixes = write_through(prefixes, "index-directory")
-    pages = F.ceil(F.col("_n") / page_rows).alias("_pages")
-    hot = write_through(counts.where(F.col("_n") > page_rows).select("_hash", pages), "index-overflow")
+    pages = F.ceil(F.col("_n") / page_bytes).alias("_pages")
+    hot = write_through(counts.where(F.col("_n") > page_bytes).select("_hash", pages), "index-overflow")
     owned = entries.withColumn("_no", F.monotonically_increasing_id()).join(_sent(hot), "_hash", "left")
     page = F.coalesce(F.pmod("_no", "_pages"), F.lit(0)).alias("page")
     owned = owned.select(*entries.columns, page, _prefix("_hash", depth).alias("prefix"))
@@ -74,13 +75,13 @@ def dealt_to_owners(entries: DataFrame, capacity: int = CAPACITY, page_rows: int
     return owned.repartition("bucket", "page"), prefixes, depth
 
 
-def build_index(entries: DataFrame, capacity: int = CAPACITY, page_rows: int = PAGE_ROWS) -> tuple[DataFrame, DataFrame, int]:
+def build_index(entries: DataFrame, capacity: int = CAPACITY, page_bytes: int = PAGE_BYTES) -> tuple[DataFrame, DataFrame, int]:
     """The index of ``entries`` (_key, _text, _hash) and its directory, as shared files, with the directory's bits.
 
     An owner compares the bytes of entries with one hash, so that equal texts become one entry of the index and
     different ones a chain, in which length and SHA-256 tell them apart. Pages of one hash are put together by these.
     """
-    owned, prefixes, depth = dealt_to_owners(entries, capacity, page_rows)
+    owned, prefixes, depth = dealt_to_owners(entries, capacity, page_bytes)
     compared = owned.groupBy("bucket", "page", "_hash", "_text").agg(F.max("_key").alias("_keep"), F.count("*").alias("_size"))
     sha, length = F.sha2("_text", 256).alias("_sha"), F.octet_length("_text").alias("_bytes")
     records = write_through(compared.select("bucket", "_hash", sha, length, "_keep", "_size"), "index-records")
@@ -90,7 +91,7 @@ def build_index(entries: DataFrame, capacity: int = CAPACITY, page_rows: int = P
 
 
 def exact_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, page_rows: int = PAGE_ROWS
+    docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, page_bytes: int = PAGE_BYTES
 ) -> DataFrame:
     """``docs`` with ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``, a row for each input row.
 
@@ -104,7 +105,7 @@ def exact_duplicates(
     docs = without(docs, "keep_id", "group_size", "kept", "text_sha256")
     rows = docs.select(pack_row(docs), F.col(key).alias("_key"), whole_text(text).alias("_text"))
     rows = rows.withColumn("_hash", F.xxhash64("_text"))
-    index, prefixes, depth = build_index(rows.select("_key", "_text", "_hash"), capacity, page_rows)
+    index, prefixes, depth = build_index(rows.select("_key", "_text", "_hash"), capacity, page_bytes)
     probes = rows.withColumns({"_sha": F.sha2("_text", 256), "_bytes": F.octet_length("_text"), "prefix": _prefix("_hash", depth)}).drop("_text")
     found = probes.join(_sent(prefixes), "prefix").drop("prefix").join(index, ["bucket", *_CHAIN])
     return found.select(

@@ -79,7 +79,7 @@ def no_merging(spark):
 def test_owners_hold_buckets_and_a_hot_text_has_several(spark, docs_of, no_merging):
     docs = docs_of(["copy"] * 400 + [f"text {i}" for i in range(800)])
     entries = docs.select(F.col("doc_id").alias("_key"), F.col("text").alias("_text"), F.xxhash64("text").alias("_hash"))
-    owned, _, depth = dealt_to_owners(entries, 50, 100)
+    owned, _, depth = dealt_to_owners(entries, 50, 400)
     rows = owned.select("bucket", "page", "_text", F.spark_partition_id().alias("task")).collect()
     tasks = {}
     for r in rows:
@@ -87,7 +87,7 @@ def test_owners_hold_buckets_and_a_hot_text_has_several(spark, docs_of, no_mergi
     assert len(rows) == 1200 and depth > 3 and all(len(t) == 1 for t in tasks.values())
     assert len({r["page"] for r in rows if r["_text"] == "copy"}) == 4 and {r["page"] for r in rows if r["_text"] != "copy"} <= {0}
     # Without a directory there is one bucket, and it is dealt otherwise.
-    whole, _, none = dealt_to_owners(entries, 5000, 5000)
+    whole, _, none = dealt_to_owners(entries, 5000, 50_000)
     assert none == 0 and {r["task"] for r in whole.select(F.spark_partition_id().alias("task")).collect()} != {r["task"] for r in rows}
-    for capacity, page_rows in ((50, 100), (50, 5000), (5000, 100), (5000, 5000)):
-        assert found(exact_duplicates(docs, capacity=capacity, page_rows=page_rows)) == brute(docs.collect())
+    for capacity, page_bytes in ((50, 400), (50, 50_000), (5000, 400), (5000, 50_000)):
+        assert found(exact_duplicates(docs, capacity=capacity, page_bytes=page_bytes)) == brute(docs.collect())
