@@ -2,6 +2,7 @@
 
 import json
 import random
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from framewise.operators import emotion_counts, nth_occurrence, smooth_fingers,
 from framewise.operators.tracking import INPUT
 from framewise.plans import jobs
 from framewise.schemas import RECORDED_TOPIC, UNIQUE_TOPIC, WAVES_TOPIC
+import framewise.sources.topics as sources
 from framewise.sources import FileTopics, KafkaTopics, decode, encode_emotion_event, tail_lines
 from framewise.streaming import drain, drain_updates
 from tests import brute
@@ -218,6 +220,30 @@ def test_latest_starts_behind_what_is_there(spark, rows, feed, tmp_path):
         topics.stream(spark, "t", "newest", checkpoint="x")
 
 
+def test_old_days_expire_and_readers_see_every_message_once(spark, rows, feed, tmp_path, monkeypatch):
+    """A topic that is written for forty days: its listing stays as long as what is kept, and nothing is read twice."""
+    topics, out = FileTopics(str(tmp_path / "topics")), FileTopics(str(tmp_path / "out"))
+    day, listed = date(2024, 2, 20), []
+    monkeypatch.setattr(sources, "today", lambda: day)
+    batches = {n: spark.createDataFrame([(str(n), str(n))], "key string, value string").coalesce(1) for n in range(40)}
+    for n, batch in batches.items():
+        topics.write(batch, "t", n, "w")
+        # Again, as after a failure, and over midnight.
+        topics.write(batch, "t", n, "w")
+        day += timedelta(days=1)
+        topics.write(batch, "t", n, "w")
+        topics.expire(spark, "t", 3)
+        listed.append(len(list((tmp_path / "topics" / "t").rglob("batch-*"))))
+        if n % 5 == 2:
+            # A reader that comes every few days.
+            out.write_stream(topics.stream(spark, "t"), "o", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert max(listed) == 3 and listed[-1] == 3
+    seen = [int(v) for (v,) in rows(out.read(spark, "o"), "value")]
+    assert len(seen) == len(set(seen)) and {n for n in range(38) if n % 5 in (0, 1, 2)} <= set(seen)
+    with pytest.raises(ValueError, match="two days"):
+        topics.expire(spark, "t", 1)
+
+
 def test_ids_belong_to_their_source(spark, rows):
     person = '[{"id":0,"emotion":"SAD","fingers":[5]}]'
     messages = spark.createDataFrame([(f"{c}:{f}", person) for c in (1, 2) for f in range(6 + c * 3)], "key string, value string")
