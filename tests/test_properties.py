@@ -206,3 +206,23 @@ def test_units(places, span, whole):
                     want[a] = want[b] = min(want[a], want[b])
                     changed = True
     assert {(got[a] == got[b]) == (want[a] == want[b]) for a in cells for b in cells} <= {True}
+
+
+def test_state_grows_with_live_tracks_only():
+    """Fifty micro-batches in which faces come and go: an entry for each that lives, and the open frame's rows."""
+    state = Handle()
+    for batch in range(50):
+        steps = []
+        for frame in range(batch * 100, batch * 100 + 100):
+            # Two faces that stay, and one that is there for ten frames, at another place each time.
+            steps += [_box(frame, 0, 0, 0), _box(frame, 1, 200, 0)]
+            if frame % 100 < 10:
+                steps.append(_box(frame, 2, 400 + batch % 2 * 150, 0))
+            steps.append((frame, FRAME, 0, 0, 0, 0, 0, 0, 0, None, 0, 0, 0, 0, 0, 0))
+        tracker = FaceTracker(False, None, True, None)
+        tracker.init(state)
+        for _ in tracker.handleInputRows((0,), iter([pd.DataFrame(steps, columns=_ROW)]), None):
+            pass
+        # The third face was last seen 88 frames before the last closed one.
+        assert len(state.stored["tracks"]) == 2 and len(state.stored["open_frame"]) == 3
+    assert state.stored["camera"].get()[2] == 2 + 50
