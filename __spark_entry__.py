@@ -6,6 +6,7 @@ the derived tables and ``_VIEWS`` below the SQL text.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -501,6 +502,35 @@ def stream_recording(spark, sf_dir):
     return topics.read(spark, RECORDED_TOPIC)
 
 
+def stream_recording_to_the_end(spark, sf_dir):
+    """A recording whose last frames are closed by silence: as the table has it, no frame left out."""
+    topics, ev = FileTopics(run_dir(spark, "topics")), v.events(spark, sf_dir)
+    frames = v.camera_frames(ev)
+    steps = op.tracker_input(frames, v.detections(ev).where("verified"), hands=v.camera_hands(ev))
+    query = jobs.start_recording(
+        v.in_files(steps, "frame"),
+        topics,
+        run_dir(spark, "checkpoint"),
+        width=v.WIDTH,
+        height=v.HEIGHT,
+        trigger={"processingTime": "1 second"},
+        silence_ms=8_000,
+    )
+    try:
+        wanted, until = frames.count(), time.monotonic() + 900
+        # It runs on for ever: until all frames are there, or for so long.
+        while query.isActive and time.monotonic() < until:
+            time.sleep(1)
+            progress = query.lastProgress
+            if progress and progress.batchId >= 4 and topics.read(spark, RECORDED_TOPIC).count() >= wanted:
+                break
+        if query.exception():
+            raise query.exception()
+    finally:
+        query.stop()
+    return topics.read(spark, RECORDED_TOPIC)
+
+
 _QUERIES: tuple[Query, ...] = (
     decode_people,
     accepted_people,
@@ -563,6 +593,7 @@ _QUERIES: tuple[Query, ...] = (
     stream_track_labels,
     stream_recording,
     stream_landmarks_to_messages,
+    stream_recording_to_the_end,
 )
 
 
@@ -1019,6 +1050,13 @@ def _observation_sql() -> dict[str, str]:
             "camera_messages",
             "closed_frames",
         ),
+        "stream_recording_to_the_end": _sql(
+            """SELECT camera_id || ':' || frame AS key, '[' || coalesce(people, '') || ']' AS value
+               FROM camera_frames LEFT JOIN camera_messages USING (camera_id, frame)""",
+            *_TRACKS,
+            "camera_hands",
+            *_MESSAGES,
+        ),
         "recorded_messages": _sql(
             """SELECT camera_id, CAST(frame AS VARCHAR) AS key, '[' || coalesce(people, '') || ']' AS value
                FROM camera_frames LEFT JOIN camera_messages USING (camera_id, frame)""",
