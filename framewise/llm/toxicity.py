@@ -88,6 +88,10 @@ class Distance:
     def _both(self) -> tuple:
         return _compressor(self.ordinary + _AHEAD), _compressor(self.toxic + self.ordinary + _AHEAD)
 
+    def let_go(self) -> None:
+        """Give the compressors' tables back, some megabytes each; they are made anew when they are needed."""
+        self.__dict__.pop("_both", None)
+
     def __getstate__(self):
         return {"ordinary": self.ordinary, "toxic": self.toxic}
 
@@ -272,10 +276,14 @@ def train(
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                np.concatenate([d.features(t.as_py()) for d in others[fold.as_py()]]).tolist()
-                for fold, t in zip(batch.column("_fold"), batch.column("_text"))
-            ]
+            folds, found = batch.column("_fold").to_pylist(), [[] for _ in range(batch.num_rows)]
+            # One pair of dictionaries at a time is held ready.
+            for fold in set(folds):
+                for d in others[fold]:
+                    for i, t in enumerate(batch.column("_text")):
+                        if folds[i] == fold:
+                            found[i] += d.features(t.as_py()).tolist()
+                    d.let_go()
             yield pa.RecordBatch.from_arrays([batch.column("_toxic"), pa.array(found, pa.list_(pa.float64()))], ["toxic", "features"])
 
     measured = texts.mapInArrow(measure, "toxic int, features array<double>").toPandas()
