@@ -20,16 +20,18 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def in_files(df: DataFrame, order: str, batches: int = 4, files: int = 4) -> DataFrame:
-    """``df`` as a stream of several micro-batches, cut somewhere in the range of the integer ``order``.
+    """``df`` as a stream of several micro-batches of about as many rows, by the integer ``order``.
 
-    Each is written by ``files`` tasks, one batch after the other, to a new folder.
+    Each is written by ``files`` tasks, one batch after the other, to a new folder. A micro-batch is as many files, so
+    it takes that many rows at least for batches to stay what they are.
     """
     folder, spark = run_dir(df.sparkSession, "feed"), df.sparkSession
     df = write_through(df, "fed")  # used for each batch
-    last = df.agg(F.max(order)).first()[0] or 0
-    for i in range(batches):
-        begin, end = (last * i // batches + 3 if i else 0), (last * (i + 1) // batches + 3)
-        df.where((F.col(order) >= begin) & (F.col(order) < end)).repartition(files).write.mode("append").parquet(folder)
+    ends = df.approxQuantile(order, [(i + 1) / batches for i in range(batches - 1)], 0.001)
+    for begin, end in zip([None, *ends], [*ends, None]):
+        part = df if begin is None else df.where(F.col(order) > int(begin))
+        part = part if end is None else part.where(F.col(order) <= int(end))
+        part.repartition(files).write.mode("append").parquet(folder)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
