@@ -205,9 +205,11 @@ def test_latest_starts_behind_what_is_there(spark, rows, feed, tmp_path):
         out.write_stream(messages, name, str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination()
         return "".join(v for (v,) in rows(out.read(spark, name), "value"))
 
+    # Before anybody has written.
+    assert seen("latest", "c4") == ""
     put("a")
     by_query("b", "c")
-    assert seen("latest", "c1") == ""
+    assert seen("latest", "c1") == "" and seen("latest", "c4") == "abc"
     by_query("d")
     put("e")
     assert seen("latest", "c1") == "de"
