@@ -2,11 +2,11 @@
 
 Two steps, so that a key that fills the stream is not handled by one task:
 
-1. The rows of a micro-batch are grouped by (key, block of ``span`` order values), in
-   parallel also within a key. In a block all rows are decided except the leading
-   ones where no condition has failed yet, and of those only the first ``over``. The
-   block passes on its decided rows, these few open rows and one summary row.
-2. Per key, the summaries are taken in order and meet the counters in state. Where a
+1. The rows of a micro-batch are grouped by (bucket of keys, block of ``span`` order values), in
+   parallel also within a key, and all keys of a group are taken at once. In a block all rows of a key are decided except
+   the leading ones where no condition has failed yet, and of those only the first ``over``. The
+   block passes on its decided rows, these few open rows and one summary row for each key.
+2. Per key, in buckets, the summaries are taken in order and meet the counters in state. Where a
    block has many decided rows, they travel in a lane of their own, so that they do not
    gather at their key.
 """
@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from framewise.operators.scan import without_nulls
 from framewise.operators.streak import streak_lengths
+from framewise.streaming.buckets import BUCKET, InBuckets, bucket_of, states_by_bucket
 
 # Smaller than for tables: a micro-batch holds few frames, and a large key should still
 # be spread over several tasks.
@@ -82,29 +83,39 @@ class JointStreak(StatefulProcessor):
 
 
 def _block_summary(keys: Sequence[str], order: Sequence[str], names: Sequence[str], over: int):
+    """The rows of one block, of any number of keys, to what it passes on of each key."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        in_order = np.lexsort([pdf[c].to_numpy() for c in reversed(order)])
-        n = len(in_order)
-        place = np.arange(1, n + 1)
-        lengths, heads = [], []
+        number = pdf.groupby(list(keys), dropna=False, sort=False).ngroup().to_numpy()
+        in_order = np.lexsort([*[pdf[c].to_numpy() for c in reversed(order)], number])
+        starts = np.flatnonzero(np.diff(number[in_order], prepend=-1))
+        sizes = np.diff(starts, append=len(in_order))
+        of = np.repeat(np.arange(len(starts)), sizes)
+        at = np.arange(1, len(in_order) + 1)
+        place = at - starts[of]
+        lengths, heads, tails = [], [], []
         for name in names:
             held = pdf[f"_ok_{name}"].to_numpy(dtype=bool)[in_order]
-            lengths.append(place - np.maximum.accumulate(np.where(held, 0, place)))
-            heads.append(n if held.all() else int(np.argmin(held)))
-        decided = np.flatnonzero(np.logical_and.reduce([length > over for length in lengths]))
-        n_open = min(*heads, over, n)
-        # The summary row itself, then the open rows, then the decided ones.
-        chosen = in_order[np.concatenate([[0], np.arange(n_open), decided])]
+            # Where a key begins counts like a failure of the row ahead of it.
+            lengths.append(at - np.maximum.accumulate(np.where(held, starts[of], at)))
+            heads.append(np.minimum.reduceat(np.where(held, sizes[of], place - 1), starts))
+            tails.append(lengths[-1][starts + sizes - 1])
+        long = np.logical_and.reduce([length > over for length in lengths])
+        n_open = np.minimum.reduce([*heads, np.minimum(sizes, over)])
         block = int(pdf["_block"].iloc[0])
-        lane = abs(block) if len(decided) > _FEW else _SUMMARY
-        out = {c: pdf[c].to_numpy()[chosen] for c in [*keys, *order]}
-        out["_lane"] = np.repeat([_SUMMARY, lane], [n_open + 1, len(decided)])
+        lanes = np.where(np.add.reduceat(long.astype(np.int64), starts) > _FEW, abs(block), _SUMMARY)
+        # The summary rows themselves, then the open rows, then the decided ones.
+        opened, decided = np.flatnonzero(place <= n_open[of]), np.flatnonzero(long)
+        chosen = np.concatenate([starts, opened, decided])
+        of_key = of[chosen]
+        out = {c: pdf[c].to_numpy()[in_order[chosen]] for c in [*keys, *order]}
+        out["_lane"] = np.concatenate([np.repeat(_SUMMARY, len(starts) + len(opened)), lanes[of[decided]]])
         out["_block"] = np.repeat(block, len(chosen))
-        out["_seq"] = np.concatenate([np.arange(n_open + 1), np.repeat(_DECIDED, len(decided))])
-        out["_n"] = np.repeat(n, len(chosen))
-        for name, length, head in zip(names, lengths, heads, strict=True):
-            out[f"_head_{name}"] = np.repeat(head, len(chosen))
-            out[f"_tail_{name}"] = np.repeat(int(length[-1]), len(chosen))
+        out["_seq"] = np.concatenate([np.repeat(0, len(starts)), place[opened], np.repeat(_DECIDED, len(decided))])
+        out["_n"] = sizes[of_key]
+        for name, head, tail in zip(names, heads, tails, strict=True):
+            out[f"_head_{name}"] = head[of_key]
+            out[f"_tail_{name}"] = tail[of_key]
         return pd.DataFrame(out)
 
     return run
@@ -132,15 +143,18 @@ def stream_joint_streak(
         lengths = streak_lengths(history, keys, order, conditions)
         last = [F.max_by(name, place).alias(f"c{i}") for i, name in enumerate(names)]
         ends = lengths.groupBy(*[F.col(k).cast(kinds[k]).alias(k) for k in keys]).agg(*last)
-        before = ends.withColumn("_lane", F.lit(_SUMMARY).cast("long")).groupBy(*keys, "_lane")
+        before = states_by_bucket(ends, keys).withColumn("_lane", F.lit(_SUMMARY).cast("long")).groupBy(BUCKET, "_lane")
     flags = [F.coalesce(c, F.lit(False)).alias(f"_ok_{name}") for name, c in conditions.items()]
     rows, order, restored = without_nulls(df.select(*keys, *order, *flags), order, span)
     result = T.StructType([rows.schema[c] for c in [*keys, *order]])
     pieces = T.StructType(list(result.fields))
     for name in ["_lane", "_block", "_seq", "_n", *[f"_{part}_{c}" for c in names for part in ("head", "tail")]]:
         pieces = pieces.add(name, T.LongType())
-    blocks = rows.groupBy(*keys, "_block").applyInPandas(_block_summary(keys, order, names, over), pieces)
-    found = blocks.groupBy(*keys, "_lane").transformWithState(
-        JointStreak(keys, order, names, over, ttl_ms), result, "append", "processingTime" if ttl_ms else "none", before
+    # Keys with nulls stay by themselves: among others, pandas would turn theirs into floats.
+    nulls = F.concat(*[F.col(k).isNull().cast("string") for k in keys]).alias("_nulls")
+    blocks = rows.groupBy(bucket_of(keys), "_block", nulls).applyInPandas(_block_summary(keys, order, names, over), pieces)
+    one = InBuckets(JointStreak(keys, order, names, over, ttl_ms), keys, ttl_ms)
+    found = blocks.withColumn(BUCKET, bucket_of(keys)).groupBy(BUCKET, "_lane").transformWithState(
+        one, result, "append", "processingTime" if ttl_ms else "none", before
     )
     return found.select(*keys, *restored)
