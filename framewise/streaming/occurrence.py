@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from framewise.operators.scan import SPAN, without_nulls
+from framewise.streaming.buckets import BUCKET, InBuckets, bucket_of, states_by_bucket
 
 _MORE = "_more"
 
@@ -75,7 +76,7 @@ def stream_nth_occurrence(
     """See ``nth_occurrence``. The rows of a micro-batch count in ``order``, micro-batches as they arrive.
 
     Before the shuffle each task keeps at most ``n`` rows of a key per Arrow batch and the
-    number of the others, so a key that fills the stream stays cheap.
+    number of the others, so a key that fills the stream stays cheap. Keys are handled in buckets (see ``InBuckets``).
 
     ``ttl_ms`` forgets a key that long after its last change. Time to live needs a clock, so
     such a query goes on with empty micro-batches: give it a trigger interval.
@@ -91,8 +92,9 @@ def stream_nth_occurrence(
     if history is not None:
         kinds = {f.name: f.dataType for f in df.schema}
         counted = history.select(*[F.col(k).cast(kinds[k]) for k in keys]).groupBy(*keys).agg(F.least(F.count("*"), F.lit(n)).alias("n"))
-        before = counted.groupBy(*[F.col(k) for k in keys])
-    found = first.groupBy(*[F.col(k) for k in keys]).transformWithState(
-        NthOccurrence(keys, order, n, ttl_ms), rows.schema, mode, "processingTime" if ttl_ms else "none", before
+        before = states_by_bucket(counted, keys).groupBy(BUCKET)
+    one = InBuckets(NthOccurrence(keys, order, n, ttl_ms), keys, ttl_ms)
+    found = first.withColumn(BUCKET, bucket_of(keys)).groupBy(BUCKET).transformWithState(
+        one, rows.schema, mode, "processingTime" if ttl_ms else "none", before
     )
     return found.select(*keys, *restored)
