@@ -6,7 +6,7 @@ from framewise.operators.matching import faces_with_fingers, fingers_by_face, gr
 from framewise.operators.occurrence import nth_occurrence, occurrence_number
 from framewise.operators.scan import Running, scan
 from framewise.operators.streak import joint_streak, streak_lengths
-from framewise.operators.tracking import analysis_requests, number_tracks, track_faces, tracker_input
+from framewise.operators.tracking import analysis_requests, follow_faces, number_tracks, track_faces, tracker_input
 
 __all__ = [
     "Running",
@@ -14,6 +14,7 @@ __all__ = [
     "emotion_counts",
     "faces_with_fingers",
     "fingers_by_face",
+    "follow_faces",
     "greedy_match",
     "joint_streak",
     "label_asof",
