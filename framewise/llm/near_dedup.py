@@ -150,7 +150,8 @@ def _sketches(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
 
 def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """The full sets of the documents in ``wanted`` (node): node, values."""
-    source = docs.select(F.col(key).alias("node"), whole_text(text).alias("text")).join(wanted, "node")
+    # The nodes are hashed, so that whole texts are not sorted to meet them.
+    source = docs.select(F.col(key).alias("node"), whole_text(text).alias("text")).join(wanted.hint("shuffle_hash"), "node")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -21,7 +21,7 @@ CAPACITY = 2048
 # Ids that a task gathers before it hands pieces on.
 _FLUSH = 1 << 20
 
-_RULES = "length long, first long, pieces long, each long, window long, at long"
+_RULES = ("_length", "first", "pieces", "each", "window", "at")
 
 
 def pieces(
@@ -93,8 +93,9 @@ def assign(cut: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> Dat
     rules, _ = plan(counts, capacity)
     # Without pieces, a rule that places none.
     rules = rules or [Rule(0, 0, 0, 1, 0, 0)]
-    local = [(r.length, r.first, r.pieces, r.each, r.window, r.offset) for r in rules]
-    table = spark.createDataFrame(local, _RULES).withColumnRenamed("length", "_length")
+    local = zip(*[(r.length, r.first, r.pieces, r.each, r.window, r.offset) for r in rules])
+    # Through Arrow: for a list of rows, Spark starts further Python workers on the executors.
+    table = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in local], names=_RULES))
 
     within = Window.partitionBy("length", "_slice").orderBy(key, "start", "ids_crc32")
     numbered = rows.withColumn("_n", F.row_number().over(within)).join(bases, ["length", "_slice"])

@@ -209,7 +209,8 @@ def train(
     known = labels.where(learn & F.col(key).isNotNull() & F.col(label).isNotNull())
     known = known.groupBy(F.col(key).alias("_key")).agg(F.max(F.col(label).cast("int")).alias("_toxic"))
     chosen = [known.where(F.col("_toxic") == v).orderBy(F.xxhash64("_key"), "_key").limit(sample) for v in (0, 1)]
-    chosen = spark.createDataFrame([r for c in chosen for r in c.collect()], known.schema)
+    # Through Arrow: for a list of rows, Spark starts further Python workers on the executors.
+    chosen = spark.createDataFrame(pa.concat_tables([c.toArrow() for c in chosen]), known.schema)
     texts = docs.select(F.col(key).alias("_key"), whole_text(text).alias("_text")).join(F.broadcast(chosen), "_key")
     texts = texts.select("_key", "_toxic", F.pmod(F.xxhash64("_key", F.lit(2)), F.lit(FOLDS)).cast("int").alias("_fold"), "_text")
 
